@@ -8,7 +8,7 @@ from fleethealth import schema as S
 from fleethealth.checks import views as V
 from fleethealth.checks.registry import check, r5
 from fleethealth.checks.row_queries import FLAGGED, MARK, damage_rows, damage_sql, shift_sql
-from fleethealth.functions import bt, r5 as round5
+from fleethealth.functions import bt, rounded
 from fleethealth.operators import clean, deltas, flags, stats, trend
 
 ITEM = ["l_suppkey", *V.SERIES_ORDER]
@@ -178,7 +178,8 @@ def _stats_sql(fields, matched=True, settings=STATS) -> str:
                 exprs[f"FRACTION{t}"] = (
                     f"avg(CASE WHEN {x} > {t} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) OVER {w}",
                     S.fraction_column(comp, t, n))
-            cols += [f'CASE WHEN {known} THEN {r5(e)} END AS "{name}"'
+            # Nine places: short decimals averaged over up to 200 rows have no half-way case there.
+            cols += [f'CASE WHEN {known} THEN round_even({e}, 9) END AS "{name}"'
                      for kind, (e, name) in exprs.items() if any(kind.startswith(f) for f in fields)]
             part = f"l_suppkey, {m}" if matched else "l_suppkey"
             windows.append(f"{w} AS (PARTITION BY {part} ORDER BY {V.SERIES_ORDER_SQL}"
@@ -191,7 +192,7 @@ def _stats_sql(fields, matched=True, settings=STATS) -> str:
 def _pick(df, kinds, settings=STATS):
     names = [c for n in settings.lags for comp in S.COMPONENTS for c in S.stats_columns(comp, n, settings.thresholds)
              if any(k in c for k in kinds)]
-    return df.select(*ITEM, *[round5(bt(c)).alias(c) for c in names])
+    return df.select(*ITEM, *[rounded(bt(c), 9).alias(c) for c in names])
 
 
 @check("rolling_max_matched", _stats_sql(["MAX"]))

@@ -21,6 +21,7 @@ from fleethealth.functions import bt, dot, norm, vector_norm
 MAX_SIGNATURES = 64  # per phase; 64 give 43 744 candidates
 MAX_PHASES = 16
 ERROR_STEP = 1e-9  # errors closer than this are a tie, the earlier candidate wins
+CLOSE = 1e-3
 BLOCK = 256  # observations solved at once
 
 FIT_TYPE = T.StructType([
@@ -89,6 +90,9 @@ def _fit_block(obs: np.ndarray, vectors, max_size: int, err_limit: float, factor
         size = np.einsum("bck,ck->bc", np.abs(coeffs), norms)
         ok = (err < err_limit) & (size < factor * length[:, None]) & (length > 0)[:, None]
         admissible[:, k - 1] = ok.sum(axis=1)
+        # Near-perfect fits: the difference above cancels, so take the residual itself.
+        for b, c in np.argwhere(ok & (err < CLOSE)):
+            err[b, c] = np.linalg.norm(obs[b] - coeffs[b, c] @ m[idx[c]]) / length[b]
         err = np.where(ok, np.rint(err / ERROR_STEP), np.inf)
         at = err.argmin(axis=1)
         value = err[np.arange(len(obs)), at]
