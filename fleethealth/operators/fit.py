@@ -8,7 +8,9 @@ size is checked before it is collected.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -22,7 +24,7 @@ MAX_SIGNATURES = 64  # per phase; 64 give 43 744 candidates
 MAX_PHASES = 16
 ERROR_STEP = 1e-9  # errors closer than this are a tie, the earlier candidate wins
 CLOSE = 1e-3
-BLOCK = 256  # observations solved at once
+BLOCK = 32  # observations solved at once; their errors fit the cache
 
 FIT_TYPE = T.StructType([
     T.StructField("err", T.DoubleType()),
@@ -59,82 +61,130 @@ def candidate_sets(n: int, max_size: int = 3) -> list[tuple[int, ...]]:
     return [c for k in range(1, max_size + 1) for c in itertools.combinations(range(n), k)]
 
 
+@dataclass(frozen=True)
+class Solver:
+    """Everything about a phase's candidates that does not depend on observations."""
+
+    vectors: np.ndarray  # signatures x parameters
+    members: list[tuple[int, ...]]  # candidates in (size, lexicographic) order
+    starts: list[int]  # first candidate of each size, and the end
+    basis: list[np.ndarray]  # per size: parameters x (size * candidates), orthonormal columns
+    inverses: list[np.ndarray]  # per size: candidates x size x parameters, pseudo-inverses
+    norms: np.ndarray
+
+
 @lru_cache(maxsize=MAX_PHASES)
-def _solvers(vectors: tuple[tuple[float, ...], ...], max_size: int):
-    """Per subset size: member indices, pseudo-inverses and signature norms."""
+def _solver(vectors: tuple[tuple[float, ...], ...], max_size: int) -> Solver:
     m = np.array(vectors, dtype=float)
-    norms = np.linalg.norm(m, axis=1)
-    out = []
+    members, starts, basis, inverses = [], [0], [], []
     for k in range(1, min(max_size, len(m)) + 1):
-        idx = np.array(list(itertools.combinations(range(len(m)), k)), dtype=np.int64)
-        stacked = m[idx].transpose(0, 2, 1)  # candidates x parameters x k
-        pinv = np.linalg.pinv(stacked, rcond=np.finfo(float).eps * max(m.shape[1], k))
-        out.append((idx, pinv.reshape(-1, m.shape[1]).T.copy(), norms[idx]))
-    return m, out
-
-
-def _fit_block(obs: np.ndarray, vectors, max_size: int, err_limit: float, factor: float):
-    """Best admissible candidate of each observation row (one phase)."""
-    m, solvers = _solvers(vectors, max_size)
+        sets = list(itertools.combinations(range(len(m)), k))
+        stacked = m[np.array(sets)].transpose(0, 2, 1)
+        u, sv, _ = np.linalg.svd(stacked, full_matrices=False)
+        rcond = np.finfo(float).eps * max(m.shape[1], k)
+        cutoff = rcond * sv[:, :1]
+        inverses.append(np.linalg.pinv(stacked, rcond=rcond))
+        u = u * (sv > cutoff)[:, None, :]  # dependent signatures span fewer directions
+        basis.append(np.concatenate([u[:, :, i].T for i in range(k)], axis=1))
+        members += sets
+        starts.append(len(members))
+    return Solver(m, members, starts, basis, inverses, np.linalg.norm(m, axis=1))
+
+
+def _relative_errors(obs: np.ndarray, length: np.ndarray, solver: Solver) -> np.ndarray:
+    """Least-squares error of every candidate: what its span leaves unexplained."""
+    err = np.empty((len(obs), len(solver.members)))
+    for k, q in enumerate(solver.basis, start=1):
+        part = obs @ q
+        part *= part
+        lo, hi = solver.starts[k - 1], solver.starts[k]
+        explained = part[:, :hi - lo]
+        for i in range(1, k):
+            explained = explained + part[:, i * (hi - lo):(i + 1) * (hi - lo)]
+        err[:, lo:hi] = explained
+    np.subtract((length**2)[:, None], err, out=err)
+    np.maximum(err, 0.0, out=err)
+    np.sqrt(err, out=err)
+    err /= length[:, None]
+    return err
+
+
+def _solve(obs: np.ndarray, solver: Solver, candidate: int):
+    """Coefficients, magnitudes and residual of one candidate."""
+    members = list(solver.members[candidate])
+    k = len(members)
+    c = solver.inverses[k - 1][candidate - solver.starts[k - 1]] @ obs
+    rest = obs - c @ solver.vectors[members]
+    return members, c, np.abs(c) * solver.norms[members], math.sqrt(rest @ rest)
+
+
+def _fit_block(obs: np.ndarray, solver: Solver, err_limit: float, factor: float, count: bool):
+    """Best admissible candidate of each (non-zero) observation row of one phase.
+
+    The candidate of least error is solved first; only where its magnitudes are
+    too large the next one is tried.
+    """
     length = np.linalg.norm(obs, axis=1)
-    projections = obs @ m.T
-    best = np.full(len(obs), np.inf)
-    picks: list = [None] * len(obs)
-    admissible = np.zeros((len(obs), max_size), dtype=np.int64)
-    safe = np.where(length > 0, length, 1.0)
-    for idx, pinv, norms in solvers:
-        k = idx.shape[1]
-        coeffs = (obs @ pinv).reshape(len(obs), len(idx), k)
-        explained = np.einsum("bck,bck->bc", coeffs, projections[:, idx])
-        err = np.sqrt(np.maximum(length[:, None] ** 2 - explained, 0.0)) / safe[:, None]
-        size = np.einsum("bck,ck->bc", np.abs(coeffs), norms)
-        ok = (err < err_limit) & (size < factor * length[:, None]) & (length > 0)[:, None]
-        admissible[:, k - 1] = ok.sum(axis=1)
-        # Near-perfect fits: the difference above cancels, so take the residual itself.
-        for b, c in np.argwhere(ok & (err < CLOSE)):
-            err[b, c] = np.linalg.norm(obs[b] - coeffs[b, c] @ m[idx[c]]) / length[b]
-        err = np.where(ok, np.rint(err / ERROR_STEP), np.inf)
-        at = err.argmin(axis=1)
-        value = err[np.arange(len(obs)), at]
-        for b in np.flatnonzero(value < best):
-            best[b] = value[b]
-            picks[b] = (idx[at[b]], coeffs[b, at[b]], norms[at[b]])
+    err = _relative_errors(obs, length, solver)
+    # Near-perfect fits: the difference above cancels, so take the residual itself.
+    for b in np.flatnonzero(err.min(axis=1) < CLOSE):
+        for c in np.flatnonzero(err[b] < CLOSE):
+            err[b, c] = _solve(obs[b], solver, c)[3] / length[b]
+    counts = [_admissible(obs[b], err[b], length[b], solver, err_limit, factor) if count else None
+              for b in range(len(obs))]
+    rank = np.rint(err / ERROR_STEP)
+    rank[err >= err_limit] = np.inf
     fits = []
-    for b, pick in enumerate(picks):
-        if pick is None:
-            fits.append((None, None, None, None, None, admissible[b]))
-            continue
-        members, c, norms = pick
-        residual = float(np.linalg.norm(obs[b] - c @ m[members]))
-        fits.append((residual / length[b], residual, c, np.abs(c * norms), members, admissible[b]))
+    for b in range(len(obs)):
+        while True:
+            at = int(rank[b].argmin())
+            if rank[b, at] == np.inf:
+                fits.append((None, None, None, None, None, counts[b]))
+                break
+            members, c, mags, residual = _solve(obs[b], solver, at)
+            if mags.sum() < factor * length[b]:
+                fits.append((residual / length[b], residual, c, mags, members, counts[b]))
+                break
+            rank[b, at] = np.inf
     return fits
 
 
-def _fit_series(obs: pd.Series, phase: pd.Series, tables, max_size, err_limit, factor) -> pd.DataFrame:
+def _admissible(obs, err, length, solver: Solver, err_limit: float, factor: float) -> list[int]:
+    counts = [0] * len(solver.basis)
+    for c in np.flatnonzero(err < err_limit):
+        if _solve(obs, solver, c)[2].sum() < factor * length:
+            counts[len(solver.members[c]) - 1] += 1
+    return counts
+
+
+def _fit_series(obs: pd.Series, phase: pd.Series, tables, max_size, err_limit, factor, count) -> pd.DataFrame:
     n = len(obs)
     out: list = [(None,) * 6] * n
-    usable = np.array([v is not None and not pd.isna(v).any() for v in obs])
+    usable = np.array([v is not None and not pd.isna(v).any() and np.any(v) for v in obs], dtype=bool)
     for p, table in tables.items():
         rows = np.flatnonzero(usable & (phase.to_numpy() == p))
-        vectors = tuple(t[2] for t in table)
-        positions = np.array([t[0] for t in table])
+        if not len(rows):
+            continue
+        solver = _solver(tuple(t[2] for t in table), max_size)
+        positions = [t[0] for t in table]
         for at in range(0, len(rows), BLOCK):
             block = rows[at:at + BLOCK]
-            fits = _fit_block(np.stack([np.asarray(obs.iat[i], dtype=float) for i in block]),
-                              vectors, max_size, err_limit, factor)
-            for i, (err, residual, c, mags, members, counts) in zip(block, fits):
-                chosen = None if members is None else positions[members]
+            stacked = np.stack([np.asarray(obs.iat[i], dtype=float) for i in block])
+            for i, (err, residual, c, mags, members, counts) in zip(
+                    block, _fit_block(stacked, solver, err_limit, factor, count)):
+                chosen = None if members is None else [positions[k] for k in members]
                 out[i] = (err, residual, c, mags, chosen, counts)
     return pd.DataFrame(out, columns=[f.name for f in FIT_TYPE])
 
 
 def fit_vectors(
-    df: DataFrame, signatures: DataFrame, vectors: dict[str, Column], settings: S.Settings, phase: str = S.PHASE
+    df: DataFrame, signatures: DataFrame, vectors: dict[str, Column], settings: S.Settings,
+    phase: str = S.PHASE, count: bool = False,
 ) -> DataFrame:
     """Add one fit struct per named observation vector.
 
-    The candidates' pseudo-inverses depend only on the signatures: each Python
-    worker builds them once and then does matrix products on Arrow batches.
+    An orthonormal basis of every candidate depends only on the signatures: each
+    Python worker builds it once and then does matrix products on Arrow batches.
     """
     tables = collect_signatures(signatures)
     max_size, err_limit, factor = settings.max_signatures, settings.rel_err_limit, settings.magnitude_factor
@@ -142,7 +192,7 @@ def fit_vectors(
     @F.pandas_udf(FIT_TYPE)
     def fit(it: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for obs, ph in it:
-            yield _fit_series(obs, ph, tables, max_size, err_limit, factor)
+            yield _fit_series(obs, ph, tables, max_size, err_limit, factor, count)
 
     return df.select("*", *[fit(v, bt(phase)).alias(n) for n, v in vectors.items()])
 
@@ -195,7 +245,7 @@ def admissible_counts(
     df: DataFrame, signatures: DataFrame, obs: str, settings: S.Settings = S.Settings()
 ) -> DataFrame:
     """Number of admissible candidates of each subset size per observation."""
-    fitted = fit_vectors(df, signatures, {"__fit": bt(obs)}, settings)
+    fitted = fit_vectors(df, signatures, {"__fit": bt(obs)}, settings, count=True)
     return fitted.withColumns({
         f"candidates_{k}": F.get(F.col("__fit.admissible"), F.lit(k - 1))
         for k in range(1, settings.max_signatures + 1)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -41,37 +42,74 @@ def matches(component: str, lag: int) -> Column:
     return hit
 
 
+@dataclass(frozen=True)
+class Rolling:
+    """Max, mean and share above each threshold of the last ``rows`` values."""
+
+    value: str
+    rows: int
+    max_name: str
+    mean_name: str
+    fractions: dict[float, str]
+    match: Column | None = None  # window over matching rows only; others get null
+
+    @property
+    def flag(self) -> str:
+        return f"__match_{self.max_name}"
+
+
+def _apply(
+    df: DataFrame, specs: Sequence[Rolling], keys: Sequence[str], by: Sequence[Column],
+    fresh: Callable[[str, Column], Column],
+) -> DataFrame:
+    """All statistics in two projections.
+
+    Shares come from running counts: the count at a row minus the count
+    ``rows`` rows earlier is exact and costs O(1) per row; only max and mean
+    need the sliding frame. The match flag joins the partition key, so nothing
+    is filtered out and joined back.
+    """
+    counts, out, helpers = {}, {}, []
+    for s in specs:
+        w = Window.partitionBy(*map(bt, keys), s.flag).orderBy(*by)
+        upto = w.rowsBetween(Window.unboundedPreceding, 0)
+        x = bt(s.value)
+        counts |= {f"__n_{s.max_name}": F.count(F.lit(1)).over(upto), f"__x_{s.max_name}": F.count(x).over(upto)}
+        counts |= {f"__t_{n}": F.count(F.when(x > F.lit(float(t)), 1)).over(upto) for t, n in s.fractions.items()}
+        last = lambda name: bt(name) - F.coalesce(F.lag(bt(name), s.rows).over(w), F.lit(0))
+        known = F.col(s.flag) & (last(f"__x_{s.max_name}") > 0)
+        frame = w.rowsBetween(-(s.rows - 1), 0)
+        found = {s.max_name: F.max(x).over(frame), s.mean_name: F.avg(x).over(frame)}
+        # Null values count in the denominator of a share.
+        found |= {n: last(f"__t_{n}") / last(f"__n_{s.max_name}") for n in s.fractions.values()}
+        out |= {n: fresh(n, F.when(known, v)) for n, v in found.items()}
+    return df.withColumns(counts).withColumns(out).drop(*counts)
+
+
 def rolling_stats(
     df: DataFrame,
-    value: str,
-    rows: int,
-    names: tuple[str, str],
-    fractions: dict[float, str],
-    match: Column | None = None,
+    specs: Sequence[Rolling],
     keys: Sequence[str] = S.ENGINE,
     order: Sequence[str] = S.ENGINE_ORDER,
     bounded: bool = False,
 ) -> DataFrame:
-    """Max, mean and share above each threshold of the last ``rows`` rows.
+    """Add the statistics of every spec.
 
-    With ``match`` the window runs over matching rows only and other rows get
-    null: the match flag joins the partition key, so nothing is filtered out
-    and joined back. Null values count in the denominator of a share.
+    If no key is heavy, none of its matched subsets is either: the rows are
+    then partitioned by ``keys`` once, which satisfies every window. Otherwise
+    the subsets are handled one by one.
     """
     by = [bt(c) for c in order]
-    flag = "__match"
     fresh = new_rows_only(df)
-    tagged = df.withColumn(flag, F.lit(True) if match is None else match)
-
-    def stats(d: DataFrame, parts: list[str]) -> DataFrame:
-        w = Window.partitionBy(*map(bt, parts)).orderBy(*by).rowsBetween(-(rows - 1), 0)
-        x = bt(value)
-        known = F.col(flag) & (F.count(x).over(w) > 0)
-        above = {n: F.avg(F.when(x > F.lit(float(t)), 1.0).otherwise(0.0)).over(w) for t, n in fractions.items()}
-        found = {names[0]: F.max(x).over(w), names[1]: F.avg(x).over(w), **above}
-        return d.withColumns({n: fresh(n, F.when(known, v)) for n, v in found.items()})
-
-    return over_series(tagged, [*keys, flag], by, rows - 1, stats, bounded).drop(flag)
+    flags = {s.flag: F.lit(True) if s.match is None else s.match for s in specs}
+    tagged = df.withColumns(flags)
+    if bounded or heavy_keys(df, keys) is None:
+        return _apply(tagged.repartition(*map(bt, keys)), specs, keys, by, fresh).drop(*flags)
+    for s in specs:
+        # The chunk column, if any, takes the place of further keys.
+        stats = lambda d, parts, s=s: _apply(d, [s], [p for p in parts if p != s.flag], by, fresh)
+        tagged = over_series(tagged, [*keys, s.flag], by, s.rows - 1, stats)
+    return tagged.drop(*flags)
 
 
 def summary_stats(
@@ -83,25 +121,16 @@ def summary_stats(
     order: Sequence[str] = S.ENGINE_ORDER,
     bounded: bool = False,
 ) -> DataFrame:
-    """Rolling statistics of every lag and component.
-
-    If no key is heavy none of its matched subsets is either, so the check is
-    done once and the rows are partitioned by ``keys`` once: that satisfies
-    every (keys, match) window below.
-    """
-    bounded = bounded or heavy_keys(df, keys) is None
-    if bounded:
-        df = df.repartition(*map(bt, keys))
-    for lag in settings.lags:
-        for comp in components:
-            value = S.damage_column(comp, lag)
-            if value not in df.columns:
-                df = df.withColumn(value, F.lit(None).cast("double"))
-            df = rolling_stats(
-                df, value, lag, (f"{comp}_MAX{lag}", f"{comp}_MEAN{lag}"),
+    """Rolling statistics of every lag and component."""
+    present = set(df.columns)
+    specs = [
+        Rolling(S.damage_column(comp, lag), lag, f"{comp}_MAX{lag}", f"{comp}_MEAN{lag}",
                 {t: S.fraction_column(comp, t, lag) for t in settings.thresholds},
-                matches(comp, lag) if matched else None, keys, order, bounded)
-    return df
+                matches(comp, lag) if matched else None)
+        for lag in settings.lags for comp in components
+    ]
+    absent = {s.value: F.lit(None).cast("double") for s in specs if s.value not in present}
+    return rolling_stats(df.withColumns(absent) if absent else df, specs, keys, order, bounded)
 
 
 def exceedance_count(df: DataFrame, limit: float = 0.07, name: str = "row_sum") -> DataFrame:
