@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import itertools
 import math
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from fleethealth import schema as S
@@ -26,14 +27,18 @@ ERROR_STEP = 1e-9  # errors closer than this are a tie, the earlier candidate wi
 CLOSE = 1e-3
 BLOCK = 32  # observations solved at once; their errors fit the cache
 
-FIT_TYPE = T.StructType([
-    T.StructField("err", T.DoubleType()),
-    T.StructField("residual", T.DoubleType()),
-    T.StructField("shift", T.ArrayType(T.DoubleType())),
-    T.StructField("magnitude", T.ArrayType(T.DoubleType())),
-    T.StructField("sig_pos", T.ArrayType(T.LongType())),
-    T.StructField("admissible", T.ArrayType(T.LongType())),
-])
+# The helpers below travel with the job: executors need no installed package.
+register_pickle_by_value(sys.modules[__name__])
+
+# Result of one fit, in this order.
+FIT_FIELDS = {
+    "err": T.DoubleType(),
+    "residual": T.DoubleType(),
+    "shift": T.ArrayType(T.DoubleType()),
+    "magnitude": T.ArrayType(T.DoubleType()),
+    "sig_pos": T.ArrayType(T.LongType()),
+    "admissible": T.ArrayType(T.LongType()),
+}
 
 
 def signature_norms(signatures: DataFrame, columns: Sequence[str] = S.SIGNATURE_COLUMNS) -> DataFrame:
@@ -66,47 +71,45 @@ class Solver:
     """Everything about a phase's candidates that does not depend on observations."""
 
     vectors: np.ndarray  # signatures x parameters
+    norms: np.ndarray
     members: list[tuple[int, ...]]  # candidates in (size, lexicographic) order
     starts: list[int]  # first candidate of each size, and the end
-    basis: list[np.ndarray]  # per size: parameters x (size * candidates), orthonormal columns
+    parents: list[np.ndarray]  # per size: the candidate without its last member
+    directions: list[np.ndarray]  # per size: what the last member adds, parameters x candidates
     inverses: list[np.ndarray]  # per size: candidates x size x parameters, pseudo-inverses
-    norms: np.ndarray
 
 
-@lru_cache(maxsize=MAX_PHASES)
 def _solver(vectors: tuple[tuple[float, ...], ...], max_size: int) -> Solver:
     m = np.array(vectors, dtype=float)
-    members, starts, basis, inverses = [], [0], [], []
+    s = Solver(m, np.linalg.norm(m, axis=1), [], [0], [], [], [])
+    before: dict[tuple[int, ...], int] = {(): 0}
     for k in range(1, min(max_size, len(m)) + 1):
         sets = list(itertools.combinations(range(len(m)), k))
         stacked = m[np.array(sets)].transpose(0, 2, 1)
-        u, sv, _ = np.linalg.svd(stacked, full_matrices=False)
         rcond = np.finfo(float).eps * max(m.shape[1], k)
-        cutoff = rcond * sv[:, :1]
-        inverses.append(np.linalg.pinv(stacked, rcond=rcond))
-        u = u * (sv > cutoff)[:, None, :]  # dependent signatures span fewer directions
-        basis.append(np.concatenate([u[:, :, i].T for i in range(k)], axis=1))
-        members += sets
-        starts.append(len(members))
-    return Solver(m, members, starts, basis, inverses, np.linalg.norm(m, axis=1))
-
-
-def _relative_errors(obs: np.ndarray, length: np.ndarray, solver: Solver) -> np.ndarray:
-    """Least-squares error of every candidate: what its span leaves unexplained."""
-    err = np.empty((len(obs), len(solver.members)))
-    for k, q in enumerate(solver.basis, start=1):
-        part = obs @ q
+        q, r = np.linalg.qr(stacked)
+        # A signature that depends on the members before it adds no direction.
+        adds = np.abs(r[:, -1, -1]) > rcond * np.linalg.norm(stacked, axis=(1, 2)) * 16
+        s.directions.append((q[:, :, -1] * adds[:, None]).T.copy())
+        s.parents.append(np.array([before[c[:-1]] for c in sets]))
+        s.inverses.append(np.linalg.pinv(stacked, rcond=rcond))
+        before = {c: i for i, c in enumerate(sets)}
+        s.members.extend(sets)
+        s.starts.append(len(s.members))
+    return s
+
+
+def _explained(obs: np.ndarray, s: Solver) -> np.ndarray:
+    """Squared length of each observation's projection on every candidate's span."""
+    out = np.empty((len(obs), len(s.members)))
+    before = np.zeros((len(obs), 1))
+    for k, direction in enumerate(s.directions):
+        part = out[:, s.starts[k]:s.starts[k + 1]]
+        np.matmul(obs, direction, out=part)
         part *= part
-        lo, hi = solver.starts[k - 1], solver.starts[k]
-        explained = part[:, :hi - lo]
-        for i in range(1, k):
-            explained = explained + part[:, i * (hi - lo):(i + 1) * (hi - lo)]
-        err[:, lo:hi] = explained
-    np.subtract((length**2)[:, None], err, out=err)
-    np.maximum(err, 0.0, out=err)
-    np.sqrt(err, out=err)
-    err /= length[:, None]
-    return err
+        part += before[:, s.parents[k]]
+        before = part
+    return out
 
 
 def _solve(obs: np.ndarray, solver: Solver, candidate: int):
@@ -118,55 +121,60 @@ def _solve(obs: np.ndarray, solver: Solver, candidate: int):
     return members, c, np.abs(c) * solver.norms[members], math.sqrt(rest @ rest)
 
 
-def _fit_block(obs: np.ndarray, solver: Solver, err_limit: float, factor: float, count: bool):
-    """Best admissible candidate of each (non-zero) observation row of one phase.
+def _best(obs, explained, length, solver: Solver, err_limit: float, factor: float):
+    """First candidate of least error among the admissible ones.
 
-    The candidate of least error is solved first; only where its magnitudes are
-    too large the next one is tried.
+    The least error is tried first; only where its magnitudes are too large the
+    next one is. ``explained`` is used up.
     """
-    length = np.linalg.norm(obs, axis=1)
-    err = _relative_errors(obs, length, solver)
-    # Near-perfect fits: the difference above cancels, so take the residual itself.
-    for b in np.flatnonzero(err.min(axis=1) < CLOSE):
-        for c in np.flatnonzero(err[b] < CLOSE):
-            err[b, c] = _solve(obs[b], solver, c)[3] / length[b]
-    counts = [_admissible(obs[b], err[b], length[b], solver, err_limit, factor) if count else None
-              for b in range(len(obs))]
-    rank = np.rint(err / ERROR_STEP)
-    rank[err >= err_limit] = np.inf
-    fits = []
-    for b in range(len(obs)):
-        while True:
-            at = int(rank[b].argmin())
-            if rank[b, at] == np.inf:
-                fits.append((None, None, None, None, None, counts[b]))
-                break
-            members, c, mags, residual = _solve(obs[b], solver, at)
-            if mags.sum() < factor * length[b]:
-                fits.append((residual / length[b], residual, c, mags, members, counts[b]))
-                break
-            rank[b, at] = np.inf
-    return fits
-
-
-def _admissible(obs, err, length, solver: Solver, err_limit: float, factor: float) -> list[int]:
-    counts = [0] * len(solver.basis)
-    for c in np.flatnonzero(err < err_limit):
+    square = length * length
+
+    def reach(err: float) -> float:  # the error is below ``err`` iff more than this is explained
+        return (1.0 - err * err) * square
+
+    while True:
+        top = explained.max()
+        if top <= reach(err_limit):
+            return None
+        err = math.sqrt(max(1.0 - top / square, 0.0))
+        if err < CLOSE:
+            # Near-perfect: the difference above cancels, so rank by the residuals themselves.
+            close = np.flatnonzero(explained > reach(CLOSE))
+            steps = [round(_solve(obs, solver, c)[3] / length / ERROR_STEP) for c in close]
+            at = int(close[int(np.argmin(steps))])
+        else:
+            at = int(np.argmax(explained >= reach(err + ERROR_STEP)))
+        members, c, mags, residual = _solve(obs, solver, at)
+        if mags.sum() < factor * length:
+            return residual / length, residual, c, mags, members
+        explained[at] = -1.0
+
+
+def _admissible(obs, explained, length, solver: Solver, err_limit: float, factor: float) -> list[int]:
+    """Number of admissible candidates of each size."""
+    counts = [0] * len(solver.directions)
+    for c in np.flatnonzero(explained > (1.0 - err_limit**2) * length**2):
         if _solve(obs, solver, c)[2].sum() < factor * length:
             counts[len(solver.members[c]) - 1] += 1
     return counts
 
 
-def _fit_series(obs: pd.Series, phase: pd.Series, tables, max_size, err_limit, factor, count) -> pd.DataFrame:
+def _fit_block(obs: np.ndarray, solver: Solver, err_limit: float, factor: float, count: bool):
+    """Fits of the (non-zero) observation rows of one phase."""
+    explained = _explained(obs, solver)
+    fits = []
+    for o, x, length in zip(obs, explained, np.linalg.norm(obs, axis=1)):
+        counts = _admissible(o, x, length, solver, err_limit, factor) if count else None
+        fits.append((*(_best(o, x, length, solver, err_limit, factor) or (None,) * 5), counts))
+    return fits
+
+
+def _fit_series(obs: pd.Series, phase: pd.Series, solvers, err_limit, factor, count) -> pd.DataFrame:
     n = len(obs)
     out: list = [(None,) * 6] * n
     usable = np.array([v is not None and not pd.isna(v).any() and np.any(v) for v in obs], dtype=bool)
-    for p, table in tables.items():
+    for p, (solver, positions) in solvers.items():
         rows = np.flatnonzero(usable & (phase.to_numpy() == p))
-        if not len(rows):
-            continue
-        solver = _solver(tuple(t[2] for t in table), max_size)
-        positions = [t[0] for t in table]
         for at in range(0, len(rows), BLOCK):
             block = rows[at:at + BLOCK]
             stacked = np.stack([np.asarray(obs.iat[i], dtype=float) for i in block])
@@ -174,7 +182,7 @@ def _fit_series(obs: pd.Series, phase: pd.Series, tables, max_size, err_limit, f
                     block, _fit_block(stacked, solver, err_limit, factor, count)):
                 chosen = None if members is None else [positions[k] for k in members]
                 out[i] = (err, residual, c, mags, chosen, counts)
-    return pd.DataFrame(out, columns=[f.name for f in FIT_TYPE])
+    return pd.DataFrame(out, columns=list(FIT_FIELDS))
 
 
 def fit_vectors(
@@ -183,18 +191,29 @@ def fit_vectors(
 ) -> DataFrame:
     """Add one fit struct per named observation vector.
 
-    An orthonormal basis of every candidate depends only on the signatures: each
-    Python worker builds it once and then does matrix products on Arrow batches.
+    An orthonormal basis of every candidate depends only on the signatures: a
+    task builds it once (about 30 ms) and then does matrix products on Arrow batches.
     """
     tables = collect_signatures(signatures)
     max_size, err_limit, factor = settings.max_signatures, settings.rel_err_limit, settings.magnitude_factor
-
-    @F.pandas_udf(FIT_TYPE)
-    def fit(it: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for obs, ph in it:
-            yield _fit_series(obs, ph, tables, max_size, err_limit, factor, count)
-
-    return df.select("*", *[fit(v, bt(phase)).alias(n) for n, v in vectors.items()])
+    names = [f"{f}_{i}" for i in range(len(vectors)) for f in FIT_FIELDS]
+    types = [t for _ in vectors for t in FIT_FIELDS.values()]
+
+    @F.pandas_udf(T.StructType([T.StructField(n, t) for n, t in zip(names, types)]))
+    def fit(it: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        solvers = {p: (_solver(tuple(x[2] for x in t), max_size), [x[0] for x in t]) for p, t in tables.items()}
+        for ph, *observed in it:
+            fits = [_fit_series(obs, ph, solvers, err_limit, factor, count) for obs in observed]
+            done = pd.concat(fits, axis=1)
+            done.columns = names
+            yield done
+
+    # One Python pass for all vectors of a row.
+    fitted = df.withColumn("__fits", fit(bt(phase), *vectors.values()))
+    return fitted.withColumns({
+        name: F.struct(*[F.col(f"__fits.{f}_{i}").alias(f) for f in FIT_FIELDS])
+        for i, name in enumerate(vectors)
+    }).drop("__fits")
 
 
 def signature_fit(
