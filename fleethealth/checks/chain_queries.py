@@ -39,8 +39,16 @@ _ENGINE = 'PARTITION BY phase, "ESN" ORDER BY reportdatetime, "DSCID", "ACID", "
 _IDS = 'phase, "ESN", operator, "ACID", "ENGPOS", "DSCID", reportdatetime'
 
 
-def trend_ctes() -> str:
-    """Ingest to lag deltas (t_<P> = mean, l<n>_<P> = lag delta), one row per paired report."""
+_GAP = """coalesce(round_even((epoch_us(reportdatetime) - lag(epoch_us(reportdatetime)) OVER (PARTITION BY phase,
+"ESN", "ACID", "ENGPOS" ORDER BY reportdatetime)) / 86400000000.0::DOUBLE, 1), 0) AS gap"""
+
+
+def trend_ctes(context: str = "batch") -> str:
+    """Ingest to lag deltas (t_<P> = mean, l<n>_<P> = lag delta), one row per paired report.
+
+    Day gaps count all reports in batch context, paired ones in history context.
+    """
+    before, after = (f", {_GAP}", "") if context == "batch" else ("", f", {_GAP}")
     sister = ", ".join(
         f"{r5(f'd_{p.name} - CASE WHEN rn = 1 THEN lead(d_{p.name}) OVER w ELSE lag(d_{p.name}) OVER w END')} AS e_{p.name}"
         for p in S.PARAMETERS)
@@ -51,20 +59,19 @@ def trend_ctes() -> str:
                      for n in SETTINGS.lags for p in S.PARAMETERS)
     return f"""{FLEET},
 q AS (SELECT {_IDS}, {_ROUNDED} FROM f WHERE {_COMPLETE} AND ({RANGE_SQL})),
-gaps AS (SELECT *, {_PCT}, coalesce(round_even((epoch_us(reportdatetime) - lag(epoch_us(reportdatetime)) OVER (PARTITION BY phase,
-"ESN", "ACID", "ENGPOS" ORDER BY reportdatetime)) / 86400000000.0::DOUBLE, 1), 0) AS gap FROM q),
+gaps AS (SELECT *, {_PCT}{before} FROM q),
 pairs AS (SELECT *, row_number() OVER w AS rn, {sister},
 CASE WHEN row_number() OVER w = 1 THEN lead("ESN") OVER w ELSE lag("ESN") OVER w END AS sister FROM gaps
 WHERE (phase, "ACID", reportdatetime) IN (SELECT (phase, "ACID", reportdatetime) FROM q GROUP BY ALL HAVING count(DISTINCT "ESN") = 2)
 WINDOW w AS (PARTITION BY phase, "ACID", reportdatetime ORDER BY "ESN")),
 flags AS (SELECT *, row_number() OVER w > 1 AND NOT gap > 4 AND coalesce(lag(sister) OVER w = sister, false) AS ok
-FROM pairs WINDOW w AS ({_ENGINE})),
+FROM (SELECT *{after} FROM pairs) p WINDOW w AS ({_ENGINE})),
 means AS (SELECT *, {means} FROM flags WINDOW w AS ({_ENGINE} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)),
 lags AS (SELECT *, {lags}, row_number() OVER (ORDER BY phase, "ESN", reportdatetime) AS oid FROM means WINDOW w AS ({_ENGINE}))"""
 
 
-def chain_ctes(max_size: int) -> str:
-    ctes = [trend_ctes()]
+def chain_ctes(max_size: int, context: str = "batch") -> str:
+    ctes = [trend_ctes(context)]
     for n in SETTINGS.lags:
         complete = " AND ".join(f"l{n}_{p.name} IS NOT NULL" for p in FITTED)
         vector = ", ".join(f"l{n}_{p.name} AS o{i + 1}" for i, p in enumerate(FITTED))
@@ -151,7 +158,7 @@ def _finish(query) -> int:
     return query.lastProgress["batchId"]
 
 
-@check("stream_incremental_ingest", ALERTS_SQL)
+@check("stream_incremental_ingest", f"{chain_ctes(3, 'history')} {SUMMARY.format(keys=_KEYS)}")
 def stream_incremental_ingest(spark, sf_dir):
     """Three increments through the chain equal one full run."""
     _, stream = _arrivals(spark, V.fleet(spark, sf_dir), S.TIME)

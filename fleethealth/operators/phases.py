@@ -162,12 +162,14 @@ def alert_summary(
     fired = bt("DN_FIRE") == "YES"
     stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
     known = reduce(lambda a, b: a & b, [bt(k).isNotNull() for k in keys])
-    return df.where(known).groupBy(*map(bt, keys)).agg(
-        F.max(F.when(fired, "YES").otherwise("NO")).alias("DN_FIRED"),
-        F.sum(F.when(fired, 1).otherwise(0)).cast("long").alias("DN_FIRES"),
-        stamp(F.min(F.when(fired, bt(time)))).alias("First DN fire"),
-        stamp(F.max(F.when(fired, bt(time)))).alias("Last DN fire"),
-    )
+    # Only fixed-width buffers, so this stays a hash aggregate on both sides of the shuffle.
+    found = df.where(known).groupBy(*map(bt, keys)).agg(
+        F.count(F.when(fired, 1)).alias("__n"),
+        F.min(F.when(fired, bt(time))).alias("__first"), F.max(F.when(fired, bt(time))).alias("__last"))
+    return found.select(
+        *map(bt, keys),
+        F.when(F.col("__n") > 0, "YES").otherwise("NO").alias("DN_FIRED"), F.col("__n").alias("DN_FIRES"),
+        stamp(F.col("__first")).alias("First DN fire"), stamp(F.col("__last")).alias("Last DN fire"))
 
 
 VALID_SETS = ((53, 54, 52), (53, 52), (53, 54), (54, 52))

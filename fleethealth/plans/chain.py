@@ -61,7 +61,7 @@ def ingest(
     merged = history.merge_history(stored, cleaned, query_columns, settings.n_points, bounded=spread.engines)
     staged = clean.enforce_schema(merged, S.stage_schema(settings)).select(*map(bt, S.stage_columns(settings)))
     flagged = clean.new_flag(staged, checkpoint)
-    return flags.days_since_prev(flagged, context=settings.context, bounded=True)
+    return flags.days_since_prev(flagged, bounded=True) if settings.context == "batch" else flagged
 
 
 def run_stages(
@@ -70,12 +70,15 @@ def run_stages(
     """Ingested rows to the fully widened stage table.
 
     Rows per (phase, engine) are bounded by ``n_points`` here, so the engine
-    windows need no hot-key check.
+    windows need no hot-key check. In history context day gaps are taken here,
+    between paired reports: unpaired ones are not stored, so a gap to them would
+    depend on where the input was cut.
     """
+    paired = df.transform(deltas.percent_delta).transform(deltas.sister_delta, bounded=spread.pairs)
+    if settings.context == "history":
+        paired = flags.days_since_prev(paired, context="history", bounded=True)
     staged = (
-        df.transform(deltas.percent_delta)
-        .transform(deltas.sister_delta, bounded=spread.pairs)
-        .transform(flags.engine_flags, settings.min_sv_dur, context=settings.context, bounded=True)
+        paired.transform(flags.engine_flags, settings.min_sv_dur, context=settings.context, bounded=True)
         .transform(trend.masked_rolling_mean, window=settings.window, bounded=True)
         .transform(trend.lag_delta, lags=settings.lags, bounded=True)
         .transform(fit.signature_fit, signatures, settings)
