@@ -153,6 +153,12 @@ def _arrivals(spark, rows: DataFrame, time: str) -> tuple[str, DataFrame]:
     return path, spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
+def _to_parquet(stream: DataFrame, out: str):
+    with state.state_partitions(stream.sparkSession):
+        return (stream.writeStream.format("parquet").option("path", out)
+                .option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start())
+
+
 def _finish(query) -> int:
     query.awaitTermination()
     return query.lastProgress["batchId"]
@@ -180,8 +186,7 @@ def stream_dedup(spark, sf_dir):
     stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path)
     out = scratch_dir(spark, "deduplicated")
     unique = jobs.dedup_stream(stream, ["event_id", "ESN", S.TIME], delay="14 days")
-    _finish(unique.writeStream.format("parquet").option("path", out)
-            .option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start())
+    _finish(_to_parquet(unique, out))
     return spark.read.parquet(out)
 
 
@@ -195,8 +200,7 @@ def stream_phase_join(spark, sf_dir):
     _, stream = _arrivals(spark, r, S.TIME)
     out = scratch_dir(spark, "phase-pairs")
     pairs = jobs.phase_pairs_stream(stream, minutes=24 * 60, keys=["ESN"])
-    _finish(pairs.writeStream.format("parquet").option("path", out)
-            .option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start())
+    _finish(_to_parquet(pairs, out))
     return jobs.nearest_pairs(spark.read.parquet(out), ["ESN"])
 
 

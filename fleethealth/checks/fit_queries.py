@@ -92,7 +92,7 @@ def _new_vectors(spark, sf_dir, lag):
         F.element_at("obs", i + 1).alias(S.lag_column(c, lag)) for i, c in enumerate(S.FITTED_MEAN)])
 
 
-def _sigs(spark, sf_dir, phases=("cruise",)):
+def _sigs(spark, sf_dir, phases=S.PHASES):
     return fit.signature_norms(V.signatures(spark, sf_dir, phases))
 
 

@@ -92,9 +92,10 @@ SIG_ID_SQL = ("CASE WHEN vec_id % 4 = 0 THEN 'IPC ETA' WHEN vec_id % 4 = 1 THEN
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observation vectors: 9 components per embedding, all rows."""
+    """Observation vectors: 9 components per embedding, all rows; the label tells the phase."""
+    phases = F.array(*[F.lit(p) for p in S.PHASES])
     return table(spark, sf_dir, "embeddings").select(
-        "vec_id", F.lit("cruise").alias("phase"),
+        "vec_id", F.element_at(phases, F.col("label") % len(S.PHASES) + 1).alias("phase"),
         F.transform(F.slice("embedding", 1, 9), lambda x: x.cast("double")).alias("obs"))
 
 

@@ -1,3 +1,3 @@
 from fleethealth.functions.expr import (  # noqa: F401
-    bt, dot, micros, norm, null_if_nan, new_rows_only, rounded, r5, total_order, vector_norm,
+    bt, dot, micros, norm, null_if_nan, new_rows_only, rounded, r5, slice_of, total_order, vector_norm,
 )

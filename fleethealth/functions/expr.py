@@ -39,6 +39,11 @@ def micros(ts: str) -> Column:
     )
 
 
+def slice_of(us: Column, width: int) -> Column:
+    """Number of the time slice of ``width`` microseconds (exact, also before 1970)."""
+    return ((us - F.pmod(us, F.lit(width))) / F.lit(width)).cast("long")
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleethealth import schema as S
-from fleethealth.functions import bt, micros
+from fleethealth.functions import bt, micros, slice_of
 from fleethealth.operators.skew import first_n
 
 
@@ -118,7 +118,7 @@ def retain_within_bytes(
              .withColumn("__bytes", row_bytes(df.columns) if size is None else size)
              .withColumn("__us", micros(time)))
     drop = ["__bytes", "__us"]
-    day, second = F.floor(F.col("__us") / 86_400_000_000), F.floor(F.col("__us") / 1_000_000)
+    day, second = (slice_of(F.col("__us"), w) for w in (86_400_000_000, 1_000_000))
     cut_day, used_days = _cut(sized, day, limit)
     if cut_day is None:
         return sized.drop(*drop)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleethealth import schema as S
-from fleethealth.functions import bt, micros
+from fleethealth.functions import bt, micros, slice_of
 from fleethealth.operators.skew import with_group
 
 MINUTE = 60_000_000
@@ -55,7 +55,7 @@ def phase_asof(
     wanted = [driver, *[x.phase for x in lookups]]
     base = (df.where(known & bt(S.PHASE).isin(wanted))
             .select(*map(bt, keys), bt(S.PHASE), bt(time), bt(value), micros(time).alias("__us"))
-            .withColumn("__home", F.floor(us / F.lit(width)).cast("long")))
+            .withColumn("__home", slice_of(us, width)))
     offset = F.pmod(us, F.lit(width))
     near = offset < reach if forward else offset >= width - reach
     other = home - 1 if forward else home + 1
@@ -102,7 +102,7 @@ def next_report(
     """
     width = slice_hours * 60 * MINUTE
     event = F.struct(bt(us).alias("us"), *[bt(c) for c in payload])
-    sliced = df.withColumn("__slice", F.floor(bt(us) / F.lit(width)).cast("long"))
+    sliced = df.withColumn("__slice", slice_of(bt(us), width))
     w = (Window.partitionBy(*map(bt, keys), "__slice").orderBy(-bt(us))
          .rangeBetween(Window.unboundedPreceding, -1))
     inside = sliced.withColumn("__in", F.min(F.when(target, event)).over(w))

@@ -15,7 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fleethealth.functions import bt
+from fleethealth.functions import bt, slice_of
 from fleethealth.session import ensure_checkpoint_dir
 
 HOT_ROWS_CONF = "spark.fleethealth.hotKeyRows"
@@ -108,7 +108,7 @@ def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], lookbac
     """Cut each key into equal chunks and prefix each with ``lookback`` halo rows."""
     rows = max(lookback + 1, hot_rows(df) // 4)
     pos = F.col(_POS)
-    home = F.floor(pos / F.lit(rows)).cast("long")
+    home = slice_of(pos, rows)
     spill = (pos % F.lit(rows)) >= F.lit(rows - lookback)
     homes = F.when(spill, F.array(home, home + 1)).otherwise(F.array(home))
     return (

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleethealth import schema as S
 from fleethealth.functions import bt, new_rows_only, r5
-from fleethealth.operators.skew import over_series, running_sum
+from fleethealth.operators.skew import over_series, running_sum, with_group
 
 FLAGS = ("FlagSV", "FlagSisChg")
 
@@ -25,7 +25,8 @@ def _window(parts: Sequence[str], by: Sequence[Column]):
 
 def engines_with_new_data(df: DataFrame, keys: Sequence[str] = S.ENGINE) -> DataFrame:
     """All rows of engines that have at least one new row."""
-    return df.join(distinct_new_engines(df, keys), list(keys), "left_semi")
+    newest = with_group(df, keys, {"__new": F.max(bt(S.NEW_FLAG))})
+    return newest.where(F.col("__new") == 1).drop("__new")
 
 
 def distinct_new_engines(df: DataFrame, keys: Sequence[str] = S.ENGINE) -> DataFrame:

@@ -17,7 +17,7 @@ from fleethealth import schema as S
 from fleethealth.functions import bt
 from fleethealth.operators import clean, deltas, fit, flags, history, phases, stats, trend
 from fleethealth.operators.skew import heavy_keys
-from fleethealth.sources.state import low_watermark
+from fleethealth.sources.state import low_watermark, tap
 
 
 @dataclass
@@ -50,7 +50,8 @@ def ingest(
     spread: Spread = Spread(),
 ) -> DataFrame:
     """Clean the increment, merge it with the stored rows and flag new rows."""
-    query_columns = [S.PHASE, *S.REPORT_COLUMNS]
+    # Time and engine first: the dedup sorts by these columns and rarely looks past them.
+    query_columns = [S.TIME, "ESN", S.PHASE, *[c for c in S.REPORT_COLUMNS if c not in (S.TIME, "ESN")]]
     cleaned = (
         new.select(*query_columns)
         .transform(clean.drop_null_rows)
@@ -65,23 +66,31 @@ def ingest(
 
 
 def run_stages(
-    df: DataFrame, signatures: DataFrame, settings: S.Settings = S.Settings(), spread: Spread = Spread()
+    df: DataFrame, signatures: DataFrame, settings: S.Settings = S.Settings(), spread: Spread = Spread(),
+    snapshots: str | None = None,
 ) -> DataFrame:
     """Ingested rows to the fully widened stage table.
 
     Rows per (phase, engine) are bounded by ``n_points`` here, so the engine
     windows need no hot-key check. In history context day gaps are taken here,
     between paired reports: unpaired ones are not stored, so a gap to them would
-    depend on where the input was cut.
+    depend on where the input was cut. With ``snapshots`` (a shared folder) the
+    trend and fit stages are written there and read back: the Python fit is then
+    never repeated, whatever happens to the stages after it.
     """
+    snap = (lambda d, name: tap(d, f"{snapshots}/{name}")) if snapshots else (lambda d, name: d)
     paired = df.transform(deltas.percent_delta).transform(deltas.sister_delta, bounded=spread.pairs)
     if settings.context == "history":
         paired = flags.days_since_prev(paired, context="history", bounded=True)
-    staged = (
+    trends = (
         paired.transform(flags.engine_flags, settings.min_sv_dur, context=settings.context, bounded=True)
         .transform(trend.masked_rolling_mean, window=settings.window, bounded=True)
         .transform(trend.lag_delta, lags=settings.lags, bounded=True)
-        .transform(fit.signature_fit, signatures, settings)
+        .transform(snap, "trend")
+    )
+    staged = (
+        trends.transform(fit.signature_fit, signatures, settings)
+        .transform(snap, "fit")
         .transform(stats.damage_shift, settings.lags)
         .transform(stats.summary_stats, settings, bounded=True)
         .transform(stats.exceedance_count, settings.fraction_limit)
@@ -106,9 +115,10 @@ def run_increment(
     settings: S.Settings = S.Settings(),
     checkpoint: datetime | None = None,
     check_skew: bool = True,
+    snapshots: str | None = None,
 ) -> Result:
     spread = check_spread(new) if check_skew else Spread()
-    stage = run_stages(ingest(new, stored, settings, checkpoint, spread), signatures, settings, spread)
+    stage = run_stages(ingest(new, stored, settings, checkpoint, spread), signatures, settings, spread, snapshots)
     merged, summary = evaluate(stage, settings)
     return Result(stage, merged, summary, low_watermark(new))
 

@@ -26,6 +26,9 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def build_session(app: str = "fleethealth", master: str | None = None, **conf) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -47,8 +50,7 @@ def shared_dir(spark: SparkSession) -> str:
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="fleethealth-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _LOCAL_DIRS.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="fleethealth-"))
     return base.rstrip("/")
 
 

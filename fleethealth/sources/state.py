@@ -51,6 +51,13 @@ def write_stage(df: DataFrame, path: str, sort_by: Sequence[str] = (S.TIME,), fm
     return path
 
 
+def tap(df: DataFrame, path: str) -> DataFrame:
+    """Snapshot of a stage: written once, then read back, so later stages (and
+    recomputation after a lost executor) start from the files."""
+    write_stage(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_outputs(root: str, stage: DataFrame, merged: DataFrame, summary: DataFrame) -> dict[str, str]:
     """History per phase, matched flights and the alert summary."""
     paths = {n: f"{root}/{n}" for n in ("history", "merged", "summary")}

@@ -6,9 +6,28 @@ failure overwrites only its own version, so every batch takes effect once.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None) -> Iterator[None]:
+    """Number of state stores of a query started inside the block.
+
+    It is fixed for the life of a query's checkpoint, so size it for the
+    cluster: by default one per core. Each store costs a commit per micro-batch.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def version(root: str, batch_id: int, name: str) -> str:
     return f"{root}/v-{batch_id:08d}/{name}"
 
