@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleethealth.schema import NEW_FLAG
 
 
+UTC_NAMES = ("UTC", "Etc/UTC", "Z", "GMT", "+00:00")
+
+
 def bt(name: str) -> Column:
     """Column by exact name; names such as IPC_FRACTION_GT_0.2_50 hold dots."""
     return F.col(f"`{name}`")
@@ -29,10 +32,14 @@ def null_if_nan(c: Column) -> Column:
 
 
 def micros(ts: str) -> Column:
-    """Microseconds since the epoch of a TIMESTAMP_NTZ column.
+    """Microseconds since the epoch of a TIMESTAMP_NTZ column's wall clock.
 
-    Built from the wall-clock fields, so the session time zone plays no part.
+    In a UTC session that is a plain cast; in any other one the value is built
+    from the clock fields, so that daylight saving leaves no gap.
     """
+    session = SparkSession.getActiveSession()
+    if session is not None and session.conf.get("spark.sql.session.timeZone") in UTC_NAMES:
+        return F.unix_micros(bt(ts).cast("timestamp"))
     return F.expr(
         f"unix_date(cast(`{ts}` as date)) * 86400000000L + hour(`{ts}`) * 3600000000L"
         f" + minute(`{ts}`) * 60000000L + cast(extract(second from `{ts}`) * 1000000 as bigint)"

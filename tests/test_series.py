@@ -193,3 +193,15 @@ def test_forward_lookup(frame):
     assert (row["row_sum_takeoff"], row["row_sum_climb"], row["row_sum_cruise"]) == (1, 2, None)
     near = phases.phase_asof_forward(df, [Lookup("cruise", "cruise", 61)]).first()
     assert near["row_sum_cruise"] == 4
+
+
+def test_time_arithmetic_ignores_the_session_zone(spark, frame):
+    """Across a daylight-saving change of the session's zone, gaps keep the wall clock."""
+    df = frame({"phase": ["cruise"] * 3, "ESN": [1] * 3, "ACID": ["A"] * 3, "ENGPOS": [1] * 3, "NEW_FLAG": [1] * 3,
+                "reportdatetime": [at(d) for d in (29, 30, 31)]})
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        assert values(flags.days_since_prev(df, order=ORDER), "days_since_prev") == [0.0, 1.0, 1.0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
