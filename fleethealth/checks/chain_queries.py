@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from fleethealth import schema as S
 from fleethealth.checks import views as V
-from fleethealth.checks.fit_queries import _dot, _sigs, fit_sql, label
+from fleethealth.checks.fit_queries import _sigs, fit_sql, label
 from fleethealth.checks.match_queries import SUMMARY
 from fleethealth.checks.registry import check, r5
 from fleethealth.checks.row_queries import RANGE_SQL, _COMPLETE

@@ -8,6 +8,7 @@ read is never overwritten and a failed job leaves the old state in place.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 from datetime import datetime
@@ -115,21 +116,78 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def commit(df: DataFrame, table: str) -> None:
-    """Write ``df`` as the table's new state and switch to it."""
-    spark = df.sparkSession
+def _spec(row) -> str:
+    """Partition spec of a row of partition values."""
+    if any(v is None for v in row):
+        raise ValueError("partition values must not be null")
+    quoted = {n: str(v).replace("\\", "\\\\").replace("'", "\\'") for n, v in row.asDict().items()}
+    return "PARTITION (" + ", ".join(f"`{n}` = '{v}'" for n, v in quoted.items()) + ")"
+
+
+def _folder(path: str, row) -> str:
+    """Folder of a partition as Spark names it (special characters as %XX)."""
+    escape = lambda v: re.sub(r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", str(v))
+    return "/".join([path, *[f"{escape(n)}={escape(v)}" for n, v in row.asDict().items()]])
+
+
+def commit(df: DataFrame, table: str, touched: Sequence | None = None) -> None:
+    """Write ``df`` as the new state and switch to it.
+
+    An unpartitioned table switches its location at once; a partitioned one
+    partition by partition, and with ``touched`` (rows of partition values)
+    only those are replaced and no other file is rewritten.
+    """
+    spark, name = df.sparkSession, quote(table)
     path = _version(_root(spark, table))
     parts = partition_columns(spark, table)
-    writer = df.write.mode("errorifexists")
-    (writer.partitionBy(*parts) if parts else writer).parquet(path)
-    spark.sql(f"ALTER TABLE {quote(table)} SET LOCATION '{path}'")
+    if not parts:
+        df.write.mode("errorifexists").parquet(path)
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    else:
+        before = spark.table(table).select(*map(bt, parts)).distinct().collect() if touched is None else touched
+        df.write.mode("errorifexists").partitionBy(*parts).parquet(path)
+        # One row per partition; the files' own values are not read for this.
+        written = spark.read.schema(df.schema).parquet(path).select(*map(bt, parts)).distinct().collect()
+        for row in written:
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {_spec(row)} LOCATION '{_folder(path, row)}'")
+            spark.sql(f"ALTER TABLE {name} {_spec(row)} SET LOCATION '{_folder(path, row)}'")
+        for row in set(before) - set(written):
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {_spec(row)}")
     spark.catalog.refreshTable(table)
-    if parts:
-        spark.catalog.recoverPartitions(table)
+
+
+MAX_TOUCHED = 10_000
+
+
+def _touched(updates: DataFrame, parts: Sequence[str], keys: Sequence[str]) -> list | None:
+    """Partitions the updates fall into; None if that does not narrow anything down."""
+    if not parts or not set(parts) <= set(keys):
+        return None
+    rows = updates.select(*map(bt, parts)).distinct().limit(MAX_TOUCHED + 1).collect()
+    return rows if len(rows) <= MAX_TOUCHED else None
+
+
+def _in_partitions(rows: Sequence) -> Column:
+    """Literal condition on partition columns, so the scan prunes folders."""
+    hit = F.lit(False)
+    for r in rows:
+        same = F.lit(True)
+        for n, v in r.asDict().items():
+            same = same & (bt(n) == F.lit(v))
+        hit = hit | same
+    return hit
 
 
 def upsert(updates: DataFrame, table: str, keys: Sequence[str] = ("ESN", S.TIME)) -> None:
-    commit(upserted(updates.sparkSession.table(table), updates, keys), table)
+    """Insert or replace by key. If the partition columns are part of the key,
+    only the partitions that receive updates are read and written."""
+    spark = updates.sparkSession
+    base = spark.table(table)
+    rows = _touched(updates, partition_columns(spark, table), keys)
+    if rows is None:
+        commit(upserted(base, updates, keys), table)
+    elif rows:
+        commit(upserted(base.where(_in_partitions(rows)), updates, keys), table, rows)
 
 
 def age_new_flag(spark: SparkSession, table: str, until: datetime) -> None:

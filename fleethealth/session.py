@@ -50,7 +50,10 @@ def shared_dir(spark: SparkSession) -> str:
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = _LOCAL_DIRS.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="fleethealth-"))
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_DIRS:
+            _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="fleethealth-")
+        base = _LOCAL_DIRS[app]
     return base.rstrip("/")
 
 

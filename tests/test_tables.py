@@ -70,10 +70,43 @@ def test_null_rows_truncate_clone(spark, table, frame):
     assert spark.table(table).columns == COLUMNS
 
 
-def test_partitioned_table_keeps_its_partitions(spark, table, frame):
+@pytest.fixture
+def by_engine(spark, table, frame):
     name = table + "_by_esn"
     tables.create_table(spark, name, S.struct_of(["reportdatetime", "NEW_FLAG", "ESN"]), scratch_dir(spark, "p"), ["ESN"])
-    tables.append_table(frame({"ESN": [1, 2], "reportdatetime": [at(0), at(1)], "NEW_FLAG": [1, 1]}), name)
+    tables.append_table(frame({"ESN": [1, 1, 2], "reportdatetime": [at(0), at(1), at(1)], "NEW_FLAG": [1] * 3}), name)
+    return name
+
+
+def state(spark, name):
+    return sorted((r["ESN"], r["reportdatetime"], r["NEW_FLAG"]) for r in spark.table(name).collect())
+
+
+def test_partitioned_table_keeps_its_partitions(spark, by_engine):
+    tables.age_new_flag(spark, by_engine, at(0))
+    assert tables.partition_columns(spark, by_engine) == ["ESN"]
+    assert state(spark, by_engine) == [(1, at(0), 0), (1, at(1), 1), (2, at(1), 1)]
+    tables.append_table(spark.table(by_engine).where("ESN = 2"), by_engine)
+    assert len(state(spark, by_engine)) == 4
+    tables.delete_after(spark, by_engine, at(0))  # partition 2 is gone as a whole
+    assert state(spark, by_engine) == [(1, at(0), 0)]
+    tables.truncate_table(spark, by_engine)
+    assert state(spark, by_engine) == []
+
+
+def test_upsert_rewrites_only_touched_partitions(spark, by_engine, frame):
+    files = lambda esn: {r[0] for r in spark.table(by_engine).where(f"ESN = {esn}").select("_metadata.file_path").collect()}
+    one, two = files(1), files(2)
+    tables.upsert(frame({"ESN": [1, 3], "reportdatetime": [at(1), at(5)], "NEW_FLAG": [0, 0]}), by_engine)
+    assert state(spark, by_engine) == [(1, at(0), 1), (1, at(1), 0), (2, at(1), 1), (3, at(5), 0)]
+    assert files(2) == two and files(1).isdisjoint(one)
+
+
+def test_partition_values_with_special_characters(spark, table, frame):
+    name = table + "_by_operator"
+    tables.create_table(spark, name, S.struct_of(["ESN", "NEW_FLAG", "reportdatetime", "operator"]),
+                        scratch_dir(spark, "o"), ["operator"])
+    odd = ["a:b c", "it's 50%", "x/y=z"]
+    tables.append_table(frame({"ESN": [1, 2, 3], "NEW_FLAG": [1] * 3, "reportdatetime": [at(0)] * 3, "operator": odd}), name)
     tables.age_new_flag(spark, name, at(0))
-    assert tables.partition_columns(spark, name) == ["ESN"]
-    assert {r["ESN"]: r["NEW_FLAG"] for r in spark.table(name).collect()} == {1: 0, 2: 1}
+    assert sorted((r["operator"], r["NEW_FLAG"]) for r in spark.table(name).collect()) == sorted((o, 0) for o in odd)
