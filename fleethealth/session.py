@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,9 +25,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_LOCAL_DIRS: dict[str, str] = {}
-
-
 def build_session(app: str = "fleethealth", master: str | None = None, **conf) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -39,21 +35,16 @@ def build_session(app: str = "fleethealth", master: str | None = None, **conf) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only where that is unset, and only in local mode, a temporary folder is used.
+    Where that is unset, a folder below the warehouse, which is shared as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = current.get() if current.isDefined() else None
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        app = spark.sparkContext.applicationId
-        if app not in _LOCAL_DIRS:
-            _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="fleethealth-")
-        base = _LOCAL_DIRS[app]
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return base.rstrip("/")
 
 
