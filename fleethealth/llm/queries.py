@@ -32,6 +32,13 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents"), 40)
 
 
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fleethealth.llm import quality
+
+    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fleethealth.llm import token_files
@@ -48,3 +55,10 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut_pieces(
         table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), end_id=0, capacity=2048)
     return packing.pack(pieces, 2048)
+
+
+@query
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fleethealth.llm import secret_scan
+
+    return secret_scan.digest(table(spark, sf_dir, "documents"))
