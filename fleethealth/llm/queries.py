@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from fleethealth.llm import packing, quality, secret_scan, sharding, token_files, topk
 from fleethealth.session import scratch_dir, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op6_block_max_top_k": topk.DIGEST_SQL}
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 
@@ -27,31 +28,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from fleethealth.llm import sharding
-
     return sharding.digest(table(spark, sf_dir, "documents"), 40)
 
 
 @query
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from fleethealth.llm import quality
-
     return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 @query
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from fleethealth.llm import token_files
-
     folder = scratch_dir(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path(WORD_TOKENIZER), end_id=2)
     return token_files.digest(token_files.read(spark, folder))
 
 
 @query
-def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from fleethealth.llm import packing
+def op6_block_max_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.digest(table(spark, sf_dir, "embeddings"))
 
+
+@query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut_pieces(
         table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER), end_id=0, capacity=2048)
     return packing.pack(pieces, 2048)
@@ -59,6 +57,4 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from fleethealth.llm import secret_scan
-
     return secret_scan.digest(table(spark, sf_dir, "documents"))
