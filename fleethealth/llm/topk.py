@@ -155,6 +155,6 @@ WITH v AS (
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
 )
 SELECT query_id, CAST(row_number() OVER w AS INT) AS rank, vec_id, score
-FROM s QUALIFY row_number() OVER w <= 5
-WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+FROM s WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 5
 """
