@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleethealth.llm import packing, quality, secret_scan, sharding, token_files, topk
+from fleethealth.llm import nbest, packing, quality, secret_scan, sharding, token_files, topk
 from fleethealth.session import scratch_dir, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,7 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {"op6_block_max_top_k": topk.DIGEST_SQL}
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def query(fn: Query) -> Query:
@@ -48,6 +49,11 @@ def op6_block_max_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.digest(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op8_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbest.digest(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL), n=4)
+
+
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut_pieces(

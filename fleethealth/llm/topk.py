@@ -145,13 +145,13 @@ def digest(embeddings: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
 #: The same result for one vector width, in DuckDB.
 DIGEST_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS t
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS t
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-         CAST(list_sum(list_transform(list_zip(q.t, c.t), p -> p[1] * p[2])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(list_zip(q.t, c.t), lambda p: p[1] * p[2])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
 )
 SELECT query_id, CAST(row_number() OVER w AS INT) AS rank, vec_id, score
