@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleethealth.llm import nbest, packing, quality, secret_scan, sharding, token_files, topk
+from fleethealth.llm import nbest, packing, quality, secret_scan, sharding, token_files, topk, winnow
 from fleethealth.session import scratch_dir, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,11 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(token_files.read(spark, folder))
 
 
+@query
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_block_max_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.digest(table(spark, sf_dir, "embeddings"))
