@@ -34,10 +34,29 @@ from pyspark.sql import DataFrame, functions as F, types as T
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Chunks kept per worker process, in two generations.
-MAX_CHUNKS = 400_000
+MAX_CHUNKS = 1_000_000
 _CHUNKS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 
 
+class _Chunks(dict):
+    """(ids, score, loss of the second best) by chunk; two generations, so that
+    frequent chunks outlive a full cache."""
+
+    def __init__(self, model: PieceModel) -> None:
+        self.model, self.old = model, {}
+
+    def __missing__(self, s: str) -> tuple[bytes, float, float]:
+        found = self.old.get(s)
+        if found is None:
+            best = self.model.best_of_chunk(s, 2)
+            found = (best[0][1], best[0][0], best[0][0] - best[1][0] if len(best) > 1 else float("inf"))
+        if len(self) >= MAX_CHUNKS // 2:
+            self.old = dict(self)
+            self.clear()
+        self[s] = found
+        return found
+
+
 class PieceModel:
     """Pieces and scores of a model file."""
 
@@ -57,31 +76,37 @@ class PieceModel:
         self.spelled = [sp.id_to_piece(i).encode() if i in known else b"" for i in every]
         for value, i in self.bytes.items():
             self.spelled[i] = bytes([value])
-        self.new: dict[str, tuple] = {}
-        self.old: dict[str, tuple] = {}
-
-    def edges(self, s: str) -> list[list[tuple[int, float, bytes]]]:
-        """Per end place the (begin, score, ids) of the pieces that end there."""
-        into: list[list[tuple[int, float, bytes]]] = [[] for _ in range(len(s) + 1)]
-        begun, n = self.begun, len(s)
-        for i, c in enumerate(s):
-            if begun.get(c) is None:
-                ids = [self.bytes.get(b, self.unk) for b in c.encode()]
+        self.cache = _Chunks(self)
+
+    def lattice(self, s: str) -> tuple[list[list[tuple[int, float, bytes]]], list[float]]:
+        """Per end place the (begin, score, ids) of the pieces that end there, and
+        the best score of every prefix (Viterbi: a place is settled before its
+        own edges are followed)."""
+        n = len(s)
+        into: list[list[tuple[int, float, bytes]]] = [[] for _ in range(n + 1)]
+        forward = [-float("inf")] * n + [-float("inf") if n else 0.0]
+        forward[0] = 0.0
+        get = self.begun.get
+        for i in range(n):
+            here = forward[i]
+            if get(s[i]) is None:
+                ids = [self.bytes.get(b, self.unk) for b in s[i].encode()]
                 into[i + 1].append((i, self.unknown, np.array(ids, dtype="<u4").tobytes()))
+                forward[i + 1] = max(forward[i + 1], here + self.unknown)
             for j in range(i + 1, n + 1):
-                found = begun.get(s[i:j], ())
+                found = get(s[i:j], ())
                 if found:
-                    into[j].append((i, *found))
+                    score = found[0]
+                    into[j].append((i, score, found[1]))
+                    if here + score > forward[j]:
+                        forward[j] = here + score
                 elif found == ():
                     break
-        return into
+        return into, forward
 
     def best_of_chunk(self, s: str, n: int) -> list[tuple[float, bytes]]:
         """The ``n`` best (score, ids) of one lattice, best first."""
-        into = self.edges(s)
-        forward = [0.0] * (len(s) + 1)
-        for j in range(1, len(s) + 1):
-            forward[j] = max(forward[i] + score for i, score, _ in into[j])
+        into, forward = self.lattice(s)
         out: list[tuple[float, bytes]] = []
         # (-(score so far + best of the rest), place, order of entry, score so far, ids of the end or None, hypothesis behind)
         heap = [(-forward[-1], len(s), 0, 0.0, b"", None)]
@@ -106,19 +131,6 @@ class PieceModel:
                 entry += 1
         return out
 
-    def chunk(self, s: str) -> tuple[bytes, float, float]:
-        """(ids, score, loss of the second best) of a chunk."""
-        found = self.new.get(s)
-        if found is None:
-            found = self.old.get(s)
-            if found is None:
-                best = self.best_of_chunk(s, 2)
-                found = (best[0][1], best[0][0], best[0][0] - best[1][0] if len(best) > 1 else float("inf"))
-            if len(self.new) >= MAX_CHUNKS // 2:
-                self.new, self.old = {}, self.new
-            self.new[s] = found
-        return found
-
     def chunks(self, text: str) -> list[str]:
         s = self.sp.normalize(text)
         return (_CHUNKS.findall(s) if self.apart else [s]) if s else []
@@ -126,7 +138,7 @@ class PieceModel:
     def segmentations(self, text: str, n: int) -> list[tuple[float, bytes]]:
         """The ``n`` best (score, ids) of a whole text, best first."""
         chunks = self.chunks(text)
-        found = list(map(self.chunk, chunks))
+        found = list(map(self.cache.__getitem__, chunks))
         best = [f[0] for f in found]
         total = sum(f[1] for f in found)
         out = [(total, b"".join(best))]

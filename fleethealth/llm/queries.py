@@ -7,12 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleethealth.llm import nbest, packing, quality, secret_scan, sharding, token_files, topk, winnow
+from fleethealth.llm import minhash, nbest, packing, quality, secret_scan, sharding, substring, token_files, topk, winnow
 from fleethealth.session import scratch_dir, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {"op6_block_max_top_k": topk.DIGEST_SQL}
+SQL: dict[str, str] = {
+    "op6_block_max_top_k": topk.DIGEST_SQL,
+    "op7_substring_fm_index": substring.DIGEST_SQL,
+}
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -49,11 +52,21 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=5, percent=75)
+
+
 @query
 def op6_block_max_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.digest(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op7_substring_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(table(spark, sf_dir, "documents"), window=13)
+
+
 @query
 def op8_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbest.digest(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL), n=4)
