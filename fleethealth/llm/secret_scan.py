@@ -12,8 +12,8 @@ documents and keeps a sample of at most ``max_rows`` by hash. Dictionary and
 transition counts are part of the fit and come from the same findings.
 
 Texts may be null or empty (no candidates). Every occurrence of a repeated
-candidate is judged by its own neighbours. Without findings of both labels
-nothing is a secret.
+candidate is judged by its own neighbours. Without any finding that is
+labelled 0 nothing is a secret.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ NEAR = 48
 MASK = "[SECRET]"
 MAX_ROWS = 20_000
 TREES, DEPTH, LEAF = 40, 7, 3
+EXAMPLES = 120
 
 #: Names that stand before an assigned secret, and prefixes of issued keys.
 NAMES = ["token", "password", "passwd", "secret", "apikey", "api_key", "access_key", "auth", "credential", "private_key"]
@@ -87,7 +88,7 @@ class Lexicon:
         return [
             n, surprise, float(-(share * np.log2(share)).sum()), len(set(low)), covered / n,
             *(kinds.count(k) / n for k in range(4)), *(moves.ravel() / max(1, n - 1)),
-            float(all(c in "0123456789abcdef" for c in low)), float(n == 16), n % 8,
+            float(bool(ISSUED.fullmatch(value))), float(all(c in "0123456789abcdef" for c in low)), float(n == 16), n % 8,
             float(near.endswith("=")), float(near.endswith(":")), float(before[-1:] in ("\"", "'")),
             float(after[:1] in ("\"", "'")), float(bool(before) and not before[-1:].isspace()),
             _slot(left[-1], 1) if left else -1, float(any(w.lower() in NAMES for w in left[-2:])),
@@ -150,8 +151,22 @@ def _grow(x: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> tuple:
     return np.array(feature), np.array(limit), np.array(child), np.array(value)
 
 
+def _issued_examples(findings: list[tuple]) -> list[tuple]:
+    """Examples of the issued formats, which a corpus may hardly show: each stands
+    in the place of an ordinary number, so only the value tells them apart."""
+    rng = np.random.default_rng(11)
+    upper, mixed = (list(x) for x in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
+    out = []
+    for i, (_, before, after, path, _) in enumerate([f for f in findings if f[4] == 0][:EXAMPLES]):
+        prefix = PREFIXES[i % len(PREFIXES)]
+        tail = rng.choice(upper, 15) if prefix.isupper() else rng.choice(mixed, int(rng.integers(19, 36)))
+        out.append((prefix + "".join(tail) + str(i % 10), before, after, path, 1))
+    return out
+
+
 def fit_rows(findings: list[tuple[str, str, str, str | None, int]]) -> Forest:
     """The forest of (value, before, after, path, label) rows."""
+    findings = findings + _issued_examples(findings)
     steps = np.ones((128, 128))
     words: dict[str, int] = {}
     for _, before, after, _, _ in findings:
