@@ -66,7 +66,7 @@ FROM {prefix}okay GROUP BY oid)"""
 
 
 OBS = "obs AS (SELECT vec_id AS oid, " + ", ".join(
-    f"CAST(embedding[{i}] AS DOUBLE) AS o{i}" for i in DIM) + " FROM embeddings)"
+    f"{V.FOLD_SQL[i - 1]} AS o{i}" for i in DIM) + " FROM embeddings)"
 NORM = f"sqrt({_dot('o.o', 'o.o')})"
 
 

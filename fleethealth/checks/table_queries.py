@@ -120,14 +120,59 @@ def delete_null_rows(spark, sf_dir):
     return spark.table(table)
 
 
-@check("truncate_table", "SELECT event_id, ts AS reportdatetime FROM events WHERE event_type = 'click'")
+@check("truncate_table", BASE.replace(" value,", " value + 1 AS value,"))
 def truncate_table(spark, sf_dir):
-    """Truncated, then filled again with part of the rows."""
+    """Truncated, then filled again with all rows of another value."""
     table = _filled(spark, sf_dir)
     tables.truncate_table(spark, table)
-    clicks = V.table(spark, sf_dir, "events").where(bt("event_type") == "click")
-    tables.append_table(clicks.select("event_id", F.col("ts").alias("reportdatetime")), table)
-    return spark.table(table).select("event_id", "reportdatetime")
+    tables.append_table(_rows(spark, sf_dir).withColumn("value", bt("value") + 1), table)
+    return spark.table(table)
+
+
+def _by_day(spark, sf_dir) -> str:
+    """All rows, partitioned by day; one day in ten has no partition value."""
+    table, location = _name(spark)
+    rows = _dated(_rows(spark, sf_dir))
+    tables.create_table(spark, table, rows.schema, location, ["day"])
+    tables.append_table(rows, table)
+    return table
+
+
+def _dated(rows):
+    day = F.dayofmonth("reportdatetime")
+    return rows.withColumn("day", F.when(day % 10 != 0, day))
+
+
+DAY_SQL = "CASE WHEN day(ts) % 10 <> 0 THEN CAST(day(ts) AS INT) END AS day"
+
+
+@check("upsert_partitioned", f"""SELECT event_id, user_id AS "ESN", ts AS reportdatetime,
+CASE WHEN event_type = 'purchase' AND day(ts) % 2 = 0 THEN value * 2 ELSE value END AS value,
+CAST(CASE WHEN event_type = 'purchase' AND day(ts) % 2 = 0 THEN 0 ELSE 1 END AS BIGINT) AS "NEW_FLAG", {DAY_SQL} FROM events
+UNION ALL SELECT event_id, user_id + 1000000, ts, value, CAST(0 AS BIGINT), 40 FROM events WHERE event_type = 'signup'""")
+def upsert_partitioned(spark, sf_dir):
+    table = _by_day(spark, sf_dir)
+    rows = _rows(spark, sf_dir).withColumn("NEW_FLAG", F.lit(0).cast("long"))
+    kind = V.table(spark, sf_dir, "events").select(bt("event_id").alias("__e"), "event_type")
+    typed = _dated(rows).join(kind, bt("event_id") == bt("__e")).drop("__e")
+    changed = typed.where((bt("event_type") == "purchase") & (F.dayofmonth("reportdatetime") % 2 == 0)).withColumn(
+        "value", bt("value") * 2)
+    added = typed.where(bt("event_type") == "signup").withColumn("ESN", bt("ESN") + 1_000_000).withColumn("day", F.lit(40))
+    tables.upsert(changed.unionByName(added).drop("event_type"), table, ["ESN", "reportdatetime", "day"])
+    return spark.table(table)
+
+
+@check("maintain_partitioned", f"""SELECT event_id, "ESN", reportdatetime, value, "NEW_FLAG", day FROM (SELECT *,
+row_number() OVER (PARTITION BY "ESN" ORDER BY reportdatetime DESC) AS rn FROM (SELECT event_id, user_id AS "ESN",
+ts AS reportdatetime, value, CAST(0 AS BIGINT) AS "NEW_FLAG", {DAY_SQL} FROM events
+WHERE ts <= {MARK_SQL}) b) x WHERE rn <= 10""")
+def maintain_partitioned(spark, sf_dir):
+    """Aging, deletion and pruning of a partitioned table, one after the other."""
+    table = _by_day(spark, sf_dir)
+    tables.age_new_flag(spark, table, MARK)
+    tables.delete_after(spark, table, MARK)
+    tables.prune_old_rows(spark, table, 10)
+    return spark.table(table)
 
 
 @check("clone_table", BASE)

@@ -91,12 +91,19 @@ SIG_ID_SQL = ("CASE WHEN vec_id % 4 = 0 THEN 'IPC ETA' WHEN vec_id % 4 = 1 THEN
               " ELSE 'SIG ' || CAST(vec_id AS VARCHAR(20)) END")
 
 
+# A vector of 64 components is folded into 9 parameters: sums of every 9th, with
+# all 64 read. Sums of eight or seven doubles in a fixed order are equal in both engines.
+FOLDED = [" + ".join(f"CAST(embedding[{{{j}}}] AS DOUBLE)" for j in range(i, 64, 9)) for i in range(9)]
+FOLD_SPARK = [e.format(*range(64)) for e in FOLDED]
+FOLD_SQL = [e.format(*range(1, 65)) for e in FOLDED]
+
+
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observation vectors: 9 components per embedding, all rows; the label tells the phase."""
+    """Observation vectors: the embedding folded to 9, all rows; the label tells the phase."""
     phases = F.array(*[F.lit(p) for p in S.PHASES])
     return table(spark, sf_dir, "embeddings").select(
         "vec_id", F.element_at(phases, F.col("label") % len(S.PHASES) + 1).alias("phase"),
-        F.transform(F.slice("embedding", 1, 9), lambda x: x.cast("double")).alias("obs"))
+        F.array(*[F.expr(e) for e in FOLD_SPARK]).alias("obs"))
 
 
 def signatures(spark: SparkSession, sf_dir: str, phases=("cruise",)) -> DataFrame:
@@ -104,14 +111,14 @@ def signatures(spark: SparkSession, sf_dir: str, phases=("cruise",)) -> DataFram
 
     wide = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("sig_pos"), F.expr(SIG_ID_SQL).alias("sig_id"),
-        *[F.element_at("embedding", i + 1).cast("double").alias(c) for i, c in enumerate(S.SIGNATURE_COLUMNS)],
+        *[F.expr(e).alias(c) for e, c in zip(FOLD_SPARK, S.SIGNATURE_COLUMNS)],
         F.explode(F.array(*[F.lit(p) for p in phases])).alias("phase"))
     return load_signatures(wide, range(SIGNATURE_COUNT), drop_first=0, scale=1.0)
 
 
 SIGNATURES_SQL = (
     "SELECT vec_id AS sig_pos, " + SIG_ID_SQL + " AS sig_id, "
-    + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS v{i + 1}" for i in range(9))
+    + ", ".join(f"{e} AS v{i}" for i, e in enumerate(FOLD_SQL, 1))
     + f" FROM embeddings WHERE vec_id < {SIGNATURE_COUNT}"
 )
 

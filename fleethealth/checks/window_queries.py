@@ -137,25 +137,33 @@ def stepfree_cumulative(spark, sf_dir):
 _WIN = f"WINDOW w AS ({OVER} ROWS BETWEEN 20 PRECEDING AND CURRENT ROW)"
 
 
-@check("robust_rolling_location", f"""WITH {SERIES}, f AS (SELECT *, max({_BROKEN}) OVER w AS bad,
-list(l_extendedprice) OVER w AS frame FROM s {_WIN}),
-n AS (SELECT *, list_sort(frame) AS v, greatest(CAST(floor(len(frame) * 0.75::DOUBLE) AS INT), 1) AS h FROM f WHERE bad = 0),
-p AS (SELECT *, unnest(range(1, len(v) - h + 2)) AS start FROM n),
-t AS (SELECT *, list_sum(v[start:start + h - 1]) / h AS mu FROM p),
-q AS (SELECT *, rint_(list_sum(list_transform(v[start:start + h - 1], lambda x: (x - mu) * (x - mu)))) AS spread FROM t),
-best AS (SELECT {ITEM_SQL}, arg_min(mu, struct_pack(spread := spread, start := start)) AS mu FROM q GROUP BY {ITEM_SQL})
-SELECT f.l_suppkey, {", ".join(f"f.{c}" for c in V.SERIES_ORDER)}, CASE WHEN f.bad = 0 THEN {r5('best.mu')} END AS l_extendedprice_ROBUST
-FROM f LEFT JOIN best ON {" AND ".join(f"f.{c} = best.{c}" for c in ITEM)}""".replace("rint_(", "round_even(1e6 * ", 1)
-       .replace("(x - mu))))", "(x - mu))), 0)"))
+def _robust_sql(c: str) -> str:
+    """CTEs from the sorted frame of a column to its location, lists all the way."""
+    sum_of = lambda part, mean: f"list_sum(list_transform({part}, lambda x: (x - {mean}) * (x - {mean})))"
+    cut = "v[s:s + h - 1]"
+    return f"""{c}_0 AS (SELECT rid, list_sort({c}_frame) AS v, greatest(CAST(floor(len({c}_frame) * 0.75::DOUBLE) AS INT), 1) AS h
+FROM f WHERE bad = 0),
+{c}_1 AS (SELECT *, range(1, len(v) - h + 2) AS starts, list_sum(v) / len(v) AS mid FROM {c}_0),
+{c}_2 AS (SELECT *, list_transform(starts, lambda s: list_sum({cut}) / h) AS mus, {sum_of('v', 'mid')} AS total FROM {c}_1),
+{c}_3 AS (SELECT *, CASE WHEN total > 0 THEN 1e9::DOUBLE / total ELSE 0 END AS scale FROM {c}_2),
+{c}_4 AS (SELECT rid, mus, list_transform(starts, lambda s: round_even({sum_of(cut, 'mus[s]')} * scale, 0)) AS spreads FROM {c}_3),
+{c}_5 AS (SELECT rid, mus[list_position(spreads, list_min(spreads))] AS mu FROM {c}_4)"""
+
+
+@check("robust_rolling_location", f"""WITH {SERIES}, n AS (SELECT *, row_number() OVER () AS rid FROM s),
+f AS (SELECT *, max({_BROKEN}) OVER w AS bad, {", ".join(f"list({c}) OVER w AS {c}_frame" for c in VALUES)} FROM n {_WIN}),
+{", ".join(map(_robust_sql, VALUES))}
+SELECT {ITEM_SQL}, {", ".join(f'{r5(f"{c}_5.mu")} AS "{c}_ROBUST"' for c in VALUES)}
+FROM f {" ".join(f"LEFT JOIN {c}_5 ON {c}_5.rid = f.rid" for c in VALUES)}""")
 def robust_rolling_location(spark, sf_dir):
-    d = trend.robust_rolling_location(V.series(spark, sf_dir), ["l_extendedprice"], **KW)
+    d = trend.robust_rolling_location(V.series(spark, sf_dir), VALUES, **KW)
     return d.drop("FlagSV", "FlagSisChg")
 
 
 # -- rolling statistics ------------------------------------------------------
 
 THRESHOLDS = (0.2, 0.4, 0.6, 0.8, 1.0)
-STATS = S.Settings(lags=(50, 200), thresholds=THRESHOLDS)
+STATS = S.Settings(thresholds=THRESHOLDS)
 
 
 def _stats(spark, sf_dir, matched, settings=STATS):
@@ -178,7 +186,7 @@ def _stats_sql(fields, matched=True, settings=STATS) -> str:
                 exprs[f"FRACTION{t}"] = (
                     f"avg(CASE WHEN {x} > {t} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) OVER {w}",
                     S.fraction_column(comp, t, n))
-            # Nine places: short decimals averaged over up to 200 rows have no half-way case there.
+            # Nine places: short decimals averaged over up to 400 rows have no half-way case there.
             cols += [f'CASE WHEN {known} THEN round_even({e}, 9) END AS "{name}"'
                      for kind, (e, name) in exprs.items() if any(kind.startswith(f) for f in fields)]
             part = f"l_suppkey, {m}" if matched else "l_suppkey"
@@ -210,7 +218,7 @@ def rolling_exceedance(spark, sf_dir):
     return _pick(_stats(spark, sf_dir, True), ["FRACTION"])
 
 
-ALL_ROWS = S.Settings(lags=(50,), thresholds=(0, *THRESHOLDS))
+ALL_ROWS = S.Settings(thresholds=(0, *THRESHOLDS))
 
 
 @check("rolling_max_all", _stats_sql(["MAX", "MEAN", "FRACTION"], False, ALL_ROWS))

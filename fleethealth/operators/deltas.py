@@ -73,7 +73,7 @@ def pair_groups_only(df: DataFrame, pair: Sequence[str] = S.PAIR, engine: str =
     light, heavy = split_heavy(df, keys, hot)
     valid = (heavy.where(_is_new(df)).groupBy(*[bt(k).alias(f"__h_{k}") for k in keys])
              .agg(F.count_distinct(bt(engine)).alias("__engines")).where(F.col("__engines") == 2))
-    paired = heavy.where(_is_new(df)).join(F.broadcast(valid), _matches(keys), "left_semi")
+    paired = heavy.where(_is_new(df)).join(hot.hint(valid), _matches(keys), "left_semi")
     return by_window(light).unionByName(heavy.where(~_is_new(df))).unionByName(paired)
 
 
@@ -140,7 +140,7 @@ def sister_delta(
              F.max(F.when(F.col("__rn") == 2, lead)).alias("__second"))
         .join(engines.where(F.col("__engines") == 2), [f"__h_{k}" for k in keys])
     )
-    paired = finish(fresh.join(F.broadcast(leaders), _matches(keys)), lead.eqNullSafe(F.col("__first")))
+    paired = finish(fresh.join(hot.hint(leaders), _matches(keys)), lead.eqNullSafe(F.col("__first")))
     nothing = F.lit(None).cast(fresh.select(lead.alias("x")).schema["x"].dataType)
     old = heavy.where(~_is_new(df)).withColumns({"__first": nothing, "__second": nothing})
     return by_window(light).unionByName(paired).unionByName(finish(old, F.lit(False)))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleethealth import schema as S
 from fleethealth.functions import bt, micros, slice_of
-from fleethealth.operators.skew import first_n
+from fleethealth.operators.skew import first_n, running_sum
 
 
 def latest_n(
@@ -111,8 +111,8 @@ def retain_within_bytes(
     """Drop the oldest rows until the rest fits ``limit`` bytes.
 
     Sizes are totalled per day; only the one day in which the budget runs out
-    is totalled per second, and only that second is cumulated row by row. The
-    two total tables are bounded by the calendar, never by the rows.
+    is totalled per second, and only that second is cumulated row by row, in
+    chunks if it is hot. The two total tables are bounded by the calendar, never by the rows.
     """
     sized = (df.where(bt(time).isNotNull())
              .withColumn("__bytes", row_bytes(df.columns) if size is None else size)
@@ -124,10 +124,11 @@ def retain_within_bytes(
         return sized.drop(*drop)
     newer, inside = sized.where(day > cut_day), sized.where(day == cut_day)
     cut_second, used_seconds = _cut(inside, second, limit - used_days)
-    w = (Window.partitionBy(second).orderBy(bt(time).desc(), *[bt(c).desc() for c in ties])
-         .rowsBetween(Window.unboundedPreceding, 0))
-    last = (inside.where(second == cut_second).withColumn("__sum", F.sum("__bytes").over(w))
-            .where(F.col("__sum") <= limit - used_days - used_seconds).drop("__sum"))
+    # One second may hold very many rows, so even this sum is cut into chunks if need be.
+    order = [bt(time).desc(), *[bt(c).desc() for c in ties]]
+    alone = inside.where(second == cut_second).withColumn("__second", second)
+    last = (running_sum(alone, ["__second"], order, {"__sum": F.col("__bytes")})
+            .where(F.col("__sum") <= limit - used_days - used_seconds).drop("__sum", "__second"))
     return newer.unionByName(inside.where(second > cut_second)).unionByName(last).drop(*drop)
 
 

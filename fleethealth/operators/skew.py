@@ -2,15 +2,16 @@
 
 A Spark window gathers one key into one task. That is the plan we want while
 keys are small, so each operator first asks ``heavy_keys`` which keys hold more
-than max(hotKeyRows, 1/1000 of all rows); there can be fewer than 1000 of them,
-so the list is safe to collect and to broadcast. Usually it is empty and the
-plain one-shuffle plan runs. Rows of a heavy key take an exact detour that
-splits the key over many tasks.
+than hotKeyRows rows, whatever the size of the table. Usually there are none and
+the plain one-shuffle plan runs. A list of up to 1000 keys is broadcast, a longer
+one is joined by a shuffle. Rows of a heavy key take an exact detour that splits
+the key over many tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -21,7 +22,7 @@ from fleethealth.session import ensure_checkpoint_dir
 HOT_ROWS_CONF = "spark.fleethealth.hotKeyRows"
 DEFAULT_HOT_ROWS = 1_000_000
 HASH_BUCKETS = 4096
-MAX_HEAVY_KEYS = 1000
+MAX_BROADCAST_KEYS = 1000
 
 CHUNK = "__chunk"
 HALO = "__halo"
@@ -34,17 +35,28 @@ def hot_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """Keys above the heavy limit (columns prefixed ``__h_``), or None.
+@dataclass(frozen=True)
+class Heavy:
+    """Heavy keys (columns prefixed ``__h_``) and how many there are."""
+
+    keys: DataFrame
+    count: int
+
+    def hint(self, df: DataFrame) -> DataFrame:
+        """Broadcast a table of about one row per heavy key if they are few."""
+        return F.broadcast(df) if self.count <= MAX_BROADCAST_KEYS else df
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str]) -> Heavy | None:
+    """Keys with more rows than the limit, or None.
 
     First pass: row counts of 4096 hash buckets, a map-side aggregate whose
     shuffle is a few kB per task. A key cannot be heavy unless its bucket is;
     only rows of such buckets are counted per key.
     """
     hashed = df.select(F.pmod(F.xxhash64(*map(bt, keys)), F.lit(HASH_BUCKETS)).alias("b"), *map(bt, keys))
-    counts = {r["b"]: r["count"] for r in hashed.groupBy("b").count().collect()}
-    limit = max(hot_rows(df), sum(counts.values()) // MAX_HEAVY_KEYS)
-    suspects = [b for b, n in counts.items() if n > limit]
+    limit = hot_rows(df)
+    suspects = [r["b"] for r in hashed.groupBy("b").count().where(F.col("count") > limit).collect()]
     if not suspects:
         return None
     heavy = (
@@ -53,25 +65,29 @@ def heavy_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
         .where(F.col("__n") > limit)
         .select(*[bt(k).alias(f"__h_{k}") for k in keys])
     )
-    rows = heavy.collect()  # fewer than MAX_HEAVY_KEYS rows, see the limit above
+    rows = heavy.limit(MAX_BROADCAST_KEYS + 1).collect()
     if not rows:
         return None
-    return df.sparkSession.createDataFrame(rows, heavy.schema)
+    if len(rows) <= MAX_BROADCAST_KEYS:
+        return Heavy(df.sparkSession.createDataFrame(rows, heavy.schema), len(rows))
+    ensure_checkpoint_dir(df.sparkSession)
+    kept = heavy.checkpoint()
+    return Heavy(kept, kept.count())
 
 
 def _matches(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [bt(k).eqNullSafe(bt(f"__h_{k}")) for k in keys])
 
 
-def split_heavy(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_heavy(df: DataFrame, keys: Sequence[str], hot: Heavy) -> tuple[DataFrame, DataFrame]:
     cond = _matches(keys)
     return (
-        df.join(F.broadcast(hot), cond, "left_anti"),
-        df.join(F.broadcast(hot), cond, "left_semi"),
+        df.join(hot.hint(hot.keys), cond, "left_anti"),
+        df.join(hot.hint(hot.keys), cond, "left_semi"),
     )
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], hot: Heavy) -> DataFrame:
     """0-based position of each row within its key, from a distributed sort.
 
     Range partitions are even however the rows are spread over keys and times.
@@ -98,13 +114,13 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     )
     return (
         ranged.withColumn("__pid", pid)
-        .join(F.broadcast(starts), _matches(keys) & (F.col("__pid") == F.col("__h_pid")))
+        .join(hot.hint(starts), _matches(keys) & (F.col("__pid") == F.col("__h_pid")))
         .withColumn(_POS, F.col("__start") + idx - F.col("__first"))
         .drop("__pid", _MID, "__h_pid", "__first", "__start", *[f"__h_{k}" for k in keys])
     )
 
 
-def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], lookback: int) -> DataFrame:
+def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], lookback: int, hot: Heavy) -> DataFrame:
     """Cut each key into equal chunks and prefix each with ``lookback`` halo rows."""
     rows = max(lookback + 1, hot_rows(df) // 4)
     pos = F.col(_POS)
@@ -112,7 +128,7 @@ def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], lookbac
     spill = (pos % F.lit(rows)) >= F.lit(rows - lookback)
     homes = F.when(spill, F.array(home, home + 1)).otherwise(F.array(home))
     return (
-        number_rows(df, keys, order)
+        number_rows(df, keys, order, hot)
         .withColumn("__home", home)
         .withColumn(CHUNK, F.explode(homes))
         .withColumn(HALO, F.col(CHUNK) != F.col("__home"))
@@ -137,7 +153,7 @@ def over_series(
     if hot is None:
         return fn(df, list(keys))
     light, heavy = split_heavy(df, keys, hot)
-    parts = fn(chunked(heavy, keys, order, lookback), [*keys, CHUNK])
+    parts = fn(chunked(heavy, keys, order, lookback, hot), [*keys, CHUNK])
     done = parts.where(~F.col(HALO)).drop(CHUNK, HALO, _POS)
     return fn(light, list(keys)).unionByName(done)
 
@@ -150,7 +166,7 @@ def with_group(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> D
         return df.select("*", *[a.over(w).alias(n) for n, a in aggs.items()])
     light, heavy = split_heavy(df, keys, hot)
     per_key = heavy.groupBy(*[bt(k).alias(f"__h_{k}") for k in keys]).agg(*[a.alias(n) for n, a in aggs.items()])
-    joined = heavy.join(F.broadcast(per_key), _matches(keys)).drop(*[f"__h_{k}" for k in keys])
+    joined = heavy.join(hot.hint(per_key), _matches(keys)).drop(*[f"__h_{k}" for k in keys])
     return light.select("*", *[a.over(w).alias(n) for n, a in aggs.items()]).unionByName(joined)
 
 
@@ -188,7 +204,7 @@ def running_sum(
     if hot is None:
         return cumulate(df, list(keys))
     light, heavy = split_heavy(df, keys, hot)
-    parts = chunked(heavy, keys, order, 0)
+    parts = chunked(heavy, keys, order, 0, hot)
     totals = parts.groupBy(*[bt(k).alias(f"__h_{k}") for k in keys], F.col(CHUNK).alias("__h_c")).agg(
         *[F.sum(c).alias(f"__t_{n}") for n, c in columns.items()]
     )

@@ -62,19 +62,19 @@ def _apply(
     df: DataFrame, specs: Sequence[Rolling], keys: Sequence[str], by: Sequence[Column],
     fresh: Callable[[str, Column], Column],
 ) -> DataFrame:
-    """All statistics in two projections.
+    """All statistics, one match flag after the other.
 
     Shares come from running counts: the count at a row minus the count
     ``rows`` rows earlier is exact and costs O(1) per row; only max and mean
     need the sliding frame. The match flag joins the partition key, so nothing
-    is filtered out and joined back.
+    is filtered out and joined back. Counts and frames of one flag follow each
+    other directly, so the rows are sorted once per flag.
     """
-    counts, out, helpers = {}, {}, []
     for s in specs:
         w = Window.partitionBy(*map(bt, keys), s.flag).orderBy(*by)
         upto = w.rowsBetween(Window.unboundedPreceding, 0)
         x = bt(s.value)
-        counts |= {f"__n_{s.max_name}": F.count(F.lit(1)).over(upto), f"__x_{s.max_name}": F.count(x).over(upto)}
+        counts = {f"__n_{s.max_name}": F.count(F.lit(1)).over(upto), f"__x_{s.max_name}": F.count(x).over(upto)}
         counts |= {f"__t_{n}": F.count(F.when(x > F.lit(float(t)), 1)).over(upto) for t, n in s.fractions.items()}
         last = lambda name: bt(name) - F.coalesce(F.lag(bt(name), s.rows).over(w), F.lit(0))
         known = F.col(s.flag) & (last(f"__x_{s.max_name}") > 0)
@@ -82,8 +82,8 @@ def _apply(
         found = {s.max_name: F.max(x).over(frame), s.mean_name: F.avg(x).over(frame)}
         # Null values count in the denominator of a share.
         found |= {n: last(f"__t_{n}") / last(f"__n_{s.max_name}") for n in s.fractions.values()}
-        out |= {n: fresh(n, F.when(known, v)) for n, v in found.items()}
-    return df.withColumns(counts).withColumns(out).drop(*counts)
+        df = df.withColumns(counts).withColumns({n: fresh(n, F.when(known, v)) for n, v in found.items()}).drop(*counts)
+    return df
 
 
 def rolling_stats(

@@ -175,8 +175,10 @@ def robust_rolling_location(
     """Minimum-variance-subset location of the last ``window`` rows per column.
 
     Exact univariate MCD: of the sorted window the mean of the contiguous
-    subset of h = floor(support * n) values with least variance. Null if the
-    window holds a break or a null; shorter windows at the start count.
+    subset of h = floor(support * n) values with least variance. Variances
+    closer than 1e-9 of the whole window's are a tie; the lower subset wins, so
+    the choice does not depend on the unit of the values. Null if the window
+    holds a break or a null; shorter windows at the start count.
     """
     by = _order(order)
     bad = F.lit(False)
@@ -206,17 +208,19 @@ def _mcd(support: float):
     @F.pandas_udf("double")
     def locate(frames: pd.Series) -> pd.Series:
         out = np.full(len(frames), np.nan)
-        sizes = np.array([0 if f is None else len(f) for f in frames])
+        sizes = frames.str.len().fillna(0).to_numpy(dtype=int)
         for n in np.unique(sizes[sizes > 0]):
             rows = np.flatnonzero(sizes == n)
-            x = np.sort(np.stack([frames.iat[i] for i in rows]), axis=1)
+            x = np.sort(np.concatenate(frames.iloc[rows].to_list()).reshape(-1, n), axis=1)
+            whole = ((x - x.sum(axis=1, keepdims=True) / n) ** 2).sum(axis=1)
+            scale = np.divide(1e9, whole, out=np.zeros(len(x)), where=whole > 0)
             h = max(int(n * support), 1)
             means, spreads = [], []
             for start in range(n - h + 1):
                 part = x[:, start:start + h]
                 mean = part.sum(axis=1) / h
                 means.append(mean)
-                spreads.append(np.rint(((part - mean[:, None]) ** 2).sum(axis=1) * 1e6))
+                spreads.append(np.rint(((part - mean[:, None]) ** 2).sum(axis=1) * scale))
             best = np.argmin(np.stack(spreads), axis=0)
             out[rows] = np.stack(means)[best, np.arange(len(rows))]
         return pd.Series(out).where(sizes > 0, None)

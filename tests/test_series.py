@@ -120,6 +120,20 @@ def test_robust_location_ignores_an_outlier(frame):
     assert got[5:] == [None, None, None]
 
 
+@pytest.mark.parametrize("scale", [1e-3, 1.0, 1e4])
+def test_robust_location_equals_brute_force_at_any_scale(frame, scale):
+    rng = random.Random(8)
+    x = [rng.gauss(0, scale) for _ in range(80)]
+    got = values(trend.robust_rolling_location(series(frame, 80, x=x), ["x"], window=9, keys=KEYS, order=ORDER), "x_ROBUST")
+    for i, mine in enumerate(got):
+        w = sorted(x[max(0, i - 8):i + 1])
+        h = max(int(len(w) * 0.75), 1)
+        spread = lambda part: sum((v - sum(part) / len(part)) ** 2 for v in part)
+        whole = spread(w)
+        best = min((round(spread(w[a:a + h]) / whole * 1e9) if whole else 0, a) for a in range(len(w) - h + 1))[1]
+        assert mine == pytest.approx(sum(w[best:best + h]) / h, abs=1e-5)
+
+
 def test_rolling_stats_over_matching_rows(frame):
     df = frame({"phase": ["cruise"] * 5, "ESN": [1] * 5, "NEW_FLAG": [1] * 5, "reportdatetime": [at(i) for i in range(5)],
                 "VAR1_IDENTIFIER50": ["IPC ETA"] * 3 + ["X", "IPC ETA"], "VAR2_IDENTIFIER50": [None] * 5,

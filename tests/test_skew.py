@@ -67,6 +67,29 @@ def test_hot_key_gives_the_same_rows(rows, spark, name):
         spark.conf.unset(skew.HOT_ROWS_CONF)
 
 
+@pytest.mark.parametrize("name", ["mean", "cumulative", "group_set", "newest"])
+def test_a_long_list_of_heavy_keys_is_not_broadcast(rows, hot, monkeypatch, name):
+    want = collected(OPERATORS[name](rows))
+    monkeypatch.setattr(skew, "MAX_BROADCAST_KEYS", 0)
+    assert collected(OPERATORS[name](rows)) == want
+
+
+def test_the_heavy_limit_does_not_grow_with_the_table(spark):
+    df = spark.range(200_000).selectExpr("CASE WHEN id < 120 THEN -1 ELSE id END AS ESN")
+    spark.conf.set(skew.HOT_ROWS_CONF, "100")  # below a thousandth of all rows
+    try:
+        assert [r[0] for r in skew.heavy_keys(df, KEYS).keys.collect()] == [-1]
+    finally:
+        spark.conf.unset(skew.HOT_ROWS_CONF)
+
+
+def test_rows_are_sorted_once_per_match_flag(rows):
+    d = stats.summary_stats(rows.withColumns({f"VAR{i}_IDENTIFIER200": F.lit(None).cast("string") for i in (1, 2, 3)}),
+                            S.Settings(lags=(50, 200)), bounded=True, **KW)
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert 0 < plan.count("Sort [") <= 4 and plan.count("Exchange hashpartitioning") == 1
+
+
 @pytest.mark.parametrize("engines", [1, 2, 3])
 def test_hot_pair_group(spark, engines):
     """A pair group with a third of all rows, valid only with two engines."""

@@ -110,3 +110,45 @@ def test_partition_values_with_special_characters(spark, table, frame):
     tables.append_table(frame({"ESN": [1, 2, 3], "NEW_FLAG": [1] * 3, "reportdatetime": [at(0)] * 3, "operator": odd}), name)
     tables.age_new_flag(spark, name, at(0))
     assert sorted((r["operator"], r["NEW_FLAG"]) for r in spark.table(name).collect()) == sorted((o, 0) for o in odd)
+
+
+def test_upsert_into_many_partitions(spark, table, frame):
+    name = table + "_many"
+    tables.create_table(spark, name, S.struct_of(["reportdatetime", "NEW_FLAG", "ESN"]), scratch_dir(spark, "m"), ["ESN"])
+    rows = spark.range(2000).selectExpr("timestamp_ntz'2024-03-01 00:00:00' AS reportdatetime", "1L AS NEW_FLAG",
+                                        "CASE WHEN id > 0 THEN id END AS ESN").repartition(4, "ESN")
+    tables.append_table(rows, name)
+    tables.upsert(rows.selectExpr("reportdatetime", "0L AS NEW_FLAG", "ESN"), name)
+    assert spark.table(name).groupBy("NEW_FLAG").count().collect() == [(0, 2000)]
+    assert spark.table(name).where("ESN IS NULL").count() == 1
+
+
+def test_maintenance_leaves_other_partitions_alone(spark, by_engine, frame):
+    tables.append_table(frame({"ESN": [None, 4], "reportdatetime": [at(9), at(0)], "NEW_FLAG": [1, None]}), by_engine)
+    files = lambda: {r[0]: r[1] for r in spark.table(by_engine).select("ESN", "_metadata.file_path").distinct().collect()}
+    before = files()
+    tables.delete_after(spark, by_engine, at(8))  # the partition without a value is emptied
+    tables.delete_null_rows(spark, by_engine, ["NEW_FLAG"])
+    assert files() == {k: before[k] for k in (1, 2)}
+    tables.append_table(frame({"ESN": [None], "reportdatetime": [at(1)], "NEW_FLAG": [1]}), by_engine)
+    assert spark.table(by_engine).where("ESN IS NULL").count() == 1  # nothing old comes back
+    tables.age_new_flag(spark, by_engine, at(0))
+    assert files()[2] == before[2] and files()[1] != before[1]
+    kept = files()
+    tables.prune_old_rows(spark, by_engine, 1, keys=["ESN"])
+    assert files()[2] == kept[2] and spark.table(by_engine).count() == 3
+
+
+def test_upsert_replaces_a_null_key(spark, table, frame):
+    row = lambda flag: frame({"ESN": [None], "reportdatetime": [at(0)], "NEW_FLAG": [flag]})
+    tables.upsert(row(1), table)
+    tables.upsert(row(0), table)
+    assert [r["NEW_FLAG"] for r in spark.table(table).collect()] == [0]
+
+
+def test_vacuum_removes_old_states(spark, table, five):
+    for _ in range(3):
+        tables.upsert(five, table)
+    assert tables.vacuum(spark, table) == 0
+    assert tables.vacuum(spark, table, keep_hours=0) == 3
+    assert spark.table(table).count() == 5
