@@ -11,10 +11,12 @@ with probability 6e-6.
 All pairs under a key are never made. First each member is compared with the
 key's smallest member; links that hold on the full shingle sets join components.
 Keys whose members are then still in several components are compared again with
-other leaders, and at last block by block on signatures (only pairs of different
-components go on, and only those a signature does not rule out: a pair of
-similarity 0.75 differs in more than 24 of 36 places with probability 3e-8).
-So every pair that meets is either compared on full sets or already connected.
+another leader, and at last block by block: only pairs of different components,
+each under the first key that it shares, only if its signatures do not rule it
+out (a pair of similarity 0.75 differs in more than 24 of 36 places with
+probability 3e-8), and within the block, so that no such pair leaves the task
+but those that join two components. So every pair that meets is either compared
+on full sets or already connected.
 
 Texts without words have an empty set and no link. Rows with a null id have
 class and component null. Rows of one id are one node.
@@ -37,6 +39,7 @@ CHUNKS, PLACES, BITS = 9, 4, 16
 HASHES = CHUNKS * PLACES
 RULED_OUT = 24
 BLOCK = 512
+PORTIONS = 1024
 _FACTORS = mix(np.arange(1, HASHES + 1, dtype=U64)) | U64(1)
 _MASK = (1 << BITS) - 1
 
@@ -102,13 +105,10 @@ def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The (a, b) whose full shingle sets reach ``percent`` of their union.
 
-    Each leader ``a`` meets its partners in portions of about 256; a task holds
-    one leader's set while the portion streams by.
+    The partners of a leader ``a`` are dealt over portions; a task holds one
+    leader's set while a portion streams by.
     """
-    pairs = staged(pairs, "pairs")
-    many = staged(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("__n")).where("__n > 256"), "many")
-    portion = F.pmod(F.xxhash64("b"), F.coalesce(F.ceil(F.col("__n") / 256), F.lit(1)))
-    dealt = pairs.join(many, "a", "left").select("a", "b", portion.alias("portion"))
+    dealt = staged(pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(PORTIONS)).alias("portion")), "pairs")
     needed = dealt.select("a", "portion", F.lit(1).alias("role"), F.col("b").alias("rep")).unionByName(
         dealt.select("a", "portion", F.lit(0).alias("role"), F.col("a").alias("rep")).distinct())
     rows = needed.join(texts, "rep").repartition("a", "portion").sortWithinPartitions("a", "portion", "role")
@@ -137,58 +137,93 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return staged(rows.select("a", "portion", "role", "rep", "text").mapInArrow(run, "a long, b long").distinct(), "links")
 
 
-def _rest(members: DataFrame, classes: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components under one key, block by block on signatures."""
+def _first_shared(same: np.ndarray) -> np.ndarray:
+    """The first key (chunk and blanked place) that pairs share, from which places are equal."""
+    same = same.reshape(-1, CHUNKS, PLACES)
+    others = same.sum(axis=2, keepdims=True) - same == PLACES - 1
+    return others.reshape(-1, HASHES).argmax(axis=1)
+
+
+def _common(own: np.ndarray, flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """How many of a sorted set's members each of several sets has."""
+    step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    values = flat[np.repeat(first, size) + step]
+    hit = own[np.minimum(np.searchsorted(own, values), len(own) - 1)] == values
+    return np.add.reduceat(hit, np.cumsum(size) - size, dtype=np.int64)
+
+
+def _rest(members: DataFrame, classes: DataFrame, sizes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links between different components under one key, compared block by block."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    entry = members.join(sizes, "key").join(classes.select("rep", "n", "signature"), "rep").withColumn("own", own)
+    entry = members.join(sizes, "key").join(classes.select("rep", "signature"), "rep").withColumn("own", own)
     # A member meets every block once: with itself in the role of row or column.
-    spread = entry.select("key", "rep", "component", "n", "signature", "own", F.explode(
+    spread = entry.select("key", "slot", "rep", "component", "signature", "own", F.explode(
         F.sequence(F.lit(0), blocks - 1)).alias("other")).select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "component", "n", "signature")
-    rows = spread.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "own")
+        "key", "slot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "component",
+        "signature")
+    rows = spread.join(texts, "rep").select(
+        "key", "slot", "i", "j", "own", "rep", "component", "signature", "text").repartition(
+        "key", "i", "j").sortWithinPartitions("key", "i", "j", "own")
+
+    def block(t: pa.Table, sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
+        marks = t["signature"].combine_chunks().flatten().to_numpy().view(np.uint16).reshape(-1, HASHES)
+        rep, side, slot = t["rep"].to_numpy(), t["own"].to_numpy(), t["slot"][0].as_py()
+        root = np.unique(t["component"].to_numpy(), return_inverse=True)[1]
+        n = np.array([len(s) for s in sets])
+        flat, first = np.concatenate(sets), np.cumsum(n) - n
+        same = t["i"][0].as_py() == t["j"][0].as_py()
+        left = np.flatnonzero(side == t["i"][0].as_py())
+        right = np.flatnonzero(side != t["i"][0].as_py())
+        a, b = [], []
+        for x, r in enumerate(left.tolist()):
+            to = left[x + 1:] if same else right
+            to = to[(root[to] != root[r]) & (np.minimum(n[to], n[r]) * 100 >= percent * np.maximum(n[to], n[r]))]
+            if not len(to):
+                continue
+            alike = marks[to] == marks[r]
+            to = to[(alike.sum(axis=1) >= HASHES - RULED_OUT) & (_first_shared(alike) == slot)]
+            if not len(to):
+                continue
+            both = _common(sets[r], flat, first[to], n[to])
+            for y in to[both * 100 >= percent * (n[r] + n[to] - both)].tolist():
+                if root[y] != root[r]:
+                    root[root == root[y]] = root[r]
+                    a.append(int(rep[r]))
+                    b.append(int(rep[y]))
+        return a, b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches, ["key", "i", "j"], least=4096):
-            cols = {c: t[c].to_numpy() for c in ("key", "i", "j", "own", "rep", "component", "n")}
-            marks = t["signature"].combine_chunks().flatten().to_numpy().view(np.uint16).reshape(-1, HASHES)
-            change = (cols["key"][1:] != cols["key"][:-1]) | (cols["i"][1:] != cols["i"][:-1]) | (cols["j"][1:] != cols["j"][:-1])
-            cuts = [0, *(np.flatnonzero(change) + 1).tolist(), len(marks)]
+        for t in whole_groups(batches, ["key", "i", "j"], least=512):
+            key, i, j = (t[c].to_numpy() for c in ("key", "i", "j"))
+            cuts = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
             a, b = [], []
-            for lo, hi in zip(cuts, cuts[1:]):
-                first = cols["own"][lo:hi] == cols["i"][lo]
-                same = cols["i"][lo] == cols["j"][lo]
-                left = np.arange(lo, hi)[first]
-                right = left if same else np.arange(lo, hi)[~first]
-                for x, r in enumerate(left.tolist()):
-                    to = right[x + 1:] if same else right
-                    to = to[cols["component"][to] != cols["component"][r]]
-                    n = cols["n"][to]
-                    to = to[np.minimum(n, cols["n"][r]) * 100 >= percent * np.maximum(n, cols["n"][r])]
-                    if len(to):
-                        to = to[(marks[to] != marks[r]).sum(axis=1) <= RULED_OUT]
-                        a.append(np.full(len(to), cols["rep"][r]))
-                        b.append(cols["rep"][to])
-            x = np.concatenate(a) if a else np.empty(0, np.int64)
-            y = np.concatenate(b) if b else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)]):
+                part = t.slice(lo, hi - lo)
+                if len(np.unique(part["component"].to_numpy())) < 2:
+                    continue
+                data, at = text_bytes(part["text"].combine_chunks())
+                sets = [s for _, d, off in pieces(data, at) for s in shingle_sets(Words(d, off, lower=True), k)]
+                x, y = block(part, sets)
+                a += x
+                b += y
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return staged(rows.mapInArrow(run, "a long, b long").distinct(), "links")
 
 
 def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 75, key: str = "doc_id", text: str = "text",
-                    leaders: int = 2) -> DataFrame:
+                    leaders: int = 1) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``documents``."""
     sets = staged(shingled(documents, k, key, text), "sets")
     classes = staged(
         sets.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()).groupBy("d1", "d2").agg(
             F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")),
         "classes")
-    entries = classes.select("rep", F.explode(_keys()).alias("key"))
+    entries = classes.select("rep", F.posexplode(_keys()).alias("slot", "key"))
     shared = staged(entries.groupBy("key").agg(F.min("rep").alias("lead"), F.count(F.lit(1)).alias("size"))
                     .where("size > 1"), "keys")
-    members = staged(entries.join(shared, "key").select("key", "rep", "lead", "size"), "members")
+    members = staged(entries.join(shared, "key").select("key", "slot", "rep", "lead", "size"), "members")
     ids = documents.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text"))
     texts = staged(ids.join(members.select("rep").distinct(), "rep"), "texts")
 
@@ -198,20 +233,21 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 75, key: st
     for turn in range(leaders + 1):
         label = F.coalesce("component", "rep").alias("component")
         placed = members.where("size > 2").join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "key", "rep", "size", label)
+            "key", "slot", "rep", "size", label)
         open_keys = staged(placed.groupBy("key").agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.max("size").alias("size"),
             F.min_by("rep", F.xxhash64("rep", F.lit(turn))).alias("lead")).where("low < high"), "open-keys")
         inside = placed.drop("size").join(open_keys.select("key"), "key", "left_semi")
         if turn < leaders:
             large = open_keys.where(F.col("size") > BLOCK // 8)
+            if large.isEmpty():
+                continue
             lead = large.join(found.select(F.col("node").alias("lead"), F.col("component").alias("c")), "lead", "left").select(
                 "key", F.col("lead").alias("a"), F.coalesce("c", "lead").alias("c"))
             pairs = inside.join(lead, "key").where(F.col("c") != F.col("component")).select("a", F.col("rep").alias("b")).distinct()
-            pairs = _possible(pairs, classes, percent)
+            more = confirmed(_possible(pairs, classes, percent), texts, k, percent)
         else:
-            pairs = _rest(inside, classes, open_keys.select("key", "size"), percent)
-        more = confirmed(pairs, texts, k, percent)
+            more = _rest(inside, classes, open_keys.select("key", "size"), texts, k, percent)
         if not more.isEmpty():
             links = found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
             found = staged(components(links), "components")
