@@ -1,8 +1,9 @@
 """Least-squares attribution of a change vector to known fault signatures.
 
 A signature table holds, per phase, ``sig_pos`` (row position), ``sig_id`` and
-``vec`` (array of doubles). It is a calibration table of a few dozen rows; its
-size is checked before it is collected.
+``vec`` (array of doubles). It is a calibration table, usually of a few dozen
+rows. Candidates of up to ``RESIDENT`` signatures are prepared once per task;
+of more they are made and compared in blocks, the best so far kept.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from fleethealth import schema as S
 from fleethealth.functions import bt, dot, norm, vector_norm
 
-MAX_SIGNATURES = 64  # per phase; 64 give 43 744 candidates
-MAX_PHASES = 16
+RESIDENT = 64  # signatures per phase whose candidates (43 744) stay in memory
+CANDIDATES = 20_000  # of larger tables compared at once
+MAX_ROWS = 100_000  # of the whole table, which goes to the driver
 ERROR_STEP = 1e-9  # errors closer than this are a tie, the earlier candidate wins
 CLOSE = 1e-3
 BLOCK = 32  # observations solved at once; their errors fit the cache
@@ -36,7 +38,7 @@ FIT_FIELDS = {
     "residual": T.DoubleType(),
     "shift": T.ArrayType(T.DoubleType()),
     "magnitude": T.ArrayType(T.DoubleType()),
-    "sig_pos": T.ArrayType(T.LongType()),
+    "sig_id": T.ArrayType(T.StringType()),
     "admissible": T.ArrayType(T.LongType()),
 }
 
@@ -51,13 +53,12 @@ def signature_norms(signatures: DataFrame, columns: Sequence[str] = S.SIGNATURE_
 
 def collect_signatures(signatures: DataFrame) -> dict[str, list[tuple[int, str, tuple[float, ...]]]]:
     """Signatures per phase in position order, after a size check."""
-    limit = MAX_SIGNATURES * MAX_PHASES
-    rows = signatures.select(S.PHASE, "sig_pos", "sig_id", "vec").limit(limit + 1).collect()
+    rows = signatures.select(S.PHASE, "sig_pos", "sig_id", "vec").limit(MAX_ROWS + 1).collect()
     tables: dict[str, list] = {}
     for r in sorted(rows, key=lambda r: (r[S.PHASE], r["sig_pos"])):
         tables.setdefault(r[S.PHASE], []).append((r["sig_pos"], r["sig_id"], tuple(r["vec"])))
-    if len(rows) > limit or any(len(t) > MAX_SIGNATURES for t in tables.values()):
-        raise ValueError(f"more than {MAX_SIGNATURES} signatures in a phase")
+    if len(rows) > MAX_ROWS:
+        raise ValueError(f"more than {MAX_ROWS} signatures")
     return tables
 
 
@@ -159,6 +160,40 @@ def _admissible(obs, explained, length, solver: Solver, err_limit: float, factor
     return counts
 
 
+def _in_blocks(vectors: tuple[tuple[float, ...], ...], max_size: int) -> Iterator[tuple[Solver, np.ndarray]]:
+    """Candidates of one size at a time, ``CANDIDATES`` together, in the usual order,
+    with an orthonormal basis of each."""
+    m = np.array(vectors, dtype=float)
+    norms = np.linalg.norm(m, axis=1)
+    for k in range(1, min(max_size, len(m)) + 1):
+        sets = itertools.combinations(range(len(m)), k)
+        rcond = np.finfo(float).eps * max(m.shape[1], k)
+        while part := list(itertools.islice(sets, CANDIDATES)):
+            stacked = m[np.array(part)].transpose(0, 2, 1)
+            q, r = np.linalg.qr(stacked)
+            steps = np.abs(np.diagonal(r, axis1=1, axis2=2))
+            q = q * (steps > rcond * np.linalg.norm(stacked, axis=(1, 2))[:, None] * 16)[:, None, :]
+            yield Solver(m, norms, part, [0] * k, [], [], [np.empty(0)] * (k - 1) + [np.linalg.pinv(stacked, rcond=rcond)]), q
+
+
+def _fit_large(obs: np.ndarray, vectors, max_size: int, err_limit: float, factor: float, count: bool):
+    """As ``_fit_block`` for a table whose candidates do not fit at once."""
+    length = np.linalg.norm(obs, axis=1)
+    best: list = [None] * len(obs)
+    counts = [[0] * min(max_size, len(vectors)) for _ in obs] if count else [None] * len(obs)
+    for solver, basis in _in_blocks(vectors, max_size):
+        explained = (np.einsum("op,cpk->ock", obs, basis) ** 2).sum(axis=2)
+        for i, (o, x) in enumerate(zip(obs, explained)):
+            if count:
+                near = np.flatnonzero(x > (1.0 - err_limit**2) * length[i]**2)
+                fits = sum(_solve(o, solver, c)[2].sum() < factor * length[i] for c in near)
+                counts[i][len(solver.members[0]) - 1] += int(fits)
+            found = _best(o, x, length[i], solver, err_limit, factor)
+            if found and (best[i] is None or found[0] < best[i][0] - ERROR_STEP):
+                best[i] = found
+    return [(*(b or (None,) * 5), c) for b, c in zip(best, counts)]
+
+
 def _fit_block(obs: np.ndarray, solver: Solver, err_limit: float, factor: float, count: bool):
     """Fits of the (non-zero) observation rows of one phase."""
     explained = _explained(obs, solver)
@@ -173,18 +208,26 @@ def _fit_series(obs: pd.Series, phase: pd.Series, solvers, err_limit, factor, co
     n = len(obs)
     out: list = [(None,) * 6] * n
     usable = np.array([v is not None and not pd.isna(v).any() and np.any(v) for v in obs], dtype=bool)
-    for p, (solver, positions) in solvers.items():
+    for p, (solve, names) in solvers.items():
         rows = np.flatnonzero(usable & (phase.to_numpy() == p))
         for at in range(0, len(rows), BLOCK):
             block = rows[at:at + BLOCK]
             stacked = np.stack([np.asarray(obs.iat[i], dtype=float) for i in block])
             for i, (err, residual, c, mags, members, counts) in zip(
-                    block, _fit_block(stacked, solver, err_limit, factor, count)):
-                chosen = None if members is None else [positions[k] for k in members]
+                    block, solve(stacked, err_limit, factor, count)):
+                chosen = None if members is None else [names[k] for k in members]
                 out[i] = (err, residual, c, mags, chosen, counts)
     return pd.DataFrame(out, columns=list(FIT_FIELDS))
 
 
+def _solve_with(vectors: tuple[tuple[float, ...], ...], max_size: int):
+    """The fit of observation rows against one phase's signatures."""
+    if len(vectors) > RESIDENT:
+        return lambda obs, *rules: _fit_large(obs, vectors, max_size, *rules)
+    solver = _solver(vectors, max_size)
+    return lambda obs, *rules: _fit_block(obs, solver, *rules)
+
+
 def fit_vectors(
     df: DataFrame, signatures: DataFrame, vectors: dict[str, Column], settings: S.Settings,
     phase: str = S.PHASE, count: bool = False,
@@ -201,7 +244,7 @@ def fit_vectors(
 
     @F.pandas_udf(T.StructType([T.StructField(n, t) for n, t in zip(names, types)]))
     def fit(it: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        solvers = {p: (_solver(tuple(x[2] for x in t), max_size), [x[0] for x in t]) for p, t in tables.items()}
+        solvers = {p: (_solve_with(tuple(x[2] for x in t), max_size), [x[1] for x in t]) for p, t in tables.items()}
         for ph, *observed in it:
             fits = [_fit_series(obs, ph, solvers, err_limit, factor, count) for obs in observed]
             done = pd.concat(fits, axis=1)
@@ -226,8 +269,6 @@ def signature_fit(
 
     New rows only; in batch context the fits of stored rows are cleared.
     """
-    tables = collect_signatures(signatures)
-    names = {p: {pos: sid for pos, sid, _ in t} for p, t in tables.items()}
     fresh = bt(S.NEW_FLAG) == 1
     present = set(df.columns)
     obs = {
@@ -238,8 +279,6 @@ def signature_fit(
     complete = {lag: F.forall(v, lambda x: x.isNotNull()) & fresh for lag, v in obs.items()}
     vectors = {f"__fit{lag}": F.when(complete[lag] & (vector_norm(v) > 0), v) for lag, v in obs.items()}
     fitted = fit_vectors(df, signatures, vectors, settings)
-    label = F.create_map(*[x for p, t in names.items() for pos, sid in t.items()
-                           for x in (F.lit(f"{p}/{pos}"), F.lit(sid))]) if names else None
     out = {}
     for lag, v in obs.items():
         f = F.col(f"__fit{lag}")
@@ -248,9 +287,7 @@ def signature_fit(
             item = lambda a: F.get(f[a], F.lit(i - 1))
             values[f"VAR{i}_SHIFT{lag}"] = item("shift")
             values[f"VAR{i}_MAGNITUDE{lag}"] = item("magnitude")
-            key = F.concat(bt(S.PHASE), F.lit("/"), item("sig_pos").cast("string"))
-            values[f"VAR{i}_IDENTIFIER{lag}"] = (
-                F.lit(None).cast("string") if label is None else F.try_element_at(label, key))
+            values[f"VAR{i}_IDENTIFIER{lag}"] = item("sig_id")
         values[f"ERROR_REL{lag}"] = f["err"]
         values[f"ERROR_MAGNITUDE{lag}"] = f["residual"]
         values[f"OBS_MAGNITUDE{lag}"] = F.when(complete[lag], vector_norm(v))
@@ -277,9 +314,9 @@ def signature_fit_single(
     """One-signature fit in closed form, c = f.o / f.f, without leaving the JVM.
 
     The phase's signatures ride along as one array per row (a phase -> array
-    table of a few rows is broadcast), so no row is ever multiplied.
+    table of as many rows as there are phases is broadcast), so no row is ever
+    multiplied.
     """
-    collect_signatures(signatures)  # size check
     table = signatures.groupBy(bt(S.PHASE).alias("__phase")).agg(
         F.array_sort(F.collect_list(F.struct("sig_pos", "sig_id", "vec"))).alias("__sigs"))
     o = bt(obs)

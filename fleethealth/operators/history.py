@@ -61,6 +61,14 @@ def dedup_report_key(
     return dedup_keep_history(stored, fresh, keys, prefer)
 
 
+def merged(history: DataFrame | None, new: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """History plus new rows, complete rows only, deduplicated."""
+    if history is None:
+        return new.dropna("any", subset=list(columns)).dropDuplicates(list(columns))
+    complete = [d.dropna("any", subset=list(columns)) for d in (history, new)]
+    return dedup_keep_history(*complete, columns=columns)
+
+
 def merge_history(
     history: DataFrame | None,
     new: DataFrame,
@@ -74,12 +82,7 @@ def merge_history(
 
     Duplicates go before the cut, so they do not use up the budget of ``n``.
     """
-    if history is None:
-        merged = new.dropna("any", subset=list(columns)).dropDuplicates(list(columns))
-    else:
-        complete = [d.dropna("any", subset=list(columns)) for d in (history, new)]
-        merged = dedup_keep_history(*complete, columns=columns)
-    return latest_n(merged, n, keys, order, bounded)
+    return latest_n(merged(history, new, columns), n, keys, order, bounded)
 
 
 def append_unique(base: DataFrame, new: DataFrame, time: str = S.TIME) -> DataFrame:

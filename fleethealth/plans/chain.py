@@ -38,7 +38,8 @@ class Spread:
 
 def check_spread(new: DataFrame) -> Spread:
     """Two keys-only scans of the increment; later stages need no further checks
-    because history adds at most ``n_points`` rows per engine."""
+    because history adds at most ``n_points`` rows per engine. Series of a heavy
+    engine are cut into chunks by every stage."""
     return Spread(heavy_keys(new, S.ENGINE) is None, heavy_keys(new, S.PAIR) is None)
 
 
@@ -49,7 +50,11 @@ def ingest(
     checkpoint: datetime | None,
     spread: Spread = Spread(),
 ) -> DataFrame:
-    """Clean the increment, merge it with the stored rows and flag new rows."""
+    """Clean the increment, merge it with the stored rows and flag new rows.
+
+    The newest ``n_points`` stored rows per engine are context; new rows are
+    never cut, however many there are.
+    """
     # Time and engine first: the dedup sorts by these columns and rarely looks past them.
     query_columns = [S.TIME, "ESN", S.PHASE, *[c for c in S.REPORT_COLUMNS if c not in (S.TIME, "ESN")]]
     cleaned = (
@@ -59,10 +64,11 @@ def ingest(
         .transform(clean.kelvin_to_celsius)
         .transform(clean.cast_and_round)
     )
-    merged = history.merge_history(stored, cleaned, query_columns, settings.n_points, bounded=spread.engines)
+    context = None if stored is None else history.latest_n(stored, settings.n_points, bounded=True)
+    merged = history.merged(context, cleaned, query_columns)
     staged = clean.enforce_schema(merged, S.stage_schema(settings)).select(*map(bt, S.stage_columns(settings)))
     flagged = clean.new_flag(staged, checkpoint)
-    return flags.days_since_prev(flagged, bounded=True) if settings.context == "batch" else flagged
+    return flags.days_since_prev(flagged, bounded=spread.engines) if settings.context == "batch" else flagged
 
 
 def run_stages(
@@ -71,8 +77,7 @@ def run_stages(
 ) -> DataFrame:
     """Ingested rows to the fully widened stage table.
 
-    Rows per (phase, engine) are bounded by ``n_points`` here, so the engine
-    windows need no hot-key check. In history context day gaps are taken here,
+    In history context day gaps are taken here,
     between paired reports: unpaired ones are not stored, so a gap to them would
     depend on where the input was cut. With ``snapshots`` (a shared folder) the
     trend and fit stages are written there and read back: the Python fit is then
@@ -81,18 +86,18 @@ def run_stages(
     snap = (lambda d, name: tap(d, f"{snapshots}/{name}")) if snapshots else (lambda d, name: d)
     paired = df.transform(deltas.percent_delta).transform(deltas.sister_delta, bounded=spread.pairs)
     if settings.context == "history":
-        paired = flags.days_since_prev(paired, context="history", bounded=True)
+        paired = flags.days_since_prev(paired, context="history", bounded=spread.engines)
     trends = (
-        paired.transform(flags.engine_flags, settings.min_sv_dur, context=settings.context, bounded=True)
-        .transform(trend.masked_rolling_mean, window=settings.window, bounded=True)
-        .transform(trend.lag_delta, lags=settings.lags, bounded=True)
+        paired.transform(flags.engine_flags, settings.min_sv_dur, context=settings.context, bounded=spread.engines)
+        .transform(trend.masked_rolling_mean, window=settings.window, bounded=spread.engines)
+        .transform(trend.lag_delta, lags=settings.lags, bounded=spread.engines)
         .transform(snap, "trend")
     )
     staged = (
         trends.transform(fit.signature_fit, signatures, settings)
         .transform(snap, "fit")
         .transform(stats.damage_shift, settings.lags)
-        .transform(stats.summary_stats, settings, bounded=True)
+        .transform(stats.summary_stats, settings, bounded=spread.engines)
         .transform(stats.exceedance_count, settings.fraction_limit)
     )
     return staged.select(*map(bt, S.stage_columns(settings)))
@@ -120,7 +125,8 @@ def run_increment(
     spread = check_spread(new) if check_skew else Spread()
     stage = run_stages(ingest(new, stored, settings, checkpoint, spread), signatures, settings, spread, snapshots)
     merged, summary = evaluate(stage, settings)
-    return Result(stage, merged, summary, low_watermark(new))
+    # Retention is for what is stored, after everything new has been scored.
+    return Result(history.latest_n(stage, settings.n_points, bounded=spread.engines), merged, summary, low_watermark(new))
 
 
 def trend_movers(stage: DataFrame, lag: int) -> DataFrame:

@@ -81,8 +81,20 @@ def test_snapshots_change_nothing(spark, setup):
 
 def test_newest_points_bound_the_history(spark, setup):
     fleet, sigs, settings = setup
-    stage = chain.run_increment(fleet, sigs, None, replace(settings, n_points=5)).stage
-    assert stage.groupBy("phase", "ESN").count().agg(F.max("count")).first()[0] <= 5
+    short, full = (chain.run_increment(fleet, sigs, None, replace(settings, n_points=n)) for n in (5, 650))
+    assert short.stage.groupBy("phase", "ESN").count().agg(F.max("count")).first()[0] <= 5
+    # What is kept for later is bounded, what is scored now is not.
+    assert comparable(short.summary, full.summary.columns) == comparable(full.summary, full.summary.columns)
+    assert short.merged.count() == full.merged.count() > short.stage.where("phase = 'cruise'").count()
+
+
+def test_a_heavy_engine_gives_the_same_rows(spark, setup, hot):
+    fleet, sigs, settings = setup
+    settings = replace(settings, max_signatures=1)
+    some = fleet.where("ESN <= 4")
+    heavy = chain.run_increment(some, sigs, None, settings)
+    plain = chain.run_increment(some, sigs, None, settings, check_skew=False)
+    assert comparable(heavy.stage, heavy.stage.columns) == comparable(plain.stage, plain.stage.columns)
 
 
 def test_write_outputs(spark, setup):
@@ -108,8 +120,8 @@ def test_engine_windows_share_their_exchange(spark, setup):
     fleet, sigs, settings = setup
     stage = chain.run_increment(fleet, sigs, None, settings).stage
     plan = stage._jdf.queryExecution().executedPlan().toString()
-    # dedup, newest n, pairs, flags + means + lags, statistics
-    assert plan.count("Exchange hashpartitioning") == 5
+    # dedup, pairs, flags + means + lags, statistics + newest n
+    assert plan.count("Exchange hashpartitioning") == 4
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 

@@ -102,9 +102,33 @@ def test_single_signature_equals_restricted_fit(spark):
     assert any(r["IDENTIFIER"] for r in rows)
 
 
-def test_norms_and_size_check(spark):
+def test_norms_and_size_check(spark, monkeypatch):
     sigs = signatures(spark, [[3.0, 4.0] + [0.0] * 7])
     assert sigs.first()["Vector_Norm"] == 5.0
+    monkeypatch.setattr(fit, "MAX_ROWS", 4)
     with pytest.raises(ValueError, match="signatures"):
-        fit.collect_signatures(signatures(spark, np.ones((fit.MAX_SIGNATURES + 1, 9))))
+        fit.collect_signatures(signatures(spark, np.ones((5, 9))))
     assert len(fit.candidate_sets(32)) == 5488
+
+
+def test_a_large_table_is_fitted_in_blocks(spark):
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(100, 9))
+    obs = rng.normal(size=(12, 9)) * 0.2 + vectors[:12] * 2 - vectors[50:62]
+    settings = S.Settings(lags=(LAG,), max_signatures=2)
+    rows = fit.signature_fit(observations(spark, obs), signatures(spark, vectors), settings).orderBy("ESN").collect()
+    best = fit._solver(tuple(map(tuple, vectors)), 2)
+    want = [f and [f"S{m}" for m in f[4]] for f in fit._fit_block(obs, best, 0.3, 5.0, False)]
+    assert [[r[f"VAR{i}_IDENTIFIER{LAG}"] for i in (1, 2)] for r in rows] == [w + [None] * (2 - len(w)) for w in want]
+    counted = fit.admissible_counts(
+        observations(spark, obs).withColumn("obs", F.array(*COLUMNS)), signatures(spark, vectors), "obs", settings)
+    plain = [fit._fit_block(o[None], best, 0.3, 5.0, True)[0][5] for o in obs]
+    assert [[r["candidates_1"], r["candidates_2"]] for r in counted.orderBy("ESN").collect()] == plain
+
+
+def test_blocks_equal_the_resident_solver():
+    rng = np.random.default_rng(12)
+    vectors, obs = rng.normal(size=(9, 9)), rng.normal(size=(20, 9))
+    resident = fit._fit_block(obs, fit._solver(tuple(map(tuple, vectors)), 3), 0.6, 2.0, True)
+    large = fit._fit_large(obs, tuple(map(tuple, vectors)), 3, 0.6, 2.0, True)
+    assert [(f[4], f[5]) for f in resident] == [(f[4], f[5]) for f in large]
