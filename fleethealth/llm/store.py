@@ -17,7 +17,7 @@ def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     the stages before again, and every later read sees the same rows.
     """
     path = scratch_dir(df.sparkSession, name)
-    df.write.options(**options).parquet(path)
+    df.write.options(**{"compression": "zstd"} | options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
