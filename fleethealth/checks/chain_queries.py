@@ -14,7 +14,7 @@ from fleethealth.checks.registry import check, r5
 from fleethealth.checks.row_queries import RANGE_SQL, _COMPLETE
 from fleethealth.checks.source_queries import FLEET
 from fleethealth.functions import bt
-from fleethealth.plans import chain
+from fleethealth.plans import batch, chain
 from fleethealth.session import scratch_dir
 from fleethealth.streaming import jobs, state
 
@@ -174,6 +174,17 @@ def stream_incremental_ingest(spark, sf_dir):
     return state.latest(spark, root, "summary", _finish(query))
 
 
+@check("batch_run", f"{chain_ctes(3, 'history')} {SUMMARY.format(keys=_KEYS)}")
+def batch_run(spark, sf_dir):
+    """Two batch runs, the second from the first one's checkpoint, equal one full run."""
+    fleet, root = V.fleet(spark, sf_dir), scratch_dir(spark, "batch")
+    settings, sigs = replace(SETTINGS, context="history"), _sigs(spark, sf_dir, S.PHASES)
+    batch.run_batch(spark, fleet.where(bt(S.TIME) < F.lit("2024-01-17").cast("timestamp_ntz")), sigs, root, settings)
+    paths = batch.run_batch(spark, fleet, sigs, root, settings)
+    names = {new: old for old, new in batch.SUMMARY_NAMES.items()}
+    return spark.read.parquet(paths["summary"]).withColumnsRenamed(names)
+
+
 @check("stream_dedup", 'SELECT event_id, user_id AS "ESN", ts AS reportdatetime FROM events')
 def stream_dedup(spark, sf_dir):
     """Every report delivered twice, in different files, comes out once."""

@@ -196,14 +196,19 @@ ROW_SUM_SQL = "CAST(event_id % 7 AS BIGINT)"
 HISTORY = f"SELECT phase, \"ESN\", reportdatetime, {ROW_SUM_SQL} AS row_sum FROM ({V.REPORTS_SQL}) r"
 
 
-@check("write_outputs", HISTORY)
+@check("write_outputs", f"""SELECT *, (SELECT count(*) FROM ({HISTORY}) h WHERE phase = 'cruise') AS matched,
+(SELECT count(DISTINCT "ESN") FROM ({HISTORY}) h WHERE phase = 'cruise') AS summarised FROM ({HISTORY}) x""")
 def write_outputs(spark, sf_dir):
     rows = V.reports(spark, sf_dir).select("phase", "ESN", "reportdatetime", F.expr(ROW_SUM_SQL).alias("row_sum"))
-    merged = phases.phase_asof(rows, keys=["ESN"]).transform(phases.alert_flag)
-    summary = phases.alert_summary(merged, keys=["ESN"]).withColumnsRenamed(
-        {"First DN fire": "first_fire", "Last DN fire": "last_fire"})
-    paths = state.write_outputs(scratch_dir(spark, "outputs"), rows, merged, summary)
-    return R.read_stage(spark, paths["history"])
+    paths = state.write_outputs(
+        scratch_dir(spark, "outputs"), rows,
+        lambda d: phases.phase_asof(d, keys=["ESN"]).transform(phases.alert_flag),
+        lambda d: phases.alert_summary(d, keys=["ESN"]).withColumnsRenamed(
+            {"First DN fire": "first_fire", "Last DN fire": "last_fire"}))
+    kept = R.read_stage(spark, paths["history"])
+    merged, summary = (spark.read.parquet(paths[n]) for n in ("merged", "summary"))
+    counts = merged.agg(F.count(F.lit(1)).alias("matched")).crossJoin(summary.agg(F.count(F.lit(1)).alias("summarised")))
+    return kept.crossJoin(F.broadcast(counts))  # one row of counts
 
 
 @check("append_unique", "SELECT DISTINCT event_id, ts AS reportdatetime, user_id, event_type, value FROM events")

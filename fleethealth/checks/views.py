@@ -28,13 +28,17 @@ _LEVELS = {
 }
 
 
+def _base(k: int, p: S.Parameter) -> str:
+    return f"({_ladder(*_LEVELS[p.name])} + CAST((event_id * {7 + k}) % 30 AS DOUBLE) / 10)"
+
+
 def _nominal(k: int, p: S.Parameter) -> str:
-    base = f"({_ladder(*_LEVELS[p.name])} + CAST((event_id * {7 + k}) % 30 AS DOUBLE) / 10)"
+    base = _base(k, p)
     return f"{base} + CAST(27315 AS DOUBLE) / 100" if p.nominal in S.KELVIN_COLUMNS else base
 
 
 def _measured(k: int, p: S.Parameter) -> str:
-    base = f"({_ladder(*_LEVELS[p.name])} + CAST((event_id * {7 + k}) % 30 AS DOUBLE) / 10)"
+    base = _base(k, p)
     drift = f"CAST((event_id * {3 + 2 * k} + user_id * {5 + k} + pos * {11 + k}) % 41 - 20 AS DOUBLE) / 2000"
     value = f"{base} + {base} * ({drift})"
     if p.name == "NL":  # some readings out of range
@@ -77,11 +81,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fleet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two engine reports per event, 32 report columns."""
-    base = table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", F.expr(PHASE_SQL).alias("phase"),
+    """Two engine reports per event, 32 report columns.
+
+    What does not depend on the position is computed before the explode, once per event.
+    """
+    phased = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", F.expr(PHASE_SQL).alias("phase"))
+    bases = {f"base_{k}": _base(k, p) for k, p in enumerate(S.PARAMETERS)}
+    once = {n: e for n, e in FLEET.items() if n in ("ALT__FT", "MN1", "DSCID", "operator", "ACID")}
+
+    def late(name: str, expression: str) -> str:
+        for n, e in bases.items():
+            expression = expression.replace(e, n)
+        return f"`{name}`" if name in once else expression
+
+    base = phased.select(
+        "event_id", "ts", "user_id", "phase", *[F.expr(e).alias(n) for n, e in (bases | once).items()],
         F.explode(F.array(F.lit(1), F.lit(2))).alias("pos"))
-    return base.select(*[F.expr(e).alias(n) for n, e in FLEET.items()])
+    return base.select(*[F.expr(late(n, e)).alias(n) for n, e in FLEET.items()])
 
 
 # Signatures: the vectors at the first 32 positions; labels repeat so that the
@@ -152,22 +168,6 @@ REPORTS_SQL = (f'SELECT event_id, user_id AS "ESN", {PHASE_SQL} AS phase, ts AS
                " FROM events")
 
 
-_WRITTEN: dict[tuple[str, str, str], str] = {}
-
-
-def written(spark: SparkSession, sf_dir: str, name: str, make, partition_by=()) -> DataFrame:
-    """A derived table, written once per application to the shared folder."""
-    from fleethealth.session import scratch_dir
-
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _WRITTEN:
-        path = scratch_dir(spark, name)
-        writer = make(spark, sf_dir).write
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-        _WRITTEN[key] = path
-    return spark.read.parquet(_WRITTEN[key])
-
-
 def fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fleet's report table, stored by phase as in production."""
-    return written(spark, sf_dir, "fleet", fleet_rows, ("phase",))
+    """The fleet's report table, projected from the events as they are read."""
+    return fleet_rows(spark, sf_dir)

@@ -105,12 +105,17 @@ def run_stages(
 
 def evaluate(stage: DataFrame, settings: S.Settings = S.Settings()) -> tuple[DataFrame, DataFrame]:
     """Matched flights with their alert flag, and the summary per installation."""
+    merged = matched(stage, settings)
+    return merged, phases.alert_summary(merged)
+
+
+def matched(stage: DataFrame, settings: S.Settings = S.Settings()) -> DataFrame:
+    """Flights with the counts of their phases and the alert flag."""
     lookups = (
         phases.Lookup("takeoff", "take-off", settings.takeoff_minutes),
         phases.Lookup("climb", "climb", settings.climb_minutes),
     )
-    merged = phases.phase_asof(stage, lookups=lookups).transform(phases.alert_flag, settings.min_exceedances)
-    return merged, phases.alert_summary(merged)
+    return phases.phase_asof(stage, lookups=lookups).transform(phases.alert_flag, settings.min_exceedances)
 
 
 def run_increment(

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from fleethealth import schema as S
-from fleethealth.functions import bt, r5
+from fleethealth.functions import bt, null_if_nan, r5
 from fleethealth.operators.clean import TIME_FORMAT, to_ntz
 
 # Join keys of the measured and nominal tables and their public names.
@@ -101,7 +101,7 @@ def read_history(
     raw = spark.read.schema(text).option("header", True).option("mode", "PERMISSIVE").csv(path)
     return raw.select(*[
         to_ntz(f.name, TIME_FORMAT).alias(f.name) if f.name in times
-        else r5(bt(f.name)).alias(f.name) if isinstance(f.dataType, T.DoubleType)
+        else null_if_nan(r5(bt(f.name))).alias(f.name) if isinstance(f.dataType, T.DoubleType)
         else bt(f.name)
         for f in typed
     ]).dropna("any", subset=times or None)
@@ -130,7 +130,7 @@ def read_csv_trimmed(
         elif name in types:
             cell = cell.try_cast(types[name])
             if types[name] == "double":
-                cell = r5(cell)
+                cell = null_if_nan(r5(cell))  # a missing reading, as NULL everywhere
         out.append(cell.alias(name))
     return raw.select(*out).dropna("any", subset=list(times))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -58,10 +58,17 @@ def tap(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_outputs(root: str, stage: DataFrame, merged: DataFrame, summary: DataFrame) -> dict[str, str]:
-    """History per phase, matched flights and the alert summary."""
+def write_outputs(
+    root: str, stage: DataFrame, match: Callable[[DataFrame], DataFrame], summarise: Callable[[DataFrame], DataFrame],
+) -> dict[str, str]:
+    """History per phase, matched flights and the alert summary.
+
+    Each is written once and read back for the next, so nothing is computed twice.
+    """
     paths = {n: f"{root}/{n}" for n in ("history", "merged", "summary")}
-    write_stage(stage, paths["history"])
+    spark = stage.sparkSession
+    merged = match(tap(stage, paths["history"]))
     merged.write.mode("errorifexists").parquet(paths["merged"])
+    summary = summarise(spark.read.schema(merged.schema).parquet(paths["merged"]))
     summary.write.mode("errorifexists").parquet(paths["summary"])
     return paths

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fleethealth import schema as S
 from fleethealth.functions import bt
-from fleethealth.plans import chain
+from fleethealth.plans import batch, chain
 from fleethealth.session import scratch_dir
 from fleethealth.sources import reports, state
 
@@ -97,16 +97,25 @@ def test_a_heavy_engine_gives_the_same_rows(spark, setup, hot):
     assert comparable(heavy.stage, heavy.stage.columns) == comparable(plain.stage, plain.stage.columns)
 
 
-def test_write_outputs(spark, setup):
+def test_batch_runs_write_their_outputs(spark, setup):
     fleet, sigs, settings = setup
-    result = chain.run_increment(fleet, sigs, None, settings)
-    stage = stored(spark, result.stage, "outputs")
-    merged, summary = chain.evaluate(stage, settings)
+    settings = replace(settings, max_signatures=1)
     root = scratch_dir(spark, "out")
-    paths = state.write_outputs(root, stage, merged, summary.withColumnsRenamed(
-        {"First DN fire": "first_fire", "Last DN fire": "last_fire"}))
+    for end in (datetime(2024, 1, 17), None):
+        rows = fleet if end is None else fleet.where(bt(S.TIME) < F.lit(end).cast("timestamp_ntz"))
+        batch.run_batch(spark, rows, sigs, root, settings)
+    last = batch.last_run(spark, root)
+    assert last["run"] == 2
+    paths = batch.outputs(last["folder"])
+    history = reports.read_stage(spark, paths["history"])
+    once = chain.run_increment(fleet, sigs, None, settings)
+    columns = [c for c in S.stage_columns(settings) if c != S.NEW_FLAG]
+    assert comparable(history, columns) == comparable(once.stage, columns)
     assert reports.read_stage(spark, paths["history"], ["cruise"]).select("phase").distinct().count() == 1
-    assert spark.read.parquet(paths["merged"]).count() == stage.where("phase = 'cruise'").count()
+    assert spark.read.parquet(paths["merged"]).count() == history.where("phase = 'cruise'").count()
+    summary = spark.read.parquet(paths["summary"])
+    assert comparable(summary, summary.columns) == comparable(once.summary.withColumnsRenamed(batch.SUMMARY_NAMES), summary.columns)
+    assert last["checkpoint"] == once.checkpoint.first()["checkpoint"]
 
 
 def test_checkpoint_round_trip(spark):
@@ -128,7 +137,8 @@ def test_engine_windows_share_their_exchange(spark, setup):
 def test_range_filter_reaches_the_scan(spark):
     from fleethealth.operators import clean
 
-    plan = clean.range_filter(V.fleet(spark, SMALL)).select("ESN")._jdf.queryExecution().executedPlan().toString()
+    stored_fleet = state.tap(V.fleet(spark, SMALL), scratch_dir(spark, "fleet"))
+    plan = clean.range_filter(stored_fleet).select("ESN")._jdf.queryExecution().executedPlan().toString()
     pushed = plan[plan.index("PushedFilters"):]
     assert "GreaterThanOrEqual(NL__PC,60.0)" in pushed and "LessThanOrEqual(NL__PC,120.0)" in pushed
     assert "PS160__PSI" not in plan  # columns outside the filter and the result are not read

@@ -139,3 +139,16 @@ def test_parse_mixed_timestamps(spark):
     df = spark.createDataFrame([("2024-01-02 03:04:05",), ("2024-01-02 03:04",), ("2024-01-02",), ("x",)], "t string")
     assert [r["t"] for r in clean.parse_mixed_timestamps(df, ["t"]).collect()] == [
         datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 1, 2, 3, 4), datetime(2024, 1, 2), None]
+
+
+def test_a_not_a_number_cell_is_null(spark):
+    from fleethealth.session import scratch_dir
+    from fleethealth.sources import reports
+
+    path = scratch_dir(spark, "nan-csv")
+    spark.createDataFrame([("1", "2024-03-01 00:00:00", "NaN"), ("2", "2024-03-02 00:00:00", "1.5")],
+                          "ESN string, reportdatetime string, MN1 string").write.option("header", True).csv(path)
+    typed = reports.read_history(spark, path, ["ESN", "reportdatetime", "MN1"])
+    loose = reports.read_csv_trimmed(spark, path, {"ESN": "long", "MN1": "double"}, ["reportdatetime"])
+    for df in (typed, loose):
+        assert {r["ESN"]: r["MN1"] for r in df.collect()} == {1: None, 2: 1.5}
