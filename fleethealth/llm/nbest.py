@@ -31,6 +31,8 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from fleethealth.llm.store import small_batches
+
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Chunks kept per worker process, in two generations.
@@ -174,7 +176,7 @@ class PieceModel:
         return text[1:] if text.startswith(" ") else text
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def piece_model(path: str) -> PieceModel:
     """One per worker process."""
     return PieceModel(path)
@@ -200,7 +202,7 @@ def encoded(df: DataFrame, path: str, n: int, text: str = "text", column: str =
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(i, 100) for c in batch.columns), pa.array(rows, kind)], names=schema.names)
 
-    return base.mapInArrow(run, schema)
+    return small_batches(base).mapInArrow(run, schema)
 
 
 def decoded(df: DataFrame, path: str, ids: str = "ids", column: str = "text") -> DataFrame:
@@ -236,4 +238,4 @@ def digest(documents: DataFrame, path: str, n: int = 4) -> DataFrame:
                 [batch["doc_id"], *(pa.array(c, k) for c, k in zip(cols, kinds))],
                 names=["doc_id", "n_pieces", "ids_crc32", "scores", "alternative_crc32", "decoded_crc32", "round_trip"])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return small_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)

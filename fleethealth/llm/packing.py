@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fleethealth.llm.store import staged
+from fleethealth.llm.store import small_batches, staged
 from fleethealth.llm.tokens import tokenizer
 
 PART_ITEMS = 50_000
@@ -45,7 +45,7 @@ def cut_pieces(df: DataFrame, path: str, end_id: int, capacity: int, key: str =
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, PIECES)
+    return small_batches(df).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, PIECES)
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from fleethealth.llm.store import small_batches
 from fleethealth.llm.text import Words, pieces, text_bytes
 
 FEATURES = [
@@ -208,7 +209,7 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
         F.col(key).alias("__id"), F.col(label).cast("double").alias("__y"))
     # Bounded by max_rows, so the broadcast is.
     chosen = usable.orderBy(F.xxhash64("__id"), "__id", "__y").limit(max_rows)
-    rows = documents.select(F.col(key).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__id")
+    rows = small_batches(documents).select(F.col(key).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,7 +241,7 @@ def scored(documents: DataFrame, model: Additive, text: str = "text", score: str
             values = pa.array(np.concatenate(out) if out else np.empty(0))
             yield pa.RecordBatch.from_arrays([*batch.columns, values], names=schema.names)
 
-    return base.mapInArrow(run, schema)
+    return small_batches(base).mapInArrow(run, schema)
 
 
 def digest(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from fleethealth.llm.store import small_batches
+
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/\-])[A-Za-z_+/\-]*+[0-9][A-Za-z0-9_+/\-]*+={0,2}")
 LEAST = 8
 NEAR = 48
@@ -206,7 +208,7 @@ def weak_findings(documents: DataFrame, text: str = "text", path: str = "source"
                 [*(pa.array(c, pa.string()) for c in cols[:4]), pa.array(cols[4], pa.int32())],
                 names=["value", "before", "after", "path", "label"])
 
-    found = documents.select(F.col(text).alias("text"), source.alias("path")).mapInArrow(run, FINDING)
+    found = small_batches(documents).select(F.col(text).alias("text"), source.alias("path")).mapInArrow(run, FINDING)
     # Half of the sample for each label, so that rare secrets are not lost among other numbers.
     order = [F.xxhash64("value", "before"), "value", "before", "after", F.col("path").asc_nulls_first()]
     half = lambda k: found.where(F.col("label") == k).orderBy(*order).limit(max_rows // 2)
@@ -253,7 +255,7 @@ def scanned(documents: DataFrame, forest: Forest, text: str = "text", path: str
                 [*batch.columns, pa.array(many, pa.int32()), pa.array(found, kind), pa.array(clean, pa.string())],
                 names=schema.names)
 
-    return base.mapInArrow(run, schema)
+    return small_batches(base).mapInArrow(run, schema)
 
 
 def digest(documents: DataFrame) -> DataFrame:

@@ -10,6 +10,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fleethealth.session import scratch_dir
 
 
+#: Rows of an Arrow batch; with texts of a few kB that is a few MB in every worker.
+BATCH_ROWS = "2000"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df`` itself, with the session set to Arrow batches of ``BATCH_ROWS``."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return df
+
+
 def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back.
 
@@ -17,7 +27,7 @@ def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     the stages before again, and every later read sees the same rows.
     """
     path = scratch_dir(df.sparkSession, name)
-    df.write.options(**{"compression": "zstd"} | options).parquet(path)
+    small_batches(df).write.options(**{"compression": "zstd"} | options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

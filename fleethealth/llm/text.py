@@ -15,7 +15,7 @@ import pyarrow as pa
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _STEP = U64(0xD1342543DE82EF95)
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -80,7 +80,7 @@ class Words:
         self.begin = np.flatnonzero(~gap & (before | edge[:n]))
         self.end = np.flatnonzero(~gap & (after | edge[1:])) + 1
         self.first = np.searchsorted(self.begin, at)
-        size = 1 << max(int(n).bit_length(), 21)
+        size = 1 << max(int(n).bit_length(), 20)
         power, back = _powers(size)
         run = np.zeros(n + 1, dtype=U64)
         np.cumsum((data.astype(U64) + U64(1)) * power[:n], out=run[1:])

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from fleethealth.llm.store import range_starts, ranged
+from fleethealth.llm.store import range_starts, ranged, small_batches
 from fleethealth.llm.tokens import id_lists, tokenizer
 
 SCHEMA = T.StructType([
@@ -45,7 +45,7 @@ def encode(df: DataFrame, path: str, end_id: int, key: str = "doc_id", text: str
     Null text is empty; null keys come first; rows of one key are ordered by
     the hash of their text.
     """
-    slim = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    slim = small_batches(df).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = ranged(slim, [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]).select(
         "doc_id", F.spark_partition_id().alias("range"), "text")
     end = np.array([end_id], dtype="<u4").tobytes()

@@ -16,7 +16,7 @@ import pyarrow as pa
 from tokenizers import Tokenizer
 
 #: Entries kept per worker process; a full cache starts anew.
-MAX_WORDS, MAX_CORES = 500_000, 700_000
+MAX_WORDS, MAX_CORES = 300_000, 400_000
 
 _SPELLING = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.;:!?$%&*#|]*)")
 
@@ -69,7 +69,7 @@ class WordTokenizer:
         return b"".join(map(self.words.__getitem__, text.encode().split())) if text else b""
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def tokenizer(path: str) -> WordTokenizer:
     """One per worker process."""
     return WordTokenizer(path)
