@@ -140,17 +140,17 @@ def trend_movers(spark, sf_dir):
 # -- streams -----------------------------------------------------------------
 
 CUTS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
+FILES = 4  # of one arrival, and so of one micro-batch
 
 
 def _arrivals(spark, rows: DataFrame, time: str) -> tuple[str, DataFrame]:
-    """Write ``rows`` as files arriving in time order; return the folder and the stream."""
+    """Write ``rows`` as arrivals of several files in time order; return the folder and the stream."""
     path = scratch_dir(spark, "arrivals")
     t = bt(time)
     a, b = (F.lit(c).cast("timestamp_ntz") for c in CUTS)
     for part in (t < a, (t >= a) & (t < b), t >= b):
-        # One file per arrival in this replay, so that a file is a micro-batch.
-        rows.where(part).repartition(1).write.mode("append").parquet(path)
-    return path, spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        rows.where(part).repartition(FILES).write.mode("append").parquet(path)
+    return path, spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).parquet(path)
 
 
 def _to_parquet(stream: DataFrame, out: str):
@@ -192,9 +192,9 @@ def stream_dedup(spark, sf_dir):
         "event_id", F.col("user_id").alias("ESN"), F.col("ts").alias("reportdatetime"))
     path, _ = _arrivals(spark, e, S.TIME)
     late = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
-    e.where(bt(S.TIME) >= late).repartition(1).write.mode("append").parquet(path)
-    e.where(bt(S.TIME) >= late).repartition(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    e.where(bt(S.TIME) >= late).repartition(FILES).write.mode("append").parquet(path)
+    e.where(bt(S.TIME) >= late).repartition(FILES).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", FILES).parquet(path)
     out = scratch_dir(spark, "deduplicated")
     unique = jobs.dedup_stream(stream, ["event_id", "ESN", S.TIME], delay="14 days")
     _finish(_to_parquet(unique, out))

@@ -155,25 +155,26 @@ def read_stage(spark, sf_dir):
 
 
 @check("load_signatures", "SELECT vec_id AS sig_pos, " + V.SIG_ID_SQL + " AS sig_id, 'cruise' AS phase, "
-       + ", ".join(f"CAST(embedding[{i + 4}] AS DOUBLE) * 100 AS \"{c}\"" for i, c in enumerate(S.SIGNATURE_COLUMNS))
+       + ", ".join(f"({e}) * 100 AS \"{c}\"" for e, c in zip(V.FOLD_SQL, S.SIGNATURE_COLUMNS))
        + f" FROM embeddings WHERE vec_id < {V.SIGNATURE_COUNT}")
 def load(spark, sf_dir):
-    heads = ["h1", "h2", "h3", *S.SIGNATURE_COLUMNS]
+    # Three leading columns, which the reader skips, then the nine parameters.
+    heads = dict(zip(["h1", "h2", "h3", *S.SIGNATURE_COLUMNS], [*V.FOLD_SPARK[:3], *V.FOLD_SPARK]))
     sheet = V.table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("sig_pos"), F.expr(V.SIG_ID_SQL).alias("sig_id"),
-        *[F.element_at("embedding", i + 1).cast("double").alias(c) for i, c in enumerate(heads)])
+        *[F.expr(e).alias(c) for c, e in heads.items()])
     return load_signatures(sheet, range(V.SIGNATURE_COUNT), phase="cruise")
 
 
 @check("signature_norms", "SELECT vec_id AS sig_pos, "
-       + ", ".join(f'CAST(embedding[{i + 1}] AS DOUBLE) AS "{c}"' for i, c in enumerate(S.SIGNATURE_COLUMNS))
+       + ", ".join(f'{e} AS "{c}"' for e, c in zip(V.FOLD_SQL, S.SIGNATURE_COLUMNS))
        + ", " + r5("sqrt(" + " + ".join(
-           f"CAST(embedding[{i + 1}] AS DOUBLE) * CAST(embedding[{i + 1}] AS DOUBLE)" for i in range(9)) + ")")
+           f"({e}) * ({e})" for e in V.FOLD_SQL) + ")")
        + ' AS "Vector_Norm" FROM embeddings')
 def signature_norms(spark, sf_dir):
     sheet = V.table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("sig_pos"),
-        *[F.element_at("embedding", i + 1).cast("double").alias(c) for i, c in enumerate(S.SIGNATURE_COLUMNS)])
+        *[F.expr(e).alias(c) for e, c in zip(V.FOLD_SPARK, S.SIGNATURE_COLUMNS)])
     from fleethealth.functions import r5 as round5
     return fit.signature_norms(sheet).drop("vec").withColumn("Vector_Norm", round5(F.col("Vector_Norm")))
 
