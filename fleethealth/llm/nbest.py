@@ -8,7 +8,8 @@ and no hypothesis off the N best is finished.
 
 No piece has the space mark behind another character or holds a line feed and
 more, so a path passes every place where a run of space marks begins and both
-sides of a line feed, and the lattice falls apart there into chunks (a model without that property makes one chunk). The best and second
+sides of a line feed, and the lattice falls apart there into chunks (and further,
+between two characters that no piece has side by side) (a model without that property makes one chunk). The best and second
 best of a chunk are cached. The N best of a text differ from its best one only
 in the N-1 chunks that lose least by their second choice; a heap combines those.
 
@@ -50,8 +51,13 @@ class _Chunks(dict):
     def __missing__(self, s: str) -> tuple[bytes, float, float]:
         found = self.old.get(s)
         if found is None:
-            best = self.model.best_of_chunk(s, 2)
-            found = (best[0][1], best[0][0], best[0][0] - best[1][0] if len(best) > 1 else float("inf"))
+            parts = self.model.parted(s)
+            if len(parts) > 1:
+                of = [self[p] for p in parts]
+                found = (b"".join([f[0] for f in of]), sum([f[1] for f in of]), min([f[2] for f in of]))
+            else:
+                best = self.model.best_of_chunk(s, 2)
+                found = (best[0][1], best[0][0], best[0][0] - best[1][0] if len(best) > 1 else float("inf"))
         if len(self) >= MAX_CHUNKS // 2:
             self.old = dict(self)
             self.clear()
@@ -78,8 +84,20 @@ class PieceModel:
         self.spelled = [sp.id_to_piece(i).encode() if i in known else b"" for i in every]
         for value, i in self.bytes.items():
             self.spelled[i] = bytes([value])
+        # Two characters that stand together in no piece: every path parts between them.
+        self.inside = {p[i:i + 2] for p in self.pieces for i in range(len(p) - 1)}
         self.cache = _Chunks(self)
 
+    def parted(self, s: str) -> list[str]:
+        """``s`` cut wherever no piece can cross."""
+        inside, out, last = self.inside, [], 0
+        for i in range(1, len(s)):
+            if s[i - 1:i + 1] not in inside:
+                out.append(s[last:i])
+                last = i
+        out.append(s[last:])
+        return out
+
     def lattice(self, s: str) -> tuple[list[list[tuple[int, float, bytes]]], list[float]]:
         """Per end place the (begin, score, ids) of the pieces that end there, and
         the best score of every prefix (Viterbi: a place is settled before its
