@@ -6,6 +6,8 @@ evaluate, so query and check start from the same rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleethealth import schema as S
@@ -83,21 +85,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def fleet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two engine reports per event, 32 report columns.
 
-    What does not depend on the position is computed before the explode, once per event.
+    Both reports are built before the explode: behind it every column is a plain
+    field, so filters and projections do not repeat these long expressions.
     """
     phased = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", F.expr(PHASE_SQL).alias("phase"))
-    bases = {f"base_{k}": _base(k, p) for k, p in enumerate(S.PARAMETERS)}
-    once = {n: e for n, e in FLEET.items() if n in ("ALT__FT", "MN1", "DSCID", "operator", "ACID")}
-
-    def late(name: str, expression: str) -> str:
-        for n, e in bases.items():
-            expression = expression.replace(e, n)
-        return f"`{name}`" if name in once else expression
-
-    base = phased.select(
-        "event_id", "ts", "user_id", "phase", *[F.expr(e).alias(n) for n, e in (bases | once).items()],
-        F.explode(F.array(F.lit(1), F.lit(2))).alias("pos"))
-    return base.select(*[F.expr(late(n, e)).alias(n) for n, e in FLEET.items()])
+    report = lambda pos: F.struct(*[F.expr(re.sub(r"\bpos\b", str(pos), e)).alias(n) for n, e in FLEET.items()])
+    return phased.select(F.explode(F.array(report(1), report(2))).alias("report")).select("report.*")
 
 
 # Signatures: the vectors at the first 32 positions; labels repeat so that the
