@@ -264,3 +264,28 @@ def deduplicated(documents: DataFrame, **kw) -> DataFrame:
     id stay; of rows that repeat an id all stay or go together."""
     gone = near_duplicates(documents, **kw).where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     return documents.join(gone, "doc_id", "left_anti")
+
+
+#: The same result in DuckDB, by counting common shingles of all pairs that have one.
+NEAR_DUPLICATES_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5
+    THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS shingle FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY x, y
+), links AS (
+  SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 75 * (p.n + q.n - c)
+), ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT reach.doc_id, ways.y FROM reach JOIN ways ON ways.x = reach.other
+)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(reach.other) AS component_id,
+       min(reach.other) = d.doc_id AS kept
+FROM documents d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id, n.n
+"""

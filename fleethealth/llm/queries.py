@@ -14,6 +14,7 @@ from fleethealth.session import scratch_dir, tune
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {
+    "op5_minhash": minhash.NEAR_DUPLICATES_SQL,
     "op6_block_max_top_k": topk.DIGEST_SQL,
     "op7_substring_fm_index": substring.DIGEST_SQL,
 }
