@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from fleethealth.llm.store import staged, whole_groups
 
-BLOCK, SEGMENT, BATCH = 64, 32_768, 4_096
+BLOCK, SEGMENT, BATCH = 64, 8_192, 4_096
 RESULT = "query_id long, vec_id long, score long"
 
 
