@@ -93,7 +93,7 @@ class FMIndex:
         self.first = np.concatenate([[0, many], many + np.cumsum(np.bincount(symbols, minlength=kinds))])
         self.wavelet = Wavelet(self.text[order - 1], kinds + 1)
         self.n = len(text)
-        row = np.repeat(owner, size + 1)[order].astype(np.int64)
+        row = np.repeat(owner, size + 1)[order].astype(np.int32)
         self.least = [row]
         while len(self.least[-1]) > 1 and (1 << len(self.least)) <= self.n:
             half = 1 << (len(self.least) - 1)

@@ -34,7 +34,7 @@ from fleethealth.llm.text import Words, pieces, rolled, text_bytes
 
 GRAM = 3
 LONGEST = 11  # windows in a segment
-HOT = 50_000
+HOT = 10_000
 SHARD_ROWS = 12_000
 
 
