@@ -9,7 +9,7 @@ positives among the candidates.
 Findings may come from reviewers (columns value, before, after, path, label).
 ``weak_findings`` makes them from the documents by strict format rules over all
 documents and keeps a sample of at most ``max_rows`` by hash. Dictionary and
-transition counts are part of the fit and come from the same findings.
+transition counts cover all documents.
 
 Texts may be null or empty (no candidates). Every occurrence of a repeated
 candidate is judged by its own neighbours. Without any finding that is
@@ -19,6 +19,7 @@ labelled 0 nothing is a secret.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from fleethealth.llm.store import small_batches
+from fleethealth.llm.store import small_batches, staged
 
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/\-])[A-Za-z_+/\-]*+[0-9][A-Za-z0-9_+/\-]*+={0,2}")
 LEAST = 8
@@ -35,6 +36,8 @@ MASK = "[SECRET]"
 MAX_ROWS = 20_000
 TREES, DEPTH, LEAF = 40, 7, 3
 EXAMPLES = 120
+HELD = 200_000
+RARE = 100_000
 
 #: Names that stand before an assigned secret, and prefixes of issued keys.
 NAMES = ["token", "password", "passwd", "secret", "apikey", "api_key", "access_key", "auth", "credential", "private_key"]
@@ -62,16 +65,23 @@ def _slot(word: str, salt: int) -> int:
     return (h * 2654435761 & 0xFFFFFFFF) >> 26
 
 
-_WORD = re.compile("[A-Za-zÀ-ÿ]{2,}")
+_WORD = re.compile(r"[^\W\d_]{2,}")
+#: Words of a text that stand alone, not parts of longer strings.
+_ALONE = re.compile(r"(?<![\w+/\-])[^\W\d_]{2,}(?![\w+/\-])")
 
 
 @dataclass
 class Lexicon:
-    """Words and character transitions seen around labelled findings."""
+    """Dictionary words and costs of character transitions."""
 
     words: frozenset[str]
     steps: np.ndarray
 
+    @staticmethod
+    def of(words: frozenset[str], steps: np.ndarray) -> Lexicon:
+        """From transition counts."""
+        return Lexicon(words, -np.log((steps + 1) / (steps + 1).sum(axis=1, keepdims=True)))
+
     def describe(self, value: str, before: str, after: str, path: str | None) -> list[float]:
         n = len(value)
         kinds = [_kind(c) for c in value]
@@ -166,19 +176,76 @@ def _issued_examples(findings: list[tuple]) -> list[tuple]:
     return out
 
 
-def fit_rows(findings: list[tuple[str, str, str, str | None, int]]) -> Forest:
+def _add_steps(steps: np.ndarray, word: str, times: int) -> None:
+    codes = [min(ord(c), 127) for c in word]
+    for a, b in zip(codes, codes[1:]):
+        steps[a, b] += times
+
+
+def word_counts(documents: DataFrame, text: str = "text") -> DataFrame:
+    """(word, n): in how many documents each lower-case word stands, over all
+    documents. Tasks send sums of at most ``HELD`` words at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[str] = Counter()
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+
+        for batch in batches:
+            for t in batch["text"].to_pylist():
+                if t:
+                    held.update(set(_ALONE.findall(t.lower())))
+                if len(held) > HELD:
+                    yield out()
+                    held.clear()
+        yield out()
+
+    parts = small_batches(documents).select(F.col(text).alias("text")).mapInArrow(run, "word string, n long")
+    return staged(parts.groupBy("word").agg(F.sum("n").alias("n")), "words")
+
+
+def lexicon_of(words: DataFrame, rows: int) -> Lexicon:
+    """Lexicon of a (word, n) table over ``rows`` documents. A dictionary word
+    stands in two documents at least and in one of every ``RARE``; transitions
+    count all words."""
+    least = max(2, -(-rows // RARE))
+    known = frozenset(r["word"] for r in words.where((F.col("n") >= least) & (F.length("word") > 2)).select("word").collect())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        steps = np.zeros((128, 128), dtype=np.int64)
+        for batch in batches:
+            for w, n in zip(batch["word"].to_pylist(), batch["n"].to_pylist()):
+                _add_steps(steps, w, n)
+        at = np.flatnonzero(steps)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(steps.ravel()[at])], names=["at", "n"])
+
+    steps = np.zeros(128 * 128)
+    for r in words.mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        steps[r["at"]] = r["n"]
+    return Lexicon.of(known, steps.reshape(128, 128))
+
+
+def corpus_lexicon(documents: DataFrame, text: str = "text") -> Lexicon:
+    """Lexicon counted over all ``documents``."""
+    return lexicon_of(word_counts(documents, text), documents.count())
+
+
+def _near_lexicon(findings: list[tuple]) -> Lexicon:
+    """Lexicon of the findings' neighbourhoods, for findings that come without documents."""
+    steps = np.zeros((128, 128))
+    words: Counter[str] = Counter()
+    for _, before, after, _, _ in findings:
+        for w in _WORD.findall(f"{before} {after}".lower()):
+            words[w] += 1
+            _add_steps(steps, w, 1)
+    return Lexicon.of(frozenset(w for w, n in words.items() if n > 1 and len(w) > 2), steps)
+
+
+def fit_rows(findings: list[tuple[str, str, str, str | None, int]], lexicon: Lexicon | None = None) -> Forest:
     """The forest of (value, before, after, path, label) rows."""
     findings = findings + _issued_examples(findings)
-    steps = np.ones((128, 128))
-    words: dict[str, int] = {}
-    for _, before, after, _, _ in findings:
-        for w in _WORD.findall(f"{before} {after}"):
-            words[w.lower()] = words.get(w.lower(), 0) + 1
-            for a, b in zip(w.lower(), w.lower()[1:]):
-                steps[min(ord(a), 127), min(ord(b), 127)] += 1
-    lexicon = Lexicon(
-        frozenset(w for w, n in words.items() if n > 1 and len(w) > 2),
-        -np.log(steps / steps.sum(axis=1, keepdims=True)))
+    lexicon = lexicon or _near_lexicon(findings)
     y = np.array([f[4] for f in findings], dtype=np.float64)
     if not len(y) or y.min() == y.max():
         return Forest(lexicon, [])
@@ -215,15 +282,21 @@ def weak_findings(documents: DataFrame, text: str = "text", path: str = "source"
     return half(1).unionByName(half(0))
 
 
-def fit(findings: DataFrame, max_rows: int = MAX_ROWS) -> Forest:
-    """Train on at most ``max_rows`` findings, chosen by hash; rows without value or label are skipped."""
+def fit(findings: DataFrame, max_rows: int = MAX_ROWS, lexicon: Lexicon | None = None) -> Forest:
+    """Train on at most ``max_rows`` findings, chosen by hash; rows without value or
+    label are skipped. ``lexicon`` is that of the corpus."""
     text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
     rows = (
         findings.where(F.col("value").isNotNull() & F.col("label").isin(0, 1))
         .select("value", text("before"), text("after"), "path", "label")
         .orderBy(F.xxhash64("value", "before"), "value", "before", "after", F.col("path").asc_nulls_first(), "label")
         .limit(max_rows).collect())
-    return fit_rows([tuple(r) for r in rows])
+    return fit_rows([tuple(r) for r in rows], lexicon)
+
+
+def fit_corpus(documents: DataFrame) -> Forest:
+    """The forest of weak findings, with dictionary and transitions of all documents."""
+    return fit(weak_findings(documents), lexicon=corpus_lexicon(documents))
 
 
 def scanned(documents: DataFrame, forest: Forest, text: str = "text", path: str = "source") -> DataFrame:
@@ -260,7 +333,7 @@ def scanned(documents: DataFrame, forest: Forest, text: str = "text", path: str
 
 def digest(documents: DataFrame) -> DataFrame:
     """Findings and the redacted text's checksum per document."""
-    forest = fit(weak_findings(documents))
+    forest = fit_corpus(documents)
     return scanned(documents.select("doc_id", "source", "text"), forest).select(
         "doc_id", "n_candidates", F.size("secrets").alias("n_secrets"), "secrets",
         F.sha2(F.coalesce("redacted", F.lit("")), 256).alias("redacted_sha256"))
@@ -268,6 +341,6 @@ def digest(documents: DataFrame) -> DataFrame:
 
 def redacted(documents: DataFrame) -> DataFrame:
     """``documents`` with secrets in ``text`` masked; no row goes."""
-    forest = fit(weak_findings(documents))
+    forest = fit_corpus(documents)
     return scanned(documents, forest).select(
         *[F.col("redacted").alias(c) if c == "text" else c for c in documents.columns])

@@ -95,6 +95,15 @@ def test_held_out_findings(spark):
     assert ((forest.share(x) >= 0.5) == np.array([f[4] for f in rest])).mean() > 0.98
 
 
+def test_the_lexicon_counts_all_documents(spark):
+    texts = ["gloves and gloves far from any number", "Gloves and Перчатки", "перчатки and ab12gloves", "once", None, ""]
+    documents = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    assert {r["word"]: r["n"] for r in secret_scan.word_counts(documents).collect()}["gloves"] == 2
+    lexicon = secret_scan.corpus_lexicon(documents)
+    assert lexicon.words == {"gloves", "and", "перчатки"}
+    assert lexicon.steps[ord("g"), ord("l")] < lexicon.steps[ord("g"), ord("q")]
+
+
 def test_awkward_texts_are_scanned(spark, awkward, nothing):
     assert secret_scan.digest(awkward).count() == 16
     assert secret_scan.digest(nothing).collect() == []
