@@ -1,7 +1,10 @@
 """Secrets in texts: candidate strings judged by a random forest.
 
-A candidate is a run of letters, digits and ``_+/-`` of 8 or more characters
-with a digit in it. The forest looks at its length, the transitions between its
+A candidate is the whole value that is assigned to a name (up to its quote or
+white space), what follows ``Bearer``, a JSON web token, a PEM private key block,
+or a run of letters, digits and ``_+/-`` of 8 or more characters with a digit in
+it. Candidates may lie in each other; what is masked is the union of those that
+are judged secret. The forest looks at its length, the transitions between its
 characters, how much of it dictionary words cover, the path (source) and the
 neighbouring words. It is trained on labelled findings and removes the false
 positives among the candidates.
@@ -12,8 +15,8 @@ documents and keeps a sample of at most ``max_rows`` by hash. Dictionary and
 transition counts cover all documents.
 
 Texts may be null or empty (no candidates). Every occurrence of a repeated
-candidate is judged by its own neighbours. Without any finding that is
-labelled 0 nothing is a secret.
+candidate is judged by its own neighbours. Fixed examples of both labels are
+always among the training rows, so the forest has trees whatever the input holds.
 """
 
 from __future__ import annotations
@@ -30,7 +33,20 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from fleethealth.llm.store import small_batches, staged
 
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/\-])[A-Za-z_+/\-]*+[0-9][A-Za-z0-9_+/\-]*+={0,2}")
+#: A private key up to its end line; without one, its base64 lines.
+PEM = re.compile(
+    r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+    r"(?:[^-]*+(?:-(?!----(?:BEGIN|END))[^-]*+)*+-----END [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+    r"|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{16,})*+)")
+JWT = re.compile(r"(?<![A-Za-z0-9_.\-])eyJ[A-Za-z0-9_-]{10,}+(?:\.[A-Za-z0-9_-]++){0,4}")
+BEARER = re.compile(r"(?<!\w)(?:[Bb]earer|BEARER)\s+([A-Za-z0-9._~+/-]{6,}+=*)")
+SIGN = re.compile(r"(?::=|=>|==?|:)\s{0,16}")
+VALUE = re.compile(
+    r'\\"((?:[^"\\\n]|\\[^"\n])++)\\"|'
+    r'"((?:[^"\\\n]|\\.)++)"' r"|'((?:[^'\\\n]|\\.)++)'" r"|`([^`\n]++)`"
+    r"""|\\?["'`]?(?:(?:Bearer|Basic|Token|Digest)\s+)?((?:[^\s"'`\\]|["'`](?=\w)|\\(?!["'`]))++)""")
 LEAST = 8
+SHORT = 4  # of a value assigned to a name that is not a telling one
 NEAR = 48
 MASK = "[SECRET]"
 MAX_ROWS = 20_000
@@ -40,17 +56,68 @@ HELD = 200_000
 RARE = 100_000
 
 #: Names that stand before an assigned secret, and prefixes of issued keys.
-NAMES = ["token", "password", "passwd", "secret", "apikey", "api_key", "access_key", "auth", "credential", "private_key"]
-PREFIXES = ["AKIA", "ASIA", "ghp_", "gho_", "github_pat_", "glpat-", "sk_live_", "rk_live_", "xoxb-", "xoxp-", "npm_", "pypi-"]
+NAMES = ["token", "password", "passwd", "secret", "apikey", "api_key", "access_key", "auth", "credential", "private_key", "passphrase", "pwd"]
+PREFIXES = ["AKIA", "ASIA", "ghp_", "gho_", "github_pat_", "glpat-", "sk_live_", "rk_live_", "xoxb-", "xoxp-", "npm_", "pypi-", "AIza"]
 ISSUED = re.compile("(?:" + "|".join(map(re.escape, PREFIXES)) + ")[A-Za-z0-9_-]{12,}")
-ASSIGNED = re.compile("(?:" + "|".join(NAMES) + r")[\"']?\s*[:=]\s*[\"']?$", re.I)
+ASSIGNED = re.compile(
+    "(?:" + "|".join(NAMES) + r")\\?[\"'`]?\]?\s*(?::=|=>|==?|:)\s*\\?[\"'`]?(?:(?:Bearer|Basic|Token|Digest)\s+)?$", re.I)
+AFTER_BEARER = re.compile(r"(?<!\w)(?:[Bb]earer|BEARER)\s+$")
+#: Numbers, dates, times, versions.
+PLAIN = re.compile(r"[0-9][0-9_+/.,:\-]*")
 
 FINDING = "value string, before string, after string, path string, label int"
 
 
+def _named(text: str, end: int) -> bool:
+    """Whether a name stands before ``end``."""
+    head = text[max(0, end - NEAR):end].rstrip().rstrip("\"'`])\\")
+    word = re.search(r"[\w.\-]*$", head).group()
+    return bool(re.search(r"[^\W\d]", word)) and not word[0].isdigit()
+
+
+def _assigned(text: str) -> Iterator[tuple[int, int]]:
+    """(begin, end) of each assigned value. Inside another value only those of
+    telling names count, so no character is in more than two."""
+    plain_end = telling_end = 0
+    for sign in SIGN.finditer(text):
+        at = sign.end()
+        if at < telling_end or not _named(text, sign.start()):
+            continue
+        telling = bool(ASSIGNED.search(text[max(0, sign.start() - NEAR):at]))
+        if at < plain_end and not telling or not (m := VALUE.match(text, at)):
+            continue
+        a, b = m.span(m.lastindex)
+        if telling:
+            telling_end = b
+        else:
+            plain_end = b
+        if text.startswith("//", a) or not any(map(str.isalnum, text[a:b])):
+            continue
+        if telling or b - a >= SHORT:
+            yield a, b
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
     """(begin, end) of each candidate."""
-    return [m.span() for m in CANDIDATE.finditer(text) if m.end() - m.start() >= LEAST]
+    blocks = [m.span() for m in PEM.finditer(text)] if "-----BEGIN" in text else []
+    inner = {m.span() for m in CANDIDATE.finditer(text) if m.end() - m.start() >= LEAST}
+    if "eyJ" in text:
+        tokens = [m.span() for m in JWT.finditer(text)]
+        ends = np.array([b for _, b in tokens], dtype=np.int64)
+        # Parts of a token are not judged on their own.
+        at = lambda a: int(np.searchsorted(ends, a, "right"))
+        inner = {s for s in inner if at(s[0]) == len(tokens) or tokens[at(s[0])][0] > s[0]} | set(tokens)
+    inner.update(_assigned(text))
+    inner.update(m.span(1) for m in BEARER.finditer(text))
+    if blocks:
+        ends = np.array([b for _, b in blocks])
+        at = lambda a: int(np.searchsorted(ends, a, "right"))
+        inner = {s for s in inner if at(s[0]) == len(blocks) or blocks[at(s[0])][0] > s[0]}
+    return sorted(inner | set(blocks))
+
+
+def _whole_format(value: str) -> bool:
+    return bool(ISSUED.fullmatch(value) or JWT.fullmatch(value) or PEM.fullmatch(value))
 
 
 def _kind(c: str) -> int:
@@ -100,10 +167,12 @@ class Lexicon:
         return [
             n, surprise, float(-(share * np.log2(share)).sum()), len(set(low)), covered / n,
             *(kinds.count(k) / n for k in range(4)), *(moves.ravel() / max(1, n - 1)),
-            float(bool(ISSUED.fullmatch(value))), float(all(c in "0123456789abcdef" for c in low)), float(n == 16), n % 8,
+            float(_whole_format(value)), float(all(c in "0123456789abcdef" for c in low)), float(n == 16), n % 8,
             float(near.endswith("=")), float(near.endswith(":")), float(before[-1:] in ("\"", "'")),
             float(after[:1] in ("\"", "'")), float(bool(before) and not before[-1:].isspace()),
-            _slot(left[-1], 1) if left else -1, float(any(w.lower() in NAMES for w in left[-2:])),
+            _slot(left[-1], 1) if left else -1, float(bool(ASSIGNED.search(before))),
+            float(bool(AFTER_BEARER.search(before))), value.count(" ") / n, float("." in value),
+            float(bool(PLAIN.fullmatch(value))), float(any(map(str.isdigit, value))),
             _slot(right[0], 2) if right else -1, _slot(path or "", 3), float("/" in (path or "")),
         ]
 
@@ -129,7 +198,13 @@ class Forest:
         if not spans or not self.trees:
             return []
         x = np.array([self.lexicon.describe(text[a:b], text[max(0, a - NEAR):a], text[b:b + NEAR], path) for a, b in spans])
-        return [s for s, p in zip(spans, self.share(x)) if p >= 0.5]
+        out: list[tuple[int, int]] = []
+        for (a, b), p in sorted(zip(spans, self.share(x))):
+            if p >= 0.5 and out and a < out[-1][1]:
+                out[-1] = (out[-1][0], max(b, out[-1][1]))
+            elif p >= 0.5:
+                out.append((a, b))
+        return out
 
 
 def _grow(x: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> tuple:
@@ -163,16 +238,59 @@ def _grow(x: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> tuple:
     return np.array(feature), np.array(limit), np.array(child), np.array(value)
 
 
+_UPPER, _MIXED, _HEX = (list(x) for x in (
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "0123456789abcdef"))
+_PLACES = [("it was the end of ", " and then it went on"), ("", ""), ("see (", ") for more"), ("\n", "\n"), ("they had, in all, ", ".")]
+_ORDINARY = "river window letter garden summer yellow quiet number market silver forest simple report table winter morning".split()
+
+
 def _issued_examples(findings: list[tuple]) -> list[tuple]:
-    """Examples of the issued formats, which a corpus may hardly show: each stands
-    in the place of an ordinary number, so only the value tells them apart."""
+    """Examples of secrets whose format a corpus may hardly show. Issued formats
+    stand in the place of ordinary numbers, so only the value tells them apart."""
     rng = np.random.default_rng(11)
-    upper, mixed = (list(x) for x in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
+    some = lambda of, n: "".join(rng.choice(of, n))
+    places = ([f[1:4] for f in findings if f[4] == 0 and PLAIN.fullmatch(f[0])][:EXAMPLES] or [(*p, None) for p in _PLACES])
     out = []
-    for i, (_, before, after, path, _) in enumerate([f for f in findings if f[4] == 0][:EXAMPLES]):
+    for i in range(EXAMPLES):
+        before, after, path = places[i % len(places)]
         prefix = PREFIXES[i % len(PREFIXES)]
-        tail = rng.choice(upper, 15) if prefix.isupper() else rng.choice(mixed, int(rng.integers(19, 36)))
-        out.append((prefix + "".join(tail) + str(i % 10), before, after, path, 1))
+        tail = some(_UPPER, 15) if prefix.isupper() else some(_MIXED, int(rng.integers(19, 36)))
+        out.append((prefix + tail + str(i % 10), before, after, path, 1))
+        if i % 3 == 0:
+            out.append((".".join(["eyJ" + some(_MIXED, 17), "eyJ" + some(_MIXED, 20 + i), some(_MIXED, 43)]), before, after, path, 1))
+            kind = ("RSA ", "", "EC ", "OPENSSH ")[i % 4] + "PRIVATE KEY-----"
+            body = "\n".join(some(_MIXED, 64) for _ in range(1 + i % 26))
+            out.append((f"-----BEGIN {kind}\n{body}\n-----END {kind}", before, after, path, 1))
+        bearer = ("Authorization: Bearer ", "sent with Bearer ", "-H 'Authorization: bearer ")[i % 3]
+        out.append((some(_MIXED, int(rng.integers(16, 60))), bearer, "\n" if i % 3 else "' ", path, 1))
+        words = [str(w) for w in rng.choice(_ORDINARY, 3)]
+        value = ("-".join(words), " ".join(words), some(_MIXED, 6) + "!", some(_MIXED, 7), words[0] + "&3" + words[1] + "!aa",
+                 some(_HEX, 32), words[0], some(_MIXED, 24) + "==")[i % 8]
+        name = NAMES[i // 8 % len(NAMES)]
+        for sign in (' = "', ": '", "="):
+            if sign != "=" or " " not in value and value != words[0]:
+                out.append((value, f"{before[-12:]} {name}{sign}", {"=": "\n"}.get(sign, sign[-1] + after[:12]), path, 1))
+    return out
+
+
+def _ordinary_examples() -> list[tuple]:
+    """Examples of what is no secret: numbers, and values of names that tell nothing."""
+    rng = np.random.default_rng(12)
+    out = []
+    for i in range(2 * EXAMPLES):
+        number = str(int(rng.integers(10 ** 7, 10 ** 16)))
+        words = [str(w) for w in rng.choice(_ORDINARY, 3)]
+        before, after = _PLACES[i % len(_PLACES)]
+        if i % 4 == 0:
+            out.append(("".join(rng.choice(_HEX, (40, 32, 64)[i % 3])), before + ("commit ", "revision ", "checksum ", "sha256 ")[i // 4 % 4], after, None, 0))
+        out.append(((number, f"20{i % 30:02d}-0{1 + i % 9}-1{i % 10}", words[0] + "-" + number[:3], words[0] + "_" + words[1] + number[:1])[i % 4],
+                    before, after, None, 0))
+        name = ("title", "name", "color", "mode", "note", "path", "label", "level")[i // 5 % 8]
+        sign = (' = "', ": '", "=", ": ")[i % 4]
+        value = ("-".join(words), " ".join(words), words[0], words[0] + "_" + words[1], number)[i % 5]
+        if i % 4 > 1:
+            value = value.split(" ")[0]
+        out.append((value, f"{before[-12:]} {name}{sign}", sign[-1] + after if i % 4 < 2 else " " + after, None, 0))
     return out
 
 
@@ -244,7 +362,7 @@ def _near_lexicon(findings: list[tuple]) -> Lexicon:
 
 def fit_rows(findings: list[tuple[str, str, str, str | None, int]], lexicon: Lexicon | None = None) -> Forest:
     """The forest of (value, before, after, path, label) rows."""
-    findings = findings + _issued_examples(findings)
+    findings = findings + _issued_examples(findings) + _ordinary_examples()
     lexicon = lexicon or _near_lexicon(findings)
     y = np.array([f[4] for f in findings], dtype=np.float64)
     if not len(y) or y.min() == y.max():
@@ -254,10 +372,29 @@ def fit_rows(findings: list[tuple[str, str, str, str | None, int]], lexicon: Lex
     return Forest(lexicon, [_grow(x, y, rng) for _ in range(TREES)])
 
 
-def weak_findings(documents: DataFrame, text: str = "text", path: str = "source", max_rows: int = MAX_ROWS) -> DataFrame:
-    """Labelled findings by format rules: issued key prefixes, and values assigned
-    to a telling name, are secrets (1); all-digit runs and candidates with no
-    assignment or quote before them are not (0); the rest stays unlabelled."""
+def _label(lexicon: Lexicon, value: str, before: str) -> int | None:
+    """1 for a secret, 0 for none, None if the format does not tell."""
+    if _whole_format(value):
+        return 1
+    ordinary = bool(PLAIN.fullmatch(value)) or _is_words(lexicon, value)
+    if ASSIGNED.search(before):
+        # A quoted word may be a password; numbers and bare words may be anything.
+        return 1 if not ordinary or not value[0].isdigit() and before[-1:] in ("\"", "'", "`") else None
+    return 0 if ordinary and not AFTER_BEARER.search(before) else None
+
+
+def _is_words(lexicon: Lexicon, value: str) -> bool:
+    """Dictionary words, perhaps with a short number or punctuation."""
+    words = [w for w in _WORD.findall(value.lower()) if len(w) > 2]
+    return bool(words) and sum(map(str.isdigit, value)) <= 4 and all(w in lexicon.words for w in words)
+
+
+def weak_findings(documents: DataFrame, text: str = "text", path: str = "source", max_rows: int = MAX_ROWS,
+                  lexicon: Lexicon | None = None) -> DataFrame:
+    """Labelled findings by format rules: whole keys of an issued format, and values
+    assigned to a telling name, are secrets (1); plain numbers and dictionary words
+    are not (0); all else stays unlabelled, so that the forest decides on it."""
+    lexicon = lexicon or corpus_lexicon(documents, text)
     source = F.col(path).cast("string") if path in documents.columns else F.lit(None).cast("string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,10 +403,9 @@ def weak_findings(documents: DataFrame, text: str = "text", path: str = "source"
             for text, path in zip(batch["text"].to_pylist(), batch["path"].to_pylist()):
                 for a, b in candidates(text) if text else ():
                     value, before, after = text[a:b], text[max(0, a - NEAR):a], text[b:b + NEAR]
-                    if ISSUED.fullmatch(value) or (ASSIGNED.search(before) and not value.isdigit()):
-                        rows.append((value, before, after, path, 1))
-                    elif value.isdigit() or before[-1:].isspace() and not re.search(r"[=:\"']\s*$", before):
-                        rows.append((value, before, after, path, 0))
+                    label = _label(lexicon, value, before)
+                    if label is not None:
+                        rows.append((value, before, after, path, label))
             cols = list(zip(*rows)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(c, pa.string()) for c in cols[:4]), pa.array(cols[4], pa.int32())],
@@ -296,7 +432,8 @@ def fit(findings: DataFrame, max_rows: int = MAX_ROWS, lexicon: Lexicon | None =
 
 def fit_corpus(documents: DataFrame) -> Forest:
     """The forest of weak findings, with dictionary and transitions of all documents."""
-    return fit(weak_findings(documents), lexicon=corpus_lexicon(documents))
+    lexicon = corpus_lexicon(documents)
+    return fit(weak_findings(documents, lexicon=lexicon), lexicon=lexicon)
 
 
 def scanned(documents: DataFrame, forest: Forest, text: str = "text", path: str = "source") -> DataFrame:
