@@ -12,9 +12,11 @@ statistics of every segment against smaller documents; maximal matches of 13 or
 more words are reported. For a larger document with the same segment all of it
 is a match.
 
-A key of more than ``HOT`` segments is parted once more, by whole windows, each
-under its own hash. Words must match byte by byte; windows are judged on the
-input. Null, empty and short texts have no window. Rows with a null id neither
+A key of more than ``HOT`` segments is not indexed: its windows are grouped by
+128-bit hashes of their words. Of equal windows in one batch of documents only
+those of the smallest id are dealt by hash, the others are matches already, so a
+passage comes to one task once per batch, and that task keeps its smallest id only.
+Words must match byte by byte; windows are judged on the input. Null, empty and short texts have no window. Rows with a null id neither
 give nor lose words; ids are taken as unique, rows that repeat an id with
 another text get the removals of both.
 """
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from fleethealth.llm.fm_index import FMIndex
 from fleethealth.llm.store import staged, whole_groups
-from fleethealth.llm.text import Words, pieces, rolled, text_bytes
+from fleethealth.llm.text import Words, mix, pieces, rolled, text_bytes
 
 GRAM = 3
 LONGEST = 11  # windows in a segment
@@ -117,44 +119,93 @@ def _shared(spans: DataFrame) -> DataFrame:
         run, "key long, doc_id long, span long, hot boolean")
 
 
-def _cut_out(rows: DataFrame, window: int) -> DataFrame:
-    """(shard key, doc_id, first word, words of the segment) from texts with their spans.
+def _listed(batch: pa.RecordBatch, *columns: str) -> Iterator[tuple]:
+    """(words, raw bytes, id and text of each span, its first word, windows, other columns) of runs of texts."""
+    data, at = text_bytes(batch["text"])
+    ids = batch["doc_id"].to_numpy()
+    lists = batch["spans"]
+    ends = lists.offsets.to_numpy()
+    span, *more = (lists.values.field(c).to_numpy(zero_copy_only=False) for c in ("span", *columns))
+    for i, part, off in pieces(data, at):
+        lo, hi = int(ends[i]), int(ends[i + len(off) - 1])
+        text = np.repeat(np.arange(len(off) - 1), np.diff(ends[i:i + len(off)]))
+        yield Words(part, off), part, ids[i + text], text, span[lo:hi] // 16, span[lo:hi] % 16, *(c[lo:hi] for c in more)
 
-    The windows of a hot key go one by one, each under the hash of its words.
-    """
+
+def _cut_out(rows: DataFrame, window: int) -> DataFrame:
+    """(key, doc_id, first word, words of the segment) from texts with their spans."""
     schema = "key long, doc_id long, first int, words binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, at = text_bytes(batch["text"])
-            ids = batch["doc_id"].to_numpy()
-            lists = batch["spans"]
-            ends = lists.offsets.to_numpy()
-            flat = lists.values
-            key, span, hot = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("key", "span", "hot"))
-            for i, part, off in pieces(data, at):
-                words = Words(part, off)
-                lo, hi = int(ends[i]), int(ends[i + len(off) - 1])
-                text = np.repeat(np.arange(len(off) - 1), np.diff(ends[i:i + len(off)]))
-                first, many, own, single = span[lo:hi] // 16, span[lo:hi] % 16, key[lo:hi], hot[lo:hi]
-                if single.any():
-                    times = np.where(single, many, 1)
-                    step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                    text, first, many, own, single = (np.repeat(x, times) for x in (text, first, many, own, single))
-                    first, many = first + step, np.where(single, 1, many)
-                    code = rolled(words.code, window).view(np.int64)
-                    own = np.where(single, code[np.where(single, words.first[text] + first, 0)], own)
+            for words, part, ids, text, first, many, key in _listed(batch, "key"):
                 start = words.begin[words.first[text] + first]
                 stop = words.end[words.first[text] + first + many + window - 2]
                 raw = part.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own), pa.array(ids[i + text]), pa.array(first.astype(np.int32)),
+                    [pa.array(key), pa.array(ids), pa.array(first.astype(np.int32)),
                      pa.array([raw[a:b] for a, b in zip(start.tolist(), stop.tolist())], pa.binary())],
                     names=["key", "doc_id", "first", "words"])
 
     return rows.mapInArrow(run, schema)
 
 
+def _windows(rows: DataFrame, window: int) -> DataFrame:
+    """(h1, h2, doc_id, first word, hit) of each window of the spans, with two hashes
+    of its words. ``hit``: a smaller document of the batch has it; h1 is free then."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = []
+            for words, _, ids, text, first, many in _listed(batch):
+                step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                first = np.repeat(first, many) + step
+                at = np.repeat(words.first[text], many) + first
+                h1, h2 = (rolled(c, window).view(np.int64) for c in (words.code, mix(words.code)))
+                parts.append((h1[at], h2[at], np.repeat(ids, many), first))
+            if not parts:
+                continue
+            h1, h2, doc, first = (np.concatenate(c) for c in zip(*parts))
+            order = np.lexsort([doc, h2, h1])
+            h1, h2, doc, first = h1[order], h2[order], doc[order], first[order]
+            head = np.flatnonzero(_fresh(h1, h2))
+            hit = doc > np.repeat(doc[head], np.diff(np.append(head, len(doc))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.where(hit, doc, h1)), pa.array(np.where(hit, 0, h2)), pa.array(doc), pa.array(first.astype(np.int32)), pa.array(hit)],
+                names=["h1", "h2", "doc_id", "first", "hit"])
+
+    return rows.mapInArrow(run, "h1 long, h2 long, doc_id long, first int, hit boolean")
+
+
+def _fresh(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+    return np.append(np.ones(min(1, len(h1)), dtype=bool), (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]))
+
+
+def _matched_windows(rows: DataFrame, window: int) -> DataFrame:
+    """(doc_id, begin, end) of the windows that a smaller document has too. A
+    stream over sorted rows: only the smallest id of the open window waits."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_window, owner = None, 0
+        for batch in batches:
+            h1, h2, doc, first = (batch[c].to_numpy() for c in ("h1", "h2", "doc_id", "first"))
+            hit = batch["hit"].to_numpy(zero_copy_only=False)
+            own = np.flatnonzero(~hit)
+            found = [np.flatnonzero(hit)]
+            if len(own):
+                a, b, d = h1[own], h2[own], doc[own]
+                head = np.flatnonzero(_fresh(a, b))
+                least = d[head]
+                if (a[0], b[0]) == open_window:
+                    least[0] = owner
+                found.append(own[d > np.repeat(least, np.diff(np.append(head, len(d))))])
+                open_window, owner = (a[-1], b[-1]), least[-1]
+            at = np.concatenate(found)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc[at]), pa.array(first[at]), pa.array(first[at] + np.int32(window))], names=["doc_id", "begin", "end"])
+
+    dealt = _windows(rows, window).repartition("h1", "h2").sortWithinPartitions("h1", "h2", "doc_id")
+    return dealt.mapInArrow(run, "doc_id long, begin int, end int")
+
+
 def _matched(segments: DataFrame, window: int) -> DataFrame:
     """(doc_id, begin, end): word spans that a smaller document has too."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,11 +264,16 @@ def repeated_spans(documents: DataFrame, window: int = 13) -> DataFrame:
     later = staged(copies.join(firsts, ["h1", "h2", "h3"]).where("doc_id > first_id").select("doc_id"), "later-copies")
     shared = staged(_shared(_spans(known.select("doc_id", "text"), window)).join(later, "doc_id", "left_anti"), "shared")
     hot = shared.where("hot").select("key").distinct()
-    marked = shared.drop("hot").join(hot.withColumn("hot", F.lit(True)), "key", "left") if not hot.isEmpty() else shared
-    lists = marked.groupBy("doc_id").agg(F.collect_list(
-        F.struct("key", "span", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("spans"))
-    texts = known.select("doc_id", "text").join(lists, "doc_id")
-    found = _matched(_cut_out(texts, window), window)
+
+    def with_spans(rows: DataFrame, *columns: str) -> DataFrame:
+        lists = rows.groupBy("doc_id").agg(F.collect_list(F.struct("span", *columns)).alias("spans"))
+        return known.select("doc_id", "text").join(lists, "doc_id")
+
+    if hot.isEmpty():
+        found = _matched(_cut_out(with_spans(shared, "key"), window), window)
+    else:
+        found = _matched(_cut_out(with_spans(shared.join(F.broadcast(hot), "key", "left_anti"), "key"), window), window).unionByName(
+            _matched_windows(with_spans(shared.join(F.broadcast(hot), "key", "left_semi")), window))
     whole = later.select("doc_id", F.lit(0).alias("begin"), F.lit((1 << 31) - 1).alias("end"))
     return staged(found.unionByName(whole), "spans")
 

@@ -199,6 +199,24 @@ def test_removed_words_equal_all_windows(spark, monkeypatch, hot):
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got} == plain_removed(rows)
 
 
+def test_a_hot_passage_is_in_no_group(spark, monkeypatch):
+    monkeypatch.setattr(substring, "HOT", 20)
+    passage = " ".join(f"p{i}" for i in range(20))
+    rows = [(i, f"a{i} b{i} {passage} c{i}") for i in range(300)] + [(400 + i, t) for i, (_, t) in enumerate(quoting(6))]
+    largest, whole_groups = spark.sparkContext.accumulator(0), substring.whole_groups
+
+    def counted(batches, keys, least=1):
+        for group in whole_groups(batches, keys, least):
+            most = max(np.unique(group["key"].to_numpy(), return_counts=True)[1])
+            if most > 20:
+                largest.add(1)
+            yield group
+    monkeypatch.setattr(substring, "whole_groups", counted)
+    got = substring.digest(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got} == plain_removed(rows)
+    assert largest.value == 0
+
+
 def test_awkward_texts_lose_passages(awkward, nothing):
     got = {r["doc_id"]: r for r in substring.digest(awkward).collect()}
     assert got[14]["n_removed"] == 16 and got[1]["n_removed"] == 0 and got[2]["n_removed"] == 14
