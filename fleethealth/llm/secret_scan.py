@@ -23,8 +23,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -137,15 +138,31 @@ _WORD = re.compile(r"[^\W\d_]{2,}")
 _ALONE = re.compile(r"(?<![\w+/\-])[^\W\d_]{2,}(?![\w+/\-])")
 
 
+def _code(word: str) -> int:
+    return int.from_bytes(blake2b(word.encode(), digest_size=8).digest(), "little", signed=True)
+
+
+@dataclass
+class Dictionary:
+    """Set of words as sorted 64-bit hashes, 8 bytes a word."""
+
+    codes: np.ndarray
+
+    def __contains__(self, word: str) -> bool:
+        code = _code(word)
+        i = int(np.searchsorted(self.codes, code))
+        return i < len(self.codes) and int(self.codes[i]) == code
+
+
 @dataclass
 class Lexicon:
     """Dictionary words and costs of character transitions."""
 
-    words: frozenset[str]
+    words: Container[str]
     steps: np.ndarray
 
     @staticmethod
-    def of(words: frozenset[str], steps: np.ndarray) -> Lexicon:
+    def of(words: Container[str], steps: np.ndarray) -> Lexicon:
         """From transition counts."""
         return Lexicon(words, -np.log((steps + 1) / (steps + 1).sum(axis=1, keepdims=True)))
 
@@ -328,7 +345,13 @@ def lexicon_of(words: DataFrame, rows: int) -> Lexicon:
     stands in two documents at least and in one of every ``RARE``; transitions
     count all words."""
     least = max(2, -(-rows // RARE))
-    known = frozenset(r["word"] for r in words.where((F.col("n") >= least) & (F.length("word") > 2)).select("word").collect())
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(list(map(_code, batch["word"].to_pylist())), pa.int64())], names=["code"])
+
+    known = words.where((F.col("n") >= least) & (F.length("word") > 2)).select("word").mapInArrow(coded, "code long")
+    known = Dictionary(np.sort(known.toArrow()["code"].to_numpy()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         steps = np.zeros((128, 128), dtype=np.int64)
