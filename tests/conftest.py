@@ -1,6 +1,5 @@
 import os
 import sys
-from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import types as T
@@ -39,10 +38,3 @@ def frame(spark):
         return spark.createDataFrame(list(zip(*columns.values())), schema)
 
     return make
-
-
-T0 = datetime(2024, 3, 1)
-
-
-def at(days=0.0, minutes=0.0):
-    return T0 + timedelta(days=days, minutes=minutes)

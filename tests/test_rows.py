@@ -3,7 +3,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import at
+from helpers import at
 from pyspark.sql import functions as F, types as T
 
 from fleethealth import schema as S

@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import at
+from helpers import at
 
 from fleethealth import schema as S
 from fleethealth.operators import deltas, flags, phases, stats, trend

@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import at
+from helpers import at
 from pyspark.sql import functions as F
 
 from fleethealth import schema as S
