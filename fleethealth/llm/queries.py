@@ -8,7 +8,9 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fleethealth.llm import minhash, nbest, packing, quality, secret_scan, sharding, substring, token_files, topk, winnow
+from fleethealth.llm import (
+    hard_negatives, minhash, nbest, packing, quality, ranked, secret_scan, sharding, substring, token_counts, token_files,
+    topk, winnow)
 from fleethealth.session import scratch_dir, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,9 +19,12 @@ SQL: dict[str, str] = {
     "op5_minhash": minhash.NEAR_DUPLICATES_SQL,
     "op6_block_max_top_k": topk.DIGEST_SQL,
     "op7_substring_fm_index": substring.DIGEST_SQL,
+    "op11_nra_search": ranked.DIGEST_SQL,
+    "op12_hard_negatives": hard_negatives.DIGEST_SQL,
 }
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
 
 
@@ -86,6 +91,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.digest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.digest(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_TOKENIZER))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
