@@ -4,24 +4,24 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from fleethealth import schema as S
 from fleethealth.checks import views as V
 from fleethealth.checks.fit_queries import _sigs, fit_sql, label
-from fleethealth.checks.match_queries import SUMMARY
+from fleethealth.checks.match_queries import BACK, SUMMARY, _asof, _near
 from fleethealth.checks.registry import check, r5
 from fleethealth.checks.row_queries import RANGE_SQL, _COMPLETE
 from fleethealth.checks.source_queries import FLEET
 from fleethealth.functions import bt
 from fleethealth.plans import batch, chain
 from fleethealth.session import scratch_dir
-from fleethealth.streaming import jobs, state
+from fleethealth.streaming import jobs, state, stateful
 
 # The views span 30 days with about a report a day and phase: short windows and
-# lags, wide tolerances, a low alert threshold. The chain itself is the live one.
+# four short lags, wide tolerances, a low alert threshold. The chain itself is the live one.
 SETTINGS = S.Settings(
-    lags=(2, 4), window_semi_width=1, min_sv_dur=4.0, min_exceedances=1,
+    lags=(1, 2, 4, 8), window_semi_width=1, min_sv_dur=4.0, min_exceedances=1,
     takeoff_minutes=48 * 60, climb_minutes=24 * 60)
 FITTED = [p for p in S.PARAMETERS if p.signature]
 
@@ -143,13 +143,17 @@ CUTS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
 FILES = 4  # of one arrival, and so of one micro-batch
 
 
-def _arrivals(spark, rows: DataFrame, time: str) -> tuple[str, DataFrame]:
-    """Write ``rows`` as arrivals of several files in time order; return the folder and the stream."""
+def _arrivals(spark, rows: DataFrame, time: str, late: Column | None = None) -> tuple[str, DataFrame]:
+    """Write ``rows`` as arrivals of several files in time order; return the folder
+    and the stream. ``late`` rows come with the arrival after their own."""
     path = scratch_dir(spark, "arrivals")
     t = bt(time)
     a, b = (F.lit(c).cast("timestamp_ntz") for c in CUTS)
-    for part in (t < a, (t >= a) & (t < b), t >= b):
-        rows.where(part).repartition(FILES).write.mode("append").parquet(path)
+    turn = F.when(t < a, 0).when(t < b, 1).otherwise(2)
+    if late is not None:
+        turn = F.least(turn + F.when(late, 1).otherwise(0), F.lit(2))
+    for i in range(3):
+        rows.where(turn == i).repartition(FILES).write.mode("append").parquet(path)
     return path, spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).parquet(path)
 
 
@@ -166,12 +170,14 @@ def _finish(query) -> int:
 
 @check("stream_incremental_ingest", f"{chain_ctes(3, 'history')} {SUMMARY.format(keys=_KEYS)}")
 def stream_incremental_ingest(spark, sf_dir):
-    """Three increments through the chain equal one full run."""
-    _, stream = _arrivals(spark, V.fleet(spark, sf_dir), S.TIME)
+    """Three increments through the chain equal one full run, though every fourth
+    pair's second half comes an arrival late."""
+    late = (bt("ENGPOS") == 2) & (F.minute(bt(S.TIME)) % 4 == 0)
+    _, stream = _arrivals(spark, V.fleet(spark, sf_dir), S.TIME, late)
     root = scratch_dir(spark, "increments")
     query = jobs.start_incremental(
-        stream, root, _sigs(spark, sf_dir, S.PHASES), replace(SETTINGS, context="history"))
-    return state.latest(spark, root, "summary", _finish(query))
+        stream, root, _sigs(spark, sf_dir, S.PHASES), replace(SETTINGS, context="history"), delay="30 days")
+    return jobs.stored_summary(spark, root, _finish(query))
 
 
 @check("batch_run", f"{chain_ctes(3, 'history')} {SUMMARY.format(keys=_KEYS)}")
@@ -201,18 +207,20 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-@check("stream_phase_join", f"""WITH r AS (SELECT user_id AS "ESN", {V.PHASE_SQL} AS phase, ts, CAST(event_id % 7 AS BIGINT) AS row_sum
-FROM events) SELECT c."ESN", c.ts AS reportdatetime_driver, t.ts AS reportdatetime_lookup, t.row_sum AS row_sum_lookup
-FROM (SELECT * FROM r WHERE phase = 'cruise') c ASOF JOIN (SELECT * FROM r WHERE phase = 'take-off') t
-ON c."ESN" = t."ESN" AND c.ts > t.ts WHERE c.ts - t.ts < INTERVAL 24 HOUR""")
+@check("stream_phase_join", f"""WITH r AS (SELECT user_id AS "ESN", {V.PHASE_SQL} AS phase, ts AS reportdatetime,
+CAST(event_id % 7 AS BIGINT) AS row_sum FROM events)
+SELECT d."ESN", d.reportdatetime AS reportdatetime_cruise, d.row_sum AS row_sum_cruise, {_near('takeoff', 24)}, {_near('climb', 12)}
+FROM (SELECT * FROM r WHERE phase = 'cruise') d {_asof('takeoff', 'take-off', '>', 'r')} {_asof('climb', 'climb', '>', 'r')}""")
 def stream_phase_join(spark, sf_dir):
+    """Cruise reports with the latest take-off and climb before them, or without;
+    every third lookup comes an arrival late."""
     r = V.reports(spark, sf_dir).select(
         "ESN", "phase", S.TIME, (bt("event_id") % 7).cast("long").alias("row_sum"))
-    _, stream = _arrivals(spark, r, S.TIME)
-    out = scratch_dir(spark, "phase-pairs")
-    pairs = jobs.phase_pairs_stream(stream, minutes=24 * 60, keys=["ESN"])
-    _finish(_to_parquet(pairs, out))
-    return jobs.nearest_pairs(spark.read.parquet(out), ["ESN"])
+    late = (bt("phase") != "cruise") & (F.minute(bt(S.TIME)) % 3 == 0)
+    _, stream = _arrivals(spark, r, S.TIME, late)
+    out = scratch_dir(spark, "phase-matches")
+    _finish(_to_parquet(stateful.phase_matches_stream(stream, lookups=BACK, keys=["ESN"], delay="30 days"), out))
+    return stateful.latest_revisions(spark.read.parquet(out), ["ESN", f"{S.TIME}_cruise", "copy"]).drop("copy")
 
 
 @check("stream_engine_history", f"""WITH m AS (SELECT event_id, phase, "ESN", reportdatetime, CASE WHEN count(value) OVER w = 3
@@ -222,9 +230,11 @@ SELECT event_id, "value_MEAN", {r5('"value_MEAN" - lag("value_MEAN", 2) OVER v')
 {r5('"value_MEAN" - lag("value_MEAN", 5) OVER v')} AS "value_MEAN_LAG_5" FROM m
 WINDOW v AS (PARTITION BY phase, "ESN" ORDER BY reportdatetime)""")
 def stream_engine_history(spark, sf_dir):
+    """Means and lag deltas of arriving reports; every fifth comes an arrival late."""
     r = V.reports(spark, sf_dir).select("event_id", "phase", "ESN", S.TIME, "value")
-    _, stream = _arrivals(spark, r, S.TIME)
-    root = scratch_dir(spark, "engine-history")
-    _finish(jobs.start_engine_history(stream, root, ["value"], (2, 5), 3, order=[S.TIME]))
-    return spark.read.parquet(f"{root}/out").select(
+    _, stream = _arrivals(spark, r, S.TIME, F.minute(bt(S.TIME)) % 5 == 0)
+    out = scratch_dir(spark, "engine-history")
+    scored = stateful.engine_history_stream(stream, ["value"], (2, 5), 3, order=[S.TIME], delay="30 days")
+    _finish(_to_parquet(scored, out))
+    return stateful.latest_revisions(spark.read.parquet(out), ["event_id"]).select(
         "event_id", "value_MEAN", "value_MEAN_LAG_2", "value_MEAN_LAG_5")

@@ -68,8 +68,8 @@ def _near(alias: str, hours: int, forward: bool = False) -> str:
             f" CASE WHEN {near} THEN {alias}.row_sum END AS row_sum_{alias}")
 
 
-def _asof(alias: str, phase: str, op: str) -> str:
-    return (f"ASOF LEFT JOIN (SELECT * FROM fl WHERE phase = '{phase}') {alias}"
+def _asof(alias: str, phase: str, op: str, table: str = "fl") -> str:
+    return (f"ASOF LEFT JOIN (SELECT * FROM {table} WHERE phase = '{phase}') {alias}"
             f' ON d."ESN" = {alias}."ESN" AND d.reportdatetime {op} {alias}.reportdatetime')
 
 

@@ -6,11 +6,10 @@ evaluate, so query and check start from the same rows.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleethealth import schema as S
+from fleethealth.session import scratch_dir
 
 # Which event stands for which flight phase; every event is used.
 PHASE_SQL = ("CASE event_type WHEN 'view' THEN 'take-off' WHEN 'signup' THEN 'take-off'"
@@ -83,14 +82,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fleet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two engine reports per event, 32 report columns.
-
-    Both reports are built before the explode: behind it every column is a plain
-    field, so filters and projections do not repeat these long expressions.
-    """
-    phased = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", F.expr(PHASE_SQL).alias("phase"))
-    report = lambda pos: F.struct(*[F.expr(re.sub(r"\bpos\b", str(pos), e)).alias(n) for n, e in FLEET.items()])
-    return phased.select(F.explode(F.array(report(1), report(2))).alias("report")).select("report.*")
+    """Two engine reports per event, 32 report columns."""
+    positions = F.explode(F.array(F.lit(1), F.lit(2))).alias("pos")
+    phased = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", F.expr(PHASE_SQL).alias("phase"), positions)
+    return phased.select(*[F.expr(e).alias(n) for n, e in FLEET.items()])
 
 
 # Signatures: the vectors at the first 32 positions; labels repeat so that the
@@ -161,6 +156,17 @@ REPORTS_SQL = (f'SELECT event_id, user_id AS "ESN", {PHASE_SQL} AS phase, ts AS
                " FROM events")
 
 
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
 def fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fleet's report table, projected from the events as they are read."""
-    return fleet_rows(spark, sf_dir)
+    """The fleet's report table, derived from the events once per application and
+    written to the shared folder: queries then read plain columns, as they would
+    from a real report table, and filters do not repeat the long expressions."""
+    rows = fleet_rows(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WRITTEN:
+        path = scratch_dir(spark, "fleet")
+        rows.write.parquet(path)
+        _WRITTEN[key] = path
+    return spark.read.schema(rows.schema).parquet(_WRITTEN[key])

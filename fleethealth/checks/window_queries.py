@@ -138,28 +138,44 @@ _WIN = f"WINDOW w AS ({OVER} ROWS BETWEEN 20 PRECEDING AND CURRENT ROW)"
 
 
 def _robust_sql(c: str) -> str:
-    """CTEs from the sorted frame of a column to its location, lists all the way."""
-    sum_of = lambda part, mean: f"list_sum(list_transform({part}, lambda x: (x - {mean}) * (x - {mean})))"
-    cut = "v[s:s + h - 1]"
-    return f"""{c}_0 AS (SELECT rid, list_sort({c}_frame) AS v, greatest(CAST(floor(len({c}_frame) * 0.75::DOUBLE) AS INT), 1) AS h
-FROM f WHERE bad = 0),
-{c}_1 AS (SELECT *, range(1, len(v) - h + 2) AS starts, list_sum(v) / len(v) AS mid FROM {c}_0),
-{c}_2 AS (SELECT *, list_transform(starts, lambda s: list_sum({cut}) / h) AS mus, {sum_of('v', 'mid')} AS total FROM {c}_1),
-{c}_3 AS (SELECT *, CASE WHEN total > 0 THEN 1e9::DOUBLE / total ELSE 0 END AS scale FROM {c}_2),
-{c}_4 AS (SELECT rid, mus, list_transform(starts, lambda s: round_even({sum_of(cut, 'mus[s]')} * scale, 0)) AS spreads FROM {c}_3),
-{c}_5 AS (SELECT rid, mus[list_position(spreads, list_min(spreads))] AS mu FROM {c}_4)"""
-
-
-@check("robust_rolling_location", f"""WITH {SERIES}, n AS (SELECT *, row_number() OVER () AS rid FROM s),
+    """CTEs from the frame of a column to its location: sorted and centred on its
+    least value, a subset is a run of h places whose sums two frames give."""
+    return f"""{c}_0 AS (SELECT rid, len({c}_frame) AS n, greatest(CAST(floor(len({c}_frame) * 0.75::DOUBLE) AS BIGINT), 1) AS h,
+list_min({c}_frame) AS least, unnest(list_sort({c}_frame)) AS v, unnest(range(1, len({c}_frame) + 1)) AS k FROM f WHERE bad = 0),
+{c}_1 AS (SELECT *, sum(v - least) OVER p AS x, sum((v - least) * (v - least)) OVER p AS q, sum(v - least) OVER a AS xs,
+sum((v - least) * (v - least)) OVER a AS qs FROM {c}_0 WINDOW a AS (PARTITION BY rid),
+p AS (PARTITION BY rid ORDER BY k ROWS BETWEEN CURRENT ROW AND h - 1 FOLLOWING)),
+{c}_2 AS (SELECT rid, k, least + x / h AS mu, round_even((q - x * x / h)
+* CASE WHEN qs - xs * xs / n > 0 THEN 1e9::DOUBLE / (qs - xs * xs / n) ELSE 0 END, 0) AS spread FROM {c}_1 WHERE k <= n - h + 1),
+{c}_5 AS (SELECT rid, arg_min(mu, spread * 1000 + k) AS mu FROM {c}_2 GROUP BY rid)"""
+
+
+_ROBUST = f"""{SERIES}, n AS (SELECT *, row_number() OVER () AS rid FROM s),
 f AS (SELECT *, max({_BROKEN}) OVER w AS bad, {", ".join(f"list({c}) OVER w AS {c}_frame" for c in VALUES)} FROM n {_WIN}),
-{", ".join(map(_robust_sql, VALUES))}
-SELECT {ITEM_SQL}, {", ".join(f'{r5(f"{c}_5.mu")} AS "{c}_ROBUST"' for c in VALUES)}
-FROM f {" ".join(f"LEFT JOIN {c}_5 ON {c}_5.rid = f.rid" for c in VALUES)}""")
+{", ".join(map(_robust_sql, VALUES))},
+located AS (SELECT {ITEM_SQL}, {", ".join(f'{r5(f"{c}_5.mu")} AS "{c}_ROBUST"' for c in VALUES)}
+FROM f {" ".join(f"LEFT JOIN {c}_5 ON {c}_5.rid = f.rid" for c in VALUES)})"""
+
+
+@check("robust_rolling_location", f"WITH {_ROBUST} SELECT * FROM located")
 def robust_rolling_location(spark, sf_dir):
     d = trend.robust_rolling_location(V.series(spark, sf_dir), VALUES, **KW)
     return d.drop("FlagSV", "FlagSisChg")
 
 
+_CHANGES = ", ".join(f"""CASE WHEN {" AND ".join(f'"{c}_ROBUST" IS NOT NULL AND lag("{c}_ROBUST") OVER o IS NOT NULL' for c in VALUES)}
+THEN "{v}_ROBUST" - lag("{v}_ROBUST") OVER o ELSE 0 END AS {v}_change""" for v in VALUES)
+
+
+@check("robust_cumulative", f"""WITH {_ROBUST}, changes AS (SELECT *, {_CHANGES} FROM located WINDOW o AS ({OVER}))
+SELECT {ITEM_SQL}, {", ".join(f'"{c}_ROBUST", {r5(f"sum({c}_change) OVER (o ROWS UNBOUNDED PRECEDING)")} + 0.0::DOUBLE AS "{c}_ROBUST_CUMULATIVE"' for c in VALUES)}
+FROM changes WINDOW o AS ({OVER})""")
+def robust_cumulative(spark, sf_dir):
+    d = trend.robust_cumulative(V.series(spark, sf_dir), VALUES, **KW).drop("FlagSV", "FlagSisChg")
+    # The two engines add in another order: a sum of about 0 may be -0.0 in one of them.
+    return d.withColumns({f"{c}_ROBUST_CUMULATIVE": bt(f"{c}_ROBUST_CUMULATIVE") + F.lit(0.0) for c in VALUES})
+
+
 # -- rolling statistics ------------------------------------------------------
 
 THRESHOLDS = (0.2, 0.4, 0.6, 0.8, 1.0)

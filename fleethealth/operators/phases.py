@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleethealth import schema as S
 from fleethealth.functions import bt, micros, slice_of
-from fleethealth.operators.skew import with_group
+from fleethealth.operators.skew import heavy_keys, nearest_events, with_group
 
 MINUTE = 60_000_000
 SLICES_PER_TOLERANCE = 16
@@ -38,6 +38,7 @@ def phase_asof(
     time: str = S.TIME,
     value: str = "row_sum",
     driver_suffix: str | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """Nearest strictly earlier (later) report of each lookup phase.
 
@@ -45,7 +46,9 @@ def phase_asof(
     match never lies further away than that, time is cut into slices of 16
     tolerances and each lookup row near a slice border is copied over it: one
     shuffle on (installation, slice) for all phases, and an installation of any
-    size spreads over its slices.
+    size spreads over its slices. A slice that is heavy itself is cut into ranges
+    with the last lookup of each carried on (``nearest_events``). ``bounded`` says
+    that the rows per installation are known to be few.
     """
     suffix = driver_suffix or driver.replace("-", "")
     reach = int(max(x.minutes for x in lookups) * MINUTE)
@@ -61,15 +64,9 @@ def phase_asof(
     other = home - 1 if forward else home + 1
     slices = F.when((bt(S.PHASE) != driver) & near, F.array(home, other)).otherwise(F.array(home))
     spread = base.withColumn("__slice", F.explode(slices))
-    # Growing frames cost O(1) per row; looking ahead is a growing frame on -time.
-    w = (Window.partitionBy(*map(bt, keys), "__slice").orderBy(-us if forward else us)
-         .rangeBetween(Window.unboundedPreceding, -1))
-    nearest = F.min if forward else F.max
     event = F.struct(us.alias("us"), bt(time).alias("time"), bt(value).alias("value"))
-    hits = spread.select("*", *[
-        nearest(F.when((bt(S.PHASE) == x.phase) & us.isNotNull(), event)).over(w).alias(f"__{x.suffix}")
-        for x in lookups
-    ]).where(bt(S.PHASE) == driver)
+    events = {f"__{x.suffix}": F.when((bt(S.PHASE) == x.phase) & us.isNotNull(), event) for x in lookups}
+    hits = nearest_events(spread, [*keys, "__slice"], "__us", events, forward, bounded).where(bt(S.PHASE) == driver)
     times = {suffix: bt(time)}
     values = {suffix: bt(value)}
     for x in lookups:
@@ -93,19 +90,18 @@ def phase_asof_forward(df: DataFrame, lookups: Sequence[Lookup] = FORWARD, **kw)
 
 def next_report(
     df: DataFrame, driver: Column, target: Column, name: str, keys: Sequence[str],
-    us: str, payload: Sequence[str], slice_hours: int = 24,
+    us: str, payload: Sequence[str], slice_hours: int = 24, bounded: bool = False,
 ) -> DataFrame:
     """Add ``name``: the next target row strictly after each driver row, at any distance.
 
-    Within a time slice a window finds it; beyond, the earliest target of the
-    following slices does, taken from one row per (key, slice).
+    Within a time slice ``nearest_events`` finds it; beyond, the earliest target
+    of the following slices does, taken from one row per (key, slice).
     """
     width = slice_hours * 60 * MINUTE
     event = F.struct(bt(us).alias("us"), *[bt(c) for c in payload])
     sliced = df.withColumn("__slice", slice_of(bt(us), width))
-    w = (Window.partitionBy(*map(bt, keys), "__slice").orderBy(-bt(us))
-         .rangeBetween(Window.unboundedPreceding, -1))
-    inside = sliced.withColumn("__in", F.min(F.when(target, event)).over(w))
+    inside = nearest_events(
+        sliced, [*keys, "__slice"], us, {"__in": F.when(target, event)}, forward=True, bounded=bounded)
     firsts = sliced.groupBy(*map(bt, keys), "__slice").agg(F.min(F.when(target, event)).alias("__first"))
     later = (Window.partitionBy(*map(bt, keys)).orderBy(F.col("__slice").desc())
              .rowsBetween(Window.unboundedPreceding, -1))
@@ -128,9 +124,11 @@ def phase_asof_chain(
     base = df.where(known & bt(time).isNotNull()).select(
         *map(bt, keys), bt(S.PHASE), bt(time), bt(value), micros(time).alias("__us"))
     is_phase = lambda p: bt(S.PHASE) == p
-    climbs = next_report(base, is_phase("climb"), is_phase("cruise"), "__cruise", keys, "__us", [time, value])
+    few = heavy_keys(base, keys) is None  # then no slice is heavy either
+    climbs = next_report(
+        base, is_phase("climb"), is_phase("cruise"), "__cruise", keys, "__us", [time, value], bounded=few)
     chain = next_report(
-        climbs, is_phase("take-off"), is_phase("climb"), "__climb", keys, "__us", [time, value, "__cruise"])
+        climbs, is_phase("take-off"), is_phase("climb"), "__climb", keys, "__us", [time, value, "__cruise"], bounded=few)
     climb, cruise = F.col("__climb"), F.col("__climb.__cruise")
     short = F.coalesce((cruise["us"] - F.col("__us")) <= F.lit(int(span_minutes * MINUTE)), F.lit(True))
     return chain.where(is_phase("take-off")).select(

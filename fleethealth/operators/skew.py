@@ -87,22 +87,25 @@ def split_heavy(df: DataFrame, keys: Sequence[str], hot: Heavy) -> tuple[DataFra
     )
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], hot: Heavy) -> DataFrame:
-    """0-based position of each row within its key, from a distributed sort.
+def _sorted_ranges(df: DataFrame, sort: Sequence[Column]) -> tuple[DataFrame, Column, Column]:
+    """Rows in sorted ranges, the number of a row's range and its index there.
 
-    Range partitions are even however the rows are spread over keys and times.
-    The sorted rows are checkpointed: positions then survive a lost executor,
-    and the two reads below see the same partitions.
+    Range partitions are even however the rows are spread over keys and times;
+    rows equal in ``sort`` share one. The sorted rows are checkpointed: numbers
+    then survive a lost executor, and all reads see the same ranges.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    sort = [bt(k) for k in keys] + list(order)
     ranged = (
         df.repartitionByRange(*sort).sortWithinPartitions(*sort)
         .withColumn(_MID, F.monotonically_increasing_id())
         .checkpoint()
     )
-    pid = F.shiftright(F.col(_MID), _MID_BITS)
-    idx = F.col(_MID).bitwiseAND(F.lit((1 << _MID_BITS) - 1))
+    return ranged, F.shiftright(F.col(_MID), _MID_BITS), F.col(_MID).bitwiseAND(F.lit((1 << _MID_BITS) - 1))
+
+
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], hot: Heavy) -> DataFrame:
+    """0-based position of each row within its key, from a distributed sort."""
+    ranged, pid, idx = _sorted_ranges(df, [bt(k) for k in keys] + list(order))
     # One row per (key, partition): at most partitions + keys rows.
     parts = ranged.groupBy(*map(bt, keys), pid.alias("__h_pid")).agg(
         F.count(F.lit(1)).alias("__n"), F.min(idx).alias("__first")
@@ -120,6 +123,43 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], hot
     )
 
 
+def nearest_events(
+    df: DataFrame, keys: Sequence[str], us: str, events: dict[str, Column], forward: bool = False, bounded: bool = False
+) -> DataFrame:
+    """Add per name the latest event strictly before each row (``forward``: the
+    earliest one after it) along ``us`` within ``keys``, at any distance.
+
+    An event is a struct that starts with ``us``, null on rows that are none. A
+    growing frame finds it with O(1) work per row. A heavy key is cut into sorted
+    ranges of time: inside a range the frame does the same, the last event of each
+    range is one row, and a scan over these rows carries the last one into the
+    ranges behind. Rows of one microsecond stay in one range, so what is carried in is strictly earlier.
+    """
+    along = -bt(us) if forward else bt(us)
+    pick = F.min if forward else F.max
+
+    def inside(d: DataFrame, parts: Sequence[str]) -> DataFrame:
+        w = Window.partitionBy(*map(bt, parts)).orderBy(along).rangeBetween(Window.unboundedPreceding, -1)
+        return d.select("*", *[pick(e).over(w).alias(n) for n, e in events.items()])
+
+    hot = None if bounded else heavy_keys(df, keys)
+    if hot is None:
+        return inside(df, keys)
+    light, heavy = split_heavy(df, keys, hot)
+    ranged, pid, _ = _sorted_ranges(heavy, [*map(bt, keys), along])
+    ranged = ranged.withColumn("__pid", pid).drop(_MID)
+    by = [bt(k).alias(f"__h_{k}") for k in keys]
+    last = ranged.groupBy(*by, F.col("__pid").alias("__h_pid")).agg(*[pick(e).alias(n) for n, e in events.items()])
+    w = (Window.partitionBy(*[bt(f"__h_{k}") for k in keys]).orderBy("__h_pid")
+         .rowsBetween(Window.unboundedPreceding, -1))
+    carried = last.select(
+        *[bt(f"__h_{k}") for k in keys], "__h_pid", *[pick(bt(n)).over(w).alias(f"__c_{n}") for n in events])
+    joined = inside(ranged, [*keys, "__pid"]).join(
+        hot.hint(carried), _matches(keys) & (F.col("__pid") == F.col("__h_pid")))
+    found = joined.select(*map(bt, df.columns), *[F.coalesce(bt(n), bt(f"__c_{n}")).alias(n) for n in events])
+    return inside(light, keys).unionByName(found)
+
+
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], lookback: int, hot: Heavy) -> DataFrame:
     """Cut each key into equal chunks and prefix each with ``lookback`` halo rows."""
     rows = max(lookback + 1, hot_rows(df) // 4)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -13,6 +14,8 @@ from fleethealth.functions import bt, new_rows_only, r5
 from fleethealth.operators.skew import over_series, running_sum, with_group
 
 FLAGS = ("FlagSV", "FlagSisChg")
+MAX_PUSHED_KEYS = 1_000
+MAX_BROADCAST_ENGINES = 1_000_000
 
 
 def _order(order: Sequence[str]) -> list[Column]:
@@ -33,6 +36,53 @@ def distinct_new_engines(df: DataFrame, keys: Sequence[str] = S.ENGINE) -> DataF
     return df.where(bt(S.NEW_FLAG) == 1).select(*map(bt, keys)).distinct()
 
 
+def rows_of_engines(stored: DataFrame, new: DataFrame, keys: Sequence[str] = ("ESN",)) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``stored`` whose key has a row in ``new``, the others).
+
+    A short list of keys becomes a filter that reaches the scan, where file and
+    row-group statistics apply; a longer one of checked size is broadcast, so
+    ``stored`` is not shuffled; only beyond that both sides are.
+    """
+    engines = new.select(*[bt(k).cast(stored.schema[k].dataType).alias(f"__n_{k}") for k in keys]).distinct()
+    few = engines.limit(MAX_PUSHED_KEYS + 1).collect() if len(keys) == 1 else []
+    if len(keys) == 1 and len(few) <= MAX_PUSHED_KEYS:
+        known = [r[0] for r in few if r[0] is not None]
+        mine = F.coalesce(bt(keys[0]).isin(known), F.lit(False)) if known else F.lit(False)
+        return stored.where(bt(keys[0]).isin(known) if known else mine), stored.where(~mine)
+    small = engines.limit(MAX_BROADCAST_ENGINES + 1).count() <= MAX_BROADCAST_ENGINES
+    side = F.broadcast(engines) if small else engines
+    same = reduce(lambda a, b: a & b, [bt(k) == bt(f"__n_{k}") for k in keys])
+    return stored.join(side, same, "left_semi"), stored.join(side, same, "left_anti")
+
+
+def reopened(
+    df: DataFrame, reach: int, derived: Sequence[str], keys: Sequence[str] = S.ENGINE,
+    order: Sequence[str] = S.ENGINE_ORDER, bounded: bool = False,
+) -> DataFrame:
+    """Stored rows up to ``reach`` rows behind a new one count as new again and
+    lose their ``derived`` values, since a late row changes their windows. Rows
+    that follow no new row within reach stay as they are."""
+    by = _order(order)
+
+    def mark(d: DataFrame, parts: list[str]) -> DataFrame:
+        return d.withColumn("__open", F.max(bt(S.NEW_FLAG)).over(_window(parts, by).rowsBetween(-reach, 0)))
+
+    opened = over_series(df, keys, by, reach, mark, bounded)
+    again = (F.col("__open") == 1) & (bt(S.NEW_FLAG) == 0)
+    present = set(df.columns)
+    cleared = {c: F.when(~again, bt(c)) for c in derived if c in present}
+    return opened.withColumns({S.NEW_FLAG: F.col("__open"), **cleared}).drop("__open")
+
+
+def reopened_behind(
+    df: DataFrame, keys: Sequence[str] = S.ENGINE, order: Sequence[str] = S.ENGINE_ORDER, bounded: bool = False
+) -> DataFrame:
+    """All rows behind an engine's first new one count as new: windows over
+    matching rows only have no bound in rows."""
+    seen = running_sum(df, keys, _order(order), {"__seen": bt(S.NEW_FLAG)}, bounded)
+    return seen.withColumn(S.NEW_FLAG, (F.col("__seen") > 0).cast("long")).drop("__seen")
+
+
 def masked_rolling_mean(
     df: DataFrame,
     values: Sequence[str] = S.E2E,
@@ -202,8 +252,8 @@ def robust_rolling_location(
 def _mcd(support: float):
     """Least-variance location of each frame, a whole Arrow batch per numpy step.
 
-    The same steps as array functions run interpreted, lambda by lambda, and
-    took ten times as long.
+    Frames are sorted and centred on their least value; sums of values and of
+    squares up to each place then give every subset's mean and variance at once.
     """
     @F.pandas_udf("double")
     def locate(frames: pd.Series) -> pd.Series:
@@ -212,17 +262,32 @@ def _mcd(support: float):
         for n in np.unique(sizes[sizes > 0]):
             rows = np.flatnonzero(sizes == n)
             x = np.sort(np.concatenate(frames.iloc[rows].to_list()).reshape(-1, n), axis=1)
-            whole = ((x - x.sum(axis=1, keepdims=True) / n) ** 2).sum(axis=1)
-            scale = np.divide(1e9, whole, out=np.zeros(len(x)), where=whole > 0)
+            least, x = x[:, :1], x - x[:, :1]
             h = max(int(n * support), 1)
-            means, spreads = [], []
-            for start in range(n - h + 1):
-                part = x[:, start:start + h]
-                mean = part.sum(axis=1) / h
-                means.append(mean)
-                spreads.append(np.rint(((part - mean[:, None]) ** 2).sum(axis=1) * scale))
-            best = np.argmin(np.stack(spreads), axis=0)
-            out[rows] = np.stack(means)[best, np.arange(len(rows))]
+            upto, squares = (np.pad(np.cumsum(v, axis=1), ((0, 0), (1, 0))) for v in (x, x * x))
+            part = upto[:, h:] - upto[:, :-h]
+            spread = squares[:, h:] - squares[:, :-h] - part * part / h
+            whole = squares[:, -1] - upto[:, -1] ** 2 / n
+            scale = np.divide(1e9, whole, out=np.zeros(len(x)), where=whole > 0)
+            best = np.argmin(np.rint(spread * scale[:, None]), axis=1)
+            out[rows] = least[:, 0] + part[np.arange(len(x)), best] / h
         return pd.Series(out).where(sizes > 0, None)
 
     return locate
+
+
+def robust_cumulative(
+    df: DataFrame,
+    values: Sequence[str] = S.E2E,
+    keys: Sequence[str] = S.ENGINE,
+    order: Sequence[str] = S.ENGINE_ORDER,
+    robust: str = "_ROBUST",
+    suffix: str = "_CUMULATIVE",
+    bounded: bool = False,
+    **kw,
+) -> DataFrame:
+    """``robust_rolling_location`` and its running change: 0 at an engine's first
+    row, carried on where this or the previous row has no location, else the
+    previous sum plus the difference of the two locations."""
+    located = robust_rolling_location(df, values, keys=keys, order=order, suffix=robust, bounded=bounded, **kw)
+    return stepfree_cumulative(located, [c + robust for c in values], keys, order, suffix, bounded)

@@ -49,11 +49,13 @@ def ingest(
     settings: S.Settings,
     checkpoint: datetime | None,
     spread: Spread = Spread(),
+    by_origin: bool = False,
 ) -> DataFrame:
     """Clean the increment, merge it with the stored rows and flag new rows.
 
     The newest ``n_points`` stored rows per engine are context; new rows are
-    never cut, however many there are.
+    never cut, however many there are. New is what lies past the checkpoint or,
+    ``by_origin``, what is not stored yet, however late it comes.
     """
     # Time and engine first: the dedup sorts by these columns and rarely looks past them.
     query_columns = [S.TIME, "ESN", S.PHASE, *[c for c in S.REPORT_COLUMNS if c not in (S.TIME, "ESN")]]
@@ -65,15 +67,18 @@ def ingest(
         .transform(clean.cast_and_round)
     )
     context = None if stored is None else history.latest_n(stored, settings.n_points, bounded=True)
+    if by_origin:
+        cleaned = cleaned.withColumn(S.NEW_FLAG, F.lit(1).cast("long"))
+        context = None if context is None else context.withColumn(S.NEW_FLAG, F.lit(0).cast("long"))
     merged = history.merged(context, cleaned, query_columns)
     staged = clean.enforce_schema(merged, S.stage_schema(settings)).select(*map(bt, S.stage_columns(settings)))
-    flagged = clean.new_flag(staged, checkpoint)
+    flagged = staged if by_origin else clean.new_flag(staged, checkpoint)
     return flags.days_since_prev(flagged, bounded=spread.engines) if settings.context == "batch" else flagged
 
 
 def run_stages(
     df: DataFrame, signatures: DataFrame, settings: S.Settings = S.Settings(), spread: Spread = Spread(),
-    snapshots: str | None = None,
+    snapshots: str | None = None, late_rows: bool = False,
 ) -> DataFrame:
     """Ingested rows to the fully widened stage table.
 
@@ -81,10 +86,17 @@ def run_stages(
     between paired reports: unpaired ones are not stored, so a gap to them would
     depend on where the input was cut. With ``snapshots`` (a shared folder) the
     trend and fit stages are written there and read back: the Python fit is then
-    never repeated, whatever happens to the stages after it.
+    never repeated, whatever happens to the stages after it. With ``late_rows``
+    stored rows behind a new one are scored again (history context): means, lags
+    and fits as far as windows and lags reach, statistics to the end.
     """
+    if late_rows and settings.context != "history":
+        raise ValueError("late rows need the history context")
     snap = (lambda d, name: tap(d, f"{snapshots}/{name}")) if snapshots else (lambda d, name: d)
     paired = df.transform(deltas.percent_delta).transform(deltas.sister_delta, bounded=spread.pairs)
+    if late_rows:
+        paired = trend.reopened(
+            paired, settings.window - 1 + max(settings.lags), S.trend_columns(settings), bounded=spread.engines)
     if settings.context == "history":
         paired = flags.days_since_prev(paired, context="history", bounded=spread.engines)
     trends = (
@@ -93,29 +105,47 @@ def run_stages(
         .transform(trend.lag_delta, lags=settings.lags, bounded=spread.engines)
         .transform(snap, "trend")
     )
-    staged = (
+    shifted = (
         trends.transform(fit.signature_fit, signatures, settings)
         .transform(snap, "fit")
         .transform(stats.damage_shift, settings.lags)
-        .transform(stats.summary_stats, settings, bounded=spread.engines)
+    )
+    if late_rows:
+        shifted = trend.reopened_behind(shifted, bounded=spread.engines)
+    staged = (
+        shifted.transform(stats.summary_stats, settings, bounded=spread.engines)
         .transform(stats.exceedance_count, settings.fraction_limit)
     )
     return staged.select(*map(bt, S.stage_columns(settings)))
 
 
-def evaluate(stage: DataFrame, settings: S.Settings = S.Settings()) -> tuple[DataFrame, DataFrame]:
+def evaluate(
+    stage: DataFrame, settings: S.Settings = S.Settings(), bounded: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Matched flights with their alert flag, and the summary per installation."""
-    merged = matched(stage, settings)
+    merged = matched(stage, settings, bounded)
     return merged, phases.alert_summary(merged)
 
 
-def matched(stage: DataFrame, settings: S.Settings = S.Settings()) -> DataFrame:
-    """Flights with the counts of their phases and the alert flag."""
+def matched(
+    stage: DataFrame, settings: S.Settings = S.Settings(), bounded: bool = False, only_new: bool = False
+) -> DataFrame:
+    """Flights with the counts of their phases and the alert flag; ``only_new``:
+    those of which at least one report is new."""
     lookups = (
         phases.Lookup("takeoff", "take-off", settings.takeoff_minutes),
         phases.Lookup("climb", "climb", settings.climb_minutes),
     )
-    return phases.phase_asof(stage, lookups=lookups).transform(phases.alert_flag, settings.min_exceedances)
+    if not only_new:
+        found = phases.phase_asof(stage, lookups=lookups, bounded=bounded)
+    else:
+        carried = stage.withColumn("__match", F.struct(bt("row_sum"), bt(S.NEW_FLAG)))
+        pairs = phases.phase_asof(carried, lookups=lookups, value="__match", bounded=bounded)
+        names = ("takeoff", "climb", "cruise")
+        fresh = F.greatest(*[F.col(f"__match_{n}.{S.NEW_FLAG}") for n in names]) == 1
+        found = pairs.where(fresh).withColumns({f"row_sum_{n}": F.col(f"__match_{n}.row_sum") for n in names}).drop(
+            *[f"__match_{n}" for n in names])
+    return found.transform(phases.alert_flag, settings.min_exceedances)
 
 
 def run_increment(
@@ -129,7 +159,8 @@ def run_increment(
 ) -> Result:
     spread = check_spread(new) if check_skew else Spread()
     stage = run_stages(ingest(new, stored, settings, checkpoint, spread), signatures, settings, spread, snapshots)
-    merged, summary = evaluate(stage, settings)
+    # An installation has at most as many rows as its engine in three phases.
+    merged, summary = evaluate(stage, settings, bounded=spread.engines)
     # Retention is for what is stored, after everything new has been scored.
     return Result(history.latest_n(stage, settings.n_points, bounded=spread.engines), merged, summary, low_watermark(new))
 

@@ -183,5 +183,11 @@ def stage_columns(settings: Settings) -> list[str]:
     return cols + ["row_sum"]
 
 
+def trend_columns(settings: Settings) -> list[str]:
+    """Stage columns that depend on other reports of the engine."""
+    columns = stage_columns(settings)
+    return ["days_since_prev", *columns[columns.index("FlagSV"):]]
+
+
 def stage_schema(settings: Settings) -> T.StructType:
     return struct_of(stage_columns(settings))

@@ -1,50 +1,104 @@
 """Structured Streaming entry points.
 
-Row-count windows are not available on streams, so trend stages run inside
-``foreachBatch`` on the micro-batch plus the stored history; dedup and the
-phase match are plain streaming operators.
+Row-count windows are not available on streams, so the chain runs inside
+``foreachBatch`` on the micro-batch plus the stored history of its engines; pairs,
+phase matches and engine buffers are keyed state (``stateful``), dedup is a plain
+streaming operator.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleethealth import schema as S
 from fleethealth.functions import bt
-from fleethealth.operators import trend
+from fleethealth.operators import phases, trend
 from fleethealth.operators.history import latest_n
 from fleethealth.plans import chain
+from fleethealth.sources.buckets import BucketStore, delete
 from fleethealth.streaming import state
+from fleethealth.streaming.stateful import EVENT_TIME, paired_stream
 
-EVENT_TIME = "__event_time"
+FLIGHT = (*S.INSTALLATION, "reportdatetime_cruise")
+
+
+def _history(spark: SparkSession, root: str, settings: S.Settings, buckets: int) -> BucketStore:
+    return BucketStore(spark, f"{root}/history", S.stage_schema(settings), ("ESN",), buckets)
+
+
+def _matches(spark: SparkSession, root: str, buckets: int) -> BucketStore:
+    times = [f"{S.TIME}_{p}" for p in ("takeoff", "climb", "cruise")]
+    sums = [f"row_sum_{p}" for p in ("takeoff", "climb", "cruise")]
+    types = {c: "timestamp_ntz" for c in times} | {c: "long" for c in [*sums, "merge_sum"]}
+    types |= {c: S.column_type(c) for c in S.INSTALLATION}
+    names = [*S.INSTALLATION, *times, *sums, "merge_sum", "DN_FIRE", "DN_FIRE_TIME"]
+    schema = spark.createDataFrame([], ", ".join(
+        f"`{n}` {t if isinstance(t := types.get(n, 'string'), str) else t.simpleString()}" for n in names)).schema
+    return BucketStore(spark, f"{root}/matches", schema, ("ESN",), buckets)
 
 
 def start_incremental(
-    source: DataFrame, root: str, signatures: DataFrame, settings: S.Settings = S.Settings(context="history")
+    source: DataFrame, root: str, signatures: DataFrame, settings: S.Settings = S.Settings(context="history"),
+    delay: str = "1 day", buckets: int = 64,
 ) -> StreamingQuery:
-    """Run the full chain on each micro-batch and store history, matches, alerts.
+    """Run the full chain on each micro-batch and store history and matches.
 
-    The low watermark of batch k-1 decides which rows of batch k are new.
+    The halves of a pair may come in different micro-batches and in any order:
+    they wait up to ``delay``. What a pair's reports change behind them is scored
+    and matched again. A micro-batch reads and writes only the history buckets of
+    its engines, and scores only these; new rows are matched before retention cuts them.
     """
     def increment(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        before = batch_id - 1 if batch_id > 0 else None
+        stored, matches = _history(spark, root, settings, buckets), _matches(spark, root, buckets)
         batch.persist()
-        marks = state.previous(spark, root, batch_id, "checkpoint")
-        mark = marks.first()["checkpoint"] if marks is not None else None
-        stored = state.previous(spark, root, batch_id, "history")
-        result = chain.run_increment(batch, signatures, stored, settings, mark)
-        kept = state.save(result.stage, root, batch_id, "history", (S.PHASE,))
-        merged, _ = chain.evaluate(kept, settings)
-        merged = state.save(merged, root, batch_id, "merged")
-        state.save(chain.phases.alert_summary(merged), root, batch_id, "summary")
-        state.save(result.checkpoint, root, batch_id, "checkpoint")
+        touched = stored.touched(batch)
+        if not touched:
+            for store in (stored, matches):
+                store.carry(batch_id, before)
+            batch.unpersist()
+            return
+        context, others = trend.rows_of_engines(stored.read(before, touched), batch)
+        spread = chain.check_spread(batch)
+        rows = chain.ingest(batch, context, settings, None, spread, by_origin=True)
+        stage = state.save(
+            chain.run_stages(rows, signatures, settings, spread, late_rows=True), root, batch_id, "work")
+        stored.write(batch_id, latest_n(stage, settings.n_points, bounded=spread.engines).unionByName(others), touched, before)
+        found = state.save(chain.matched(stage, settings, spread.engines, only_new=True), root, batch_id, "flights")
+        known = matches.read(before, touched)
+        same = [bt(k).eqNullSafe(bt(f"__f_{k}")) for k in FLIGHT]
+        renewed = found.select(*[bt(k).alias(f"__f_{k}") for k in FLIGHT]).distinct()
+        kept = known.join(renewed, same, "left_anti")
+        matches.write(batch_id, kept.unionByName(found.select(*map(bt, matches.schema.names))), touched, before)
         batch.unpersist()
+        # The batch before can no longer be asked for again.
+        for store in (stored, matches):
+            store.vacuum(batch_id)
+        delete(spark, state.version(root, batch_id - 1, ""))
+
+    halves = paired_stream(source, delay)
+    with state.state_partitions(source.sparkSession):
+        return (halves.writeStream.foreachBatch(increment)
+                .option("checkpointLocation", f"{root}/_stream").trigger(availableNow=True).start())
+
+
+def stored_history(spark: SparkSession, root: str, batch_id: int, settings: S.Settings, buckets: int = 64) -> DataFrame:
+    """The newest rows of all engines as of a micro-batch."""
+    return _history(spark, root, settings, buckets).read(batch_id)
+
+
+def stored_matches(spark: SparkSession, root: str, batch_id: int, buckets: int = 64) -> DataFrame:
+    """All flights so far, each as it was matched last."""
+    return _matches(spark, root, buckets).read(batch_id)
+
 
-    return (source.writeStream.foreachBatch(increment)
-            .option("checkpointLocation", f"{root}/_stream").trigger(availableNow=True).start())
+def stored_summary(spark: SparkSession, root: str, batch_id: int, buckets: int = 64) -> DataFrame:
+    """Alert summary of all flights so far."""
+    return phases.alert_summary(stored_matches(spark, root, batch_id, buckets))
 
 
 def dedup_stream(
@@ -57,75 +111,3 @@ def dedup_stream(
     # Watermarks need TIMESTAMP; the session runs in UTC, so the cast keeps the clock.
     timed = source.withColumn(EVENT_TIME, bt(time).cast("timestamp"))
     return timed.withWatermark(EVENT_TIME, delay).dropDuplicatesWithinWatermark(list(keys)).drop(EVENT_TIME)
-
-
-def phase_pairs_stream(
-    source: DataFrame,
-    driver: str = "cruise",
-    lookup: str = "take-off",
-    minutes: float = 55,
-    keys: Sequence[str] = S.INSTALLATION,
-    time: str = S.TIME,
-    value: str = "row_sum",
-    delay: str = "1 hour",
-) -> DataFrame:
-    """Every (driver, earlier lookup) pair within the tolerance, as an interval
-    join of two watermarked streams; both states are bounded by the interval."""
-    def side(phase: str, tag: str) -> DataFrame:
-        cols = [bt(k).alias(f"{tag}_{k}") for k in keys]
-        return (source.where(bt(S.PHASE) == phase)
-                .select(*cols, bt(time).cast("timestamp").alias(f"{tag}_at"), bt(value).alias(f"{tag}_value"))
-                .withWatermark(f"{tag}_at", delay))
-
-    cond = (F.col("r_at") < F.col("l_at")) & (
-        F.col("r_at") > F.col("l_at") - F.make_dt_interval(mins=F.lit(int(minutes))))
-    for k in keys:
-        cond = cond & (F.col(f"l_{k}") == F.col(f"r_{k}"))
-    return side(driver, "l").join(side(lookup, "r"), cond).select(
-        *[F.col(f"l_{k}").alias(k) for k in keys],
-        F.col("l_at").cast("timestamp_ntz").alias(f"{time}_driver"),
-        F.col("r_at").cast("timestamp_ntz").alias(f"{time}_lookup"),
-        F.col("r_value").alias(f"{value}_lookup"))
-
-
-def nearest_pairs(
-    pairs: DataFrame, keys: Sequence[str] = S.INSTALLATION, time: str = S.TIME, value: str = "row_sum"
-) -> DataFrame:
-    """The latest lookup per driver row. Candidates of one row may come from
-    several micro-batches; the maximum is taken over all of them."""
-    event = F.struct(bt(f"{time}_lookup"), bt(f"{value}_lookup"))
-    best = pairs.groupBy(*map(bt, keys), bt(f"{time}_driver")).agg(F.max(event).alias("e"))
-    return best.select(*map(bt, keys), f"{time}_driver", "e.*")
-
-
-def start_engine_history(
-    source: DataFrame,
-    root: str,
-    values: Sequence[str],
-    lags: Sequence[int],
-    window: int,
-    flags: Sequence[str] = (),
-    keys: Sequence[str] = S.ENGINE,
-    order: Sequence[str] = S.ENGINE_ORDER,
-) -> StreamingQuery:
-    """Rolling means and lag deltas for arriving rows.
-
-    The state is the newest max(lag) + window rows per engine: just enough left
-    context for every window, whatever the length of the stream.
-    """
-    depth = max(lags) + window
-
-    def advance(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.withColumn(S.NEW_FLAG, F.lit(1).cast("long"))
-        stored = state.previous(spark, root, batch_id, "engines")
-        both = fresh if stored is None else stored.withColumn(S.NEW_FLAG, F.lit(0).cast("long")).unionByName(
-            fresh, allowMissingColumns=True)
-        means = trend.masked_rolling_mean(both, values, flags, window, keys, order, suffix="_MEAN")
-        done = state.save(
-            trend.lag_delta(means, [f"{c}_MEAN" for c in values], lags, keys, order), root, batch_id, "scored")
-        state.save(latest_n(done, depth, keys, order).drop(S.NEW_FLAG), root, batch_id, "engines")
-        done.where(bt(S.NEW_FLAG) == 1).write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
-
-    return (source.writeStream.foreachBatch(advance)
-            .option("checkpointLocation", f"{root}/_stream").trigger(availableNow=True).start())

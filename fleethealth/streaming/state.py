@@ -1,7 +1,6 @@
-"""State tables of foreachBatch jobs, one immutable version per micro-batch.
+"""Settings and working tables of foreachBatch jobs.
 
-Batch k reads version k-1 and writes version k. A batch that is retried after a
-failure overwrites only its own version, so every batch takes effect once.
+A micro-batch that is retried after a failure overwrites only its own tables.
 """
 
 from __future__ import annotations
@@ -32,10 +31,6 @@ def version(root: str, batch_id: int, name: str) -> str:
     return f"{root}/v-{batch_id:08d}/{name}"
 
 
-def previous(spark: SparkSession, root: str, batch_id: int, name: str) -> DataFrame | None:
-    return spark.read.parquet(version(root, batch_id - 1, name)) if batch_id > 0 else None
-
-
 def save(df: DataFrame, root: str, batch_id: int, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write this batch's version and return it as read back (lineage ends here)."""
     path = version(root, batch_id, name)
@@ -43,6 +38,3 @@ def save(df: DataFrame, root: str, batch_id: int, name: str, partition_by: tuple
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def latest(spark: SparkSession, root: str, name: str, last_batch: int) -> DataFrame:
-    return spark.read.parquet(version(root, last_batch, name))

@@ -125,3 +125,60 @@ def test_light_plan_has_one_exchange(rows):
         trend.lag_delta, ["x_MAV_NO_STEPS"], (1, 7), bounded=True, **KW)
     plan = d._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.fixture
+def flights(spark):
+    """One installation with a third of all rows inside one time slice, ties, and null times."""
+    rnd = random.Random(5)
+    data = []
+    for i in range(600):
+        esn = 1 if i % 3 == 0 else rnd.randrange(2, 30)
+        when = None if i % 50 == 7 else at(0.2, rnd.randrange(0, 90)) if esn == 1 else at(rnd.random() * 30)
+        data.append((esn, when, rnd.choice(S.PHASES), i))
+    return spark.createDataFrame(data, "ESN long, reportdatetime timestamp_ntz, phase string, row_sum long").repartition(5)
+
+
+ASOF = {
+    "backward": lambda d: phases.phase_asof(d, keys=KEYS),
+    "forward": lambda d: phases.phase_asof_forward(d, keys=KEYS, driver_suffix="takeoff"),
+    "chain": lambda d: phases.phase_asof_chain(d, keys=KEYS),
+    "far": lambda d: phases.phase_asof(d, lookups=(phases.Lookup("climb", "climb", 3000),), keys=KEYS),
+}
+
+
+@pytest.mark.parametrize("name", list(ASOF))
+@pytest.mark.parametrize("limit", ["8", "60"])
+def test_a_hot_slice_is_matched_in_ranges(flights, spark, name, limit):
+    want = collected(ASOF[name](flights))
+    spark.conf.set(skew.HOT_ROWS_CONF, limit)
+    try:
+        assert collected(ASOF[name](flights)) == want
+    finally:
+        spark.conf.unset(skew.HOT_ROWS_CONF)
+
+
+def test_as_of_equals_a_plain_loop(flights, hot):
+    rows = [r for r in flights.collect()]
+    got = {(r["ESN"], r["row_sum_cruise"]): (r["reportdatetime_takeoff"], r["reportdatetime_climb"]) for r in ASOF["backward"](flights).collect()}
+    for d in (r for r in rows if r["phase"] == "cruise"):
+        near = []
+        for phase, minutes in (("take-off", 55), ("climb", 30)):
+            before = [r["reportdatetime"] for r in rows if r["ESN"] == d["ESN"] and r["phase"] == phase and d["reportdatetime"]
+                      and r["reportdatetime"] and r["reportdatetime"] < d["reportdatetime"]]
+            near.append(max(before) if before and (d["reportdatetime"] - max(before)).total_seconds() < minutes * 60 else None)
+        assert got[d["ESN"], d["row_sum"]] == tuple(near)
+
+
+def test_a_hot_slice_spreads_over_the_tasks(spark, hot):
+    """One installation, one slice: every range holds an even part, the frame never spans two."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(20_000).selectExpr("1L AS ESN", "id AS us", "CASE WHEN id % 5000 = 17 THEN named_struct('us', id) END AS e")
+        found = skew.nearest_events(df, KEYS, "us", {"last": F.col("e")})
+        assert found.where("coalesce(last.us, -1) <> CASE WHEN us > 17 THEN floor((us - 18) / 5000) * 5000 + 17 ELSE -1 END").count() == 0
+        ranged, pid, _ = skew._sorted_ranges(df, [F.col("ESN"), F.col("us")])
+        sizes = [r["count"] for r in ranged.groupBy(pid.alias("p")).count().collect()]
+        assert len(sizes) == 4 and max(sizes) < 20_000 / 4 * 1.5
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
