@@ -17,6 +17,10 @@ RUNTIME_CONF = {
     "spark.sql.constraintPropagation.enabled": "false",
 }
 
+# Fixed when a session starts. Recording the Python call site of each of tens of
+# thousands of column expressions is most of the time in which a plan is built.
+START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
@@ -29,7 +33,7 @@ def build_session(app: str = "fleethealth", master: str | None = None, **conf) -
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in {**RUNTIME_CONF, **conf}.items():
+    for k, v in {**RUNTIME_CONF, **START_CONF, **conf}.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
 

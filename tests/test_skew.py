@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from helpers import at
 from pyspark.sql import functions as F
@@ -109,7 +110,8 @@ def test_hot_pair_group(spark, engines):
 
 
 def test_hot_key_is_cut_into_even_chunks(rows, hot):
-    parts = skew.chunked(rows.where("ESN = 1"), KEYS, [F.col(c) for c in ORDER], 5)
+    one = rows.where("ESN = 1")
+    parts = skew.chunked(one, KEYS, [F.col(c) for c in ORDER], 5, skew.heavy_keys(one, KEYS))
     sizes = [r["count"] for r in parts.groupBy(skew.CHUNK).count().collect()]
     assert len(sizes) > 10 and max(sizes) <= 6 + 5
 
@@ -182,3 +184,36 @@ def test_a_hot_slice_spreads_over_the_tasks(spark, hot):
         assert len(sizes) == 4 and max(sizes) < 20_000 / 4 * 1.5
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_sliding_values_need_no_frame():
+    rnd = np.random.default_rng(4)
+    for rows in (1, 2, 5, 400):
+        size = rnd.integers(0, 12, 40) if rows < 400 else np.array([1000, 3, 399, 400, 401])
+        size = size[size > 0]
+        begin = np.cumsum(size) - size
+        x = rnd.normal(size=int(size.sum()))
+        start = np.maximum(np.repeat(begin, size), np.arange(len(x)) - rows + 1)
+        top = stats.sliding(x, begin, rows, np.maximum, -np.inf)
+        total = stats.sliding(x, begin, rows, np.add, 0.0)
+        assert top.tolist() == [x[a:i + 1].max() for i, a in enumerate(start)]
+        assert np.allclose(total, [x[a:i + 1].sum() for i, a in enumerate(start)], rtol=1e-12, atol=1e-12)
+
+
+def test_one_pass_equals_the_windows_over_any_batches(rows, spark):
+    d = rows.withColumn("HPC_DAMAGE_SHIFT50", F.col("x") * 3)
+    chosen = S.Settings(lags=(50,), thresholds=(0.2, 1.0))
+    by, fresh = [F.col(c) for c in ORDER], stats.new_rows_only(d)
+    specs = [stats.Rolling(f"{c}_DAMAGE_SHIFT50", n, f"{c}_MAX{n}", f"{c}_MEAN{n}", {0.2: f"{c}_F{n}"}, stats.matches(c, 50))
+             for c in ("IPC", "HPC") for n in (1, 3, 7)]
+    want = d.withColumns({s.flag: s.match for s in specs})
+    for s in specs:
+        want = stats._apply(want, s, KEYS, by, fresh)
+    want = collected(want.drop(*[s.flag for s in specs]))
+    for size in ("1", "7", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            assert collected(stats.rolling_stats(d, specs, KEYS, ORDER)) == want
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert stats.summary_stats(d.limit(0), chosen, **KW).count() == 0
