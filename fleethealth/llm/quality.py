@@ -49,10 +49,10 @@ def _sums(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
     return run[at[1:]] - run[at[:-1]]
 
 
-def _repeats(codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _repeats(codes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per text the share of distinct codes and the share of the most frequent."""
-    distinct, top = np.zeros(len(at) - 1), np.zeros(len(at) - 1)
-    for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
+    distinct, top = np.zeros(len(begin)), np.zeros(len(begin))
+    for i, (a, b) in enumerate(zip(begin.tolist(), end.tolist())):
         if b > a:
             s = np.sort(codes[a:b])
             runs = np.diff(np.append(np.flatnonzero(np.append(True, s[1:] != s[:-1])), b - a))
@@ -73,10 +73,10 @@ def features(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     mark_run = np.zeros(len(data) + 1, dtype=np.int64)
     np.cumsum((kind == 3) | (kind == 4), out=mark_run[1:])
     alone = mark_run[w.end] - mark_run[w.begin] == w.end - w.begin
-    distinct, top = _repeats(w.code, w.first)
+    distinct, top = _repeats(w.code, w.first[:-1], w.first[1:])
     pairs = w.code[:-1] * np.uint64(3) + w.code[1:] if len(w.code) > 1 else w.code[:0]
-    # A pair across two texts falls to the first of them; it is one of many.
-    pair_distinct, _ = _repeats(pairs, np.minimum(w.first, len(pairs)))
+    # A text's last word begins no pair: the next word is another text's.
+    pair_distinct, _ = _repeats(pairs, w.first[:-1], w.first[1:] - 1)
     line_feed = data == 10
     lines = _sums(line_feed, at) + 1
     cut = np.unique(np.concatenate([at, np.flatnonzero(line_feed) + 1]))
@@ -86,7 +86,7 @@ def features(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     # A line's code is the sum of its words' codes.
     line_code = run[line_first[1:]] - run[line_first[:-1]]
     line_at = np.searchsorted(cut, at)
-    line_distinct, _ = _repeats(line_code, line_at)
+    line_distinct, _ = _repeats(line_code, line_at[:-1], line_at[1:])
     out = np.stack([
         np.log1p(size), np.log1p(n), ratio(size - by_kind[5], n), ratio(by_kind[1], letters), ratio(by_kind[2], size),
         ratio(by_kind[3], size), ratio(by_kind[4], size), ratio(by_kind[5], size), ratio(by_kind[6], size),

@@ -245,7 +245,8 @@ def _grow(x: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> tuple:
             gain[(v[1:] == v[:-1]) | (n[:-1] < LEAF) | (n[-1] - n[:-1] < LEAF)] = 0
             k = int(np.argmax(gain))
             if gain[k] > best[0]:
-                best = (float(gain[k]), int(j), float((v[k] + v[k + 1]) / 2))
+                # The lower value itself: the middle of two neighbouring floats may be the upper one.
+                best = (float(gain[k]), int(j), float(v[k]))
         if best[1] < 0:
             continue
         at = len(feature) - 1
