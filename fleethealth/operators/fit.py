@@ -3,7 +3,8 @@
 A signature table holds, per phase, ``sig_pos`` (row position), ``sig_id`` and
 ``vec`` (array of doubles). It is a calibration table, usually of a few dozen
 rows. Candidates of up to ``RESIDENT`` signatures are prepared once per task;
-of more they are made and compared in blocks, the best so far kept.
+of more the best subset is found by branch and bound, and only their count is
+taken block by block.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ CANDIDATES = 20_000  # of larger tables compared at once
 MAX_ROWS = 100_000  # of the whole table, which goes to the driver
 ERROR_STEP = 1e-9  # errors closer than this are a tie, the earlier candidate wins
 CLOSE = 1e-3
+ROWS = 64  # second members of a branch whose third ones are compared at once
 BLOCK = 32  # observations solved at once; their errors fit the cache
 
 # The helpers below travel with the job: executors need no installed package.
@@ -153,13 +155,20 @@ def _best(obs, explained, length, solver: Solver, err_limit: float, factor: floa
 
 def _admissible(obs, explained, length, solver: Solver, err_limit: float, factor: float) -> list[int]:
     """Number of admissible candidates of each size."""
-    counts = [0] * len(solver.directions)
-    for c in np.flatnonzero(explained > (1.0 - err_limit**2) * length**2):
-        if _solve(obs, solver, c)[2].sum() < factor * length:
-            counts[len(solver.members[c]) - 1] += 1
+    near = np.flatnonzero(explained > (1.0 - err_limit**2) * length**2)
+    counts = []
+    for k, (a, b) in enumerate(zip(solver.starts[:-1], solver.starts[1:])):
+        own = near[(near >= a) & (near < b)]
+        members = np.array([solver.members[c] for c in own], dtype=int).reshape(-1, k + 1)
+        counts.append(_small(obs, solver.inverses[k][own - a], solver.norms[members], factor * length))
     return counts
 
 
+def _small(obs: np.ndarray, inverses: np.ndarray, norms: np.ndarray, limit: float) -> int:
+    """How many candidates have magnitudes that stay below ``limit`` in total."""
+    return int(((np.abs(inverses @ obs) * norms).sum(axis=1) < limit).sum()) if len(inverses) else 0
+
+
 def _in_blocks(vectors: tuple[tuple[float, ...], ...], max_size: int) -> Iterator[tuple[Solver, np.ndarray]]:
     """Candidates of one size at a time, ``CANDIDATES`` together, in the usual order,
     with an orthonormal basis of each."""
@@ -176,22 +185,122 @@ def _in_blocks(vectors: tuple[tuple[float, ...], ...], max_size: int) -> Iterato
             yield Solver(m, norms, part, [0] * k, [], [], [np.empty(0)] * (k - 1) + [np.linalg.pinv(stacked, rcond=rcond)]), q
 
 
-def _fit_large(obs: np.ndarray, vectors, max_size: int, err_limit: float, factor: float, count: bool):
-    """As ``_fit_block`` for a table whose candidates do not fit at once."""
+def _count_large(obs: np.ndarray, vectors, max_size: int, err_limit: float, factor: float) -> list[list[int]]:
+    """Admissible candidates of each size for a table whose candidates do not fit at once."""
     length = np.linalg.norm(obs, axis=1)
-    best: list = [None] * len(obs)
-    counts = [[0] * min(max_size, len(vectors)) for _ in obs] if count else [None] * len(obs)
+    counts = [[0] * min(max_size, len(vectors)) for _ in obs]
     for solver, basis in _in_blocks(vectors, max_size):
+        k = len(solver.members[0])
+        members = np.array(solver.members)
         explained = (np.einsum("op,cpk->ock", obs, basis) ** 2).sum(axis=2)
         for i, (o, x) in enumerate(zip(obs, explained)):
-            if count:
-                near = np.flatnonzero(x > (1.0 - err_limit**2) * length[i]**2)
-                fits = sum(_solve(o, solver, c)[2].sum() < factor * length[i] for c in near)
-                counts[i][len(solver.members[0]) - 1] += int(fits)
-            found = _best(o, x, length[i], solver, err_limit, factor)
-            if found and (best[i] is None or found[0] < best[i][0] - ERROR_STEP):
-                best[i] = found
-    return [(*(b or (None,) * 5), c) for b, c in zip(best, counts)]
+            near = np.flatnonzero(x > (1.0 - err_limit**2) * length[i]**2)
+            counts[i][k - 1] += _small(o, solver.inverses[k - 1][near], solver.norms[members[near]], factor * length[i])
+    return counts
+
+
+class _Bounded:
+    """Best admissible subset of up to three signatures by branch and bound.
+
+    With unit signatures f, b = f . o and coefficients c, a least-squares fit
+    explains sum(c b), and an admissible one has sum(|c|) below M = factor |o|. So
+
+    * a subset explains less than M times its largest |b|, and
+    * what it explains beyond one member i is less than M times the largest
+      |b| of the others after i is projected out of everything.
+
+    Subsets are visited by their member of largest |b| first; a branch whose bound
+    is below what the best subset so far explains is left out, and since |b| falls,
+    all later ones with it. Projections are rank-one updates of the Gram matrix, a
+    whole level at a time. The result is that of comparing all subsets.
+    """
+
+    def __init__(self, vectors, max_size: int) -> None:
+        self.vectors, self.max_size = np.array(vectors, dtype=float), max_size
+        self.norms = np.linalg.norm(self.vectors, axis=1)
+        self.unit = np.divide(self.vectors, self.norms[:, None], out=np.zeros_like(self.vectors), where=self.norms[:, None] > 0)
+        self.gram = self.unit @ self.unit.T
+        self.visited = 0
+
+    def fit(self, obs: np.ndarray, err_limit: float, factor: float):
+        """(err, residual, coefficients, magnitudes, members), or None."""
+        length = float(np.linalg.norm(obs))
+        square, most = length * length, factor * length
+        found: list[tuple[float, int, tuple[int, ...]]] = []
+        least_err = err_limit
+
+        def need() -> float:
+            """What a subset must explain to matter, with room for rounding."""
+            err = err_limit if not found else least_err + ERROR_STEP if least_err >= CLOSE else CLOSE
+            return (1.0 - err * err) * square - 1e-12 * square
+
+        def consider(members: np.ndarray, explained: np.ndarray) -> None:
+            nonlocal least_err
+            order = np.argsort(-explained, kind="stable")
+            for at in range(0, len(order), 256):
+                part = order[at:at + 256]
+                part = part[explained[part] > need()]
+                if not len(part):
+                    break
+                sets = np.sort(members[part], axis=1)
+                f = self.vectors[sets].transpose(0, 2, 1)
+                c = (np.linalg.pinv(f, rcond=np.finfo(float).eps * max(f.shape[1:])) @ obs)
+                err = np.linalg.norm(obs - (f @ c[:, :, None])[:, :, 0], axis=1) / length
+                ok = ((np.abs(c) * self.norms[sets]).sum(axis=1) < most) & (err < err_limit)
+                found.extend((float(e), len(m), tuple(m.tolist())) for e, m in zip(err[ok], sets[ok]))
+                if ok.any():
+                    least_err = min(least_err, float(err[ok].min()))
+
+        b = self.unit @ obs
+        n = len(b)
+        consider(np.arange(n)[:, None], b * b)
+        order = np.argsort(-np.abs(b), kind="stable")
+        for p, i in enumerate(order[:n - 1]) if self.max_size > 1 else ():
+            if most * abs(b[i]) < need():
+                break
+            rest = order[p + 1:]
+            g = self.gram[rest, i]
+            left, size = b[rest] - g * b[i], 1.0 - g * g
+            live = size > 1e-13  # what depends on i adds nothing
+            explained = b[i] * b[i] + np.divide(left * left, size, out=np.zeros(len(rest)), where=live)
+            self.visited += len(rest)
+            consider(np.stack([np.full(len(rest), i), rest], axis=1), np.where(live, explained, 0.0))
+            if self.max_size < 3:
+                continue
+            # Of the two that are added the one of larger |left| leads.
+            turn = np.argsort(-np.abs(left), kind="stable")
+            rest, g, left, size, explained, live = (v[turn] for v in (rest, g, left, size, explained, live))
+            for at in range(0, len(rest) - 1, ROWS):
+                lead = np.arange(at, min(at + ROWS, len(rest) - 1))
+                lead = lead[live[lead] & (most * np.abs(left[lead]) >= need() - b[i] * b[i])]
+                if not len(lead):
+                    if most * abs(left[at]) < need() - b[i] * b[i]:
+                        break
+                    continue
+                cross = self.gram[np.ix_(rest[lead], rest[at:])] - np.outer(g[lead], g[at:])
+                ratio = cross / size[lead][:, None]
+                last = left[None, at:] - ratio * left[lead][:, None]
+                room = size[None, at:] - ratio * cross
+                total = explained[lead][:, None] + np.divide(last * last, room, out=np.zeros_like(last), where=room > 1e-13)
+                total[np.arange(at, len(rest))[None, :] <= lead[:, None]] = 0.0  # led by another one
+                self.visited += int((len(rest) - 1 - lead).sum())
+                x, y = np.nonzero(total > need())
+                consider(np.stack([np.full(len(x), i), rest[lead[x]], rest[at + y]], axis=1), total[x, y])
+        if not found:
+            return None
+        close = [f for f in found if f[0] <= (least_err + ERROR_STEP if least_err >= CLOSE else CLOSE)]
+        rank = (lambda f: f[1:]) if least_err >= CLOSE else (lambda f: (round(f[0] / ERROR_STEP), *f[1:]))
+        members = list(min(close, key=rank)[2])
+        f = self.vectors[members].T
+        c = np.linalg.pinv(f, rcond=np.finfo(float).eps * max(f.shape)) @ obs
+        residual = float(np.linalg.norm(obs - f @ c))
+        return residual / length, residual, c, np.abs(c) * self.norms[members], members
+
+
+def _fit_large(obs: np.ndarray, bounded: _Bounded, err_limit: float, factor: float, count: bool):
+    """As ``_fit_block`` for a table whose candidates do not fit at once."""
+    counts = (_count_large(obs, bounded.vectors, bounded.max_size, err_limit, factor) if count else [None] * len(obs))
+    return [(*(bounded.fit(o, err_limit, factor) or (None,) * 5), c) for o, c in zip(obs, counts)]
 
 
 def _fit_block(obs: np.ndarray, solver: Solver, err_limit: float, factor: float, count: bool):
@@ -222,8 +331,9 @@ def _fit_series(obs: pd.Series, phase: pd.Series, solvers, err_limit, factor, co
 
 def _solve_with(vectors: tuple[tuple[float, ...], ...], max_size: int):
     """The fit of observation rows against one phase's signatures."""
-    if len(vectors) > RESIDENT:
-        return lambda obs, *rules: _fit_large(obs, vectors, max_size, *rules)
+    if len(vectors) > RESIDENT and max_size <= 3:
+        bounded = _Bounded(vectors, max_size)
+        return lambda obs, *rules: _fit_large(obs, bounded, *rules)
     solver = _solver(vectors, max_size)
     return lambda obs, *rules: _fit_block(obs, solver, *rules)
 
@@ -317,6 +427,8 @@ def signature_fit_single(
     table of as many rows as there are phases is broadcast), so no row is ever
     multiplied.
     """
+    if signatures.limit(MAX_ROWS + 1).count() > MAX_ROWS:
+        raise ValueError(f"more than {MAX_ROWS} signatures")
     table = signatures.groupBy(bt(S.PHASE).alias("__phase")).agg(
         F.array_sort(F.collect_list(F.struct("sig_pos", "sig_id", "vec"))).alias("__sigs"))
     o = bt(obs)
