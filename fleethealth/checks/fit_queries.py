@@ -18,7 +18,9 @@ def _dot(a: str, b: str) -> str:
     return " + ".join(f"{a}{i} * {b}{i}" for i in DIM)
 
 
-def fit_sql(obs: str, max_size: int = 3, err_limit: float = 0.3, factor: float = 5.0, prefix: str = "") -> str:
+def fit_sql(
+    obs: str, max_size: int = 3, err_limit: float = 0.3, factor: float = 5.0, prefix: str = "", count: int = V.SIGNATURE_COUNT
+) -> str:
     """CTEs ``fits`` (best candidate per obs row ``oid``) and ``counts``.
 
     ``obs`` names a relation (oid, o1..o9). Candidates carry the inverse of
@@ -26,7 +28,7 @@ def fit_sql(obs: str, max_size: int = 3, err_limit: float = 0.3, factor: float =
     signatures. ``ord`` is the (size, lexicographic) position of a candidate. A
     relative error below 1e-6 is cancellation noise of a perfect fit, i.e. 0.
     """
-    g = f"""{prefix}sig AS ({V.SIGNATURES_SQL}),
+    g = f"""{prefix}sig AS ({V.signatures_sql(count)}),
 {prefix}gram AS (SELECT a.sig_pos AS i, b.sig_pos AS j, {_dot('a.v', 'b.v')} AS d FROM {prefix}sig a, {prefix}sig b),
 {prefix}c1 AS (SELECT 1 AS size, i, -1 AS j, -1 AS k, 1 / d AS a11, 0.0::DOUBLE AS a12, 0.0::DOUBLE AS a13,
 0.0::DOUBLE AS a22, 0.0::DOUBLE AS a23, 0.0::DOUBLE AS a33, sqrt(d) AS n1, 0.0::DOUBLE AS n2, 0.0::DOUBLE AS n3
@@ -49,7 +51,7 @@ JOIN {prefix}gram ik ON ik.i = ij.i AND ik.j = jk.j JOIN {prefix}gram ii ON ii.i
 JOIN {prefix}gram jj ON jj.i = ij.j AND jj.j = ij.j JOIN {prefix}gram kk ON kk.i = jk.j AND kk.j = jk.j) m) n)"""
         parts.append(f"SELECT * FROM {prefix}c3")
     return g + f""",
-{prefix}cand AS (SELECT *, ((size * 64 + i) * 64 + j) * 64 + k AS ord FROM ({' UNION ALL '.join(parts)}) u),
+{prefix}cand AS (SELECT *, ((size * 1024 + i) * 1024 + j) * 1024 + k AS ord FROM ({' UNION ALL '.join(parts)}) u),
 {prefix}proj AS (SELECT oid, any_value(oo) AS oo, list(g ORDER BY sig_pos) AS g FROM (SELECT o.oid, s.sig_pos,
 {_dot('o.o', 's.v')} AS g, {_dot('o.o', 'o.o')} AS oo FROM {obs} o, {prefix}sig s) x WHERE oo > 0 GROUP BY oid),
 {prefix}coef AS (SELECT oid, oo, size, i, j, k, ord, n1, n2, n3, gi, gj, gk,
@@ -75,34 +77,57 @@ def label(i: str) -> str:
             " ELSE 'SIG ' || CAST({0} AS VARCHAR) END").format(i)
 
 
-def _fit_columns(n: int) -> str:
+def _fit_columns(n: int, f: str = "f", o: str = "o") -> str:
     cols = []
     for i, p in ((1, "i"), (2, "j"), (3, "k")):
-        has = f"f.size >= {i}"
-        cols += [f"CASE WHEN {has} THEN {r5(f'f.x{i}')} END AS \"VAR{i}_SHIFT{n}\"",
-                 f"CASE WHEN {has} THEN {r5(f'abs(f.x{i} * f.n{i})')} END AS \"VAR{i}_MAGNITUDE{n}\"",
-                 f"CASE WHEN {has} THEN {label('f.' + p)} END AS \"VAR{i}_IDENTIFIER{n}\""]
-    return ", ".join(cols) + (f", {r5('f.err')} AS \"ERROR_REL{n}\", {r5('f.err * sqrt(f.oo)')} AS \"ERROR_MAGNITUDE{n}\","
-                              f" {r5(NORM)} AS \"OBS_MAGNITUDE{n}\"")
+        has = f"{f}.size >= {i}"
+        cols += [f"CASE WHEN {has} THEN {r5(f'{f}.x{i}')} END AS \"VAR{i}_SHIFT{n}\"",
+                 f"CASE WHEN {has} THEN {r5(f'abs({f}.x{i} * {f}.n{i})')} END AS \"VAR{i}_MAGNITUDE{n}\"",
+                 f"CASE WHEN {has} THEN {label(f'{f}.' + p)} END AS \"VAR{i}_IDENTIFIER{n}\""]
+    length = f"sqrt({_dot(f'{o}.o', f'{o}.o')})"
+    return ", ".join(cols) + (f", {r5(f'{f}.err')} AS \"ERROR_REL{n}\", {r5(f'{f}.err * sqrt({f}.oo)')} AS \"ERROR_MAGNITUDE{n}\","
+                              f" {r5(length)} AS \"OBS_MAGNITUDE{n}\"")
 
 
-def _new_vectors(spark, sf_dir, lag):
+# The change vector of the k-th lag: the folded vector turned by k places.
+LAGS = S.Settings().lags
+
+
+def _new_vectors(spark, sf_dir, lags=LAGS):
     v = V.vectors(spark, sf_dir)
     return v.select("vec_id", "phase", F.lit(1).cast("long").alias(S.NEW_FLAG), *[
-        F.element_at("obs", i + 1).alias(S.lag_column(c, lag)) for i, c in enumerate(S.FITTED_MEAN)])
+        F.element_at("obs", (i + k) % len(DIM) + 1).alias(S.lag_column(c, n))
+        for k, n in enumerate(lags) for i, c in enumerate(S.FITTED_MEAN)])
+
+
+def _turned(k: int, n: int) -> str:
+    columns = ", ".join(f"{V.FOLD_SQL[(i - 1 + k) % len(DIM)]} AS o{i}" for i in DIM)
+    return f"obs{n} AS (SELECT vec_id AS oid, {columns} FROM embeddings)"
+
 
+def _sigs(spark, sf_dir, phases=S.PHASES, count=V.SIGNATURE_COUNT):
+    return fit.signature_norms(V.signatures(spark, sf_dir, phases, count))
 
-def _sigs(spark, sf_dir, phases=S.PHASES):
-    return fit.signature_norms(V.signatures(spark, sf_dir, phases))
+
+def _rounded_fits(d, lags):
+    return d.select("vec_id", *[
+        bt(c) if "IDENTIFIER" in c else round5(bt(c)).alias(c) for n in lags for c in S.fit_columns(n)])
 
 
-@check("signature_fit", f"WITH {OBS}, {fit_sql('obs')} SELECT o.oid AS vec_id, {_fit_columns(50)}"
-                        " FROM obs o LEFT JOIN fits ON fits.oid = o.oid")
+@check("signature_fit", "WITH " + ", ".join(f"{_turned(k, n)}, {fit_sql(f'obs{n}', prefix=f'p{n}_')}" for k, n in enumerate(LAGS))
+       + " SELECT o.oid AS vec_id, " + ", ".join(_fit_columns(n, f"x{n}.f", f"obs{n}") for n in LAGS) + f" FROM obs{LAGS[0]} o "
+       + " ".join(f"JOIN obs{n} ON obs{n}.oid = o.oid LEFT JOIN p{n}_fits x{n} ON x{n}.oid = o.oid" for n in LAGS))
 def signature_fit(spark, sf_dir):
+    settings = S.Settings(lags=LAGS)
+    return _rounded_fits(fit.signature_fit(_new_vectors(spark, sf_dir), _sigs(spark, sf_dir), settings), LAGS)
+
+
+@check("signature_fit_many", f"WITH {OBS}, {fit_sql('obs', count=72)} SELECT o.oid AS vec_id, {_fit_columns(50)}"
+                             " FROM obs o LEFT JOIN fits ON fits.oid = o.oid")
+def signature_fit_many(spark, sf_dir):
+    """A table of 72 signatures: 62 268 subsets, searched by branch and bound."""
     settings = S.Settings(lags=(50,))
-    d = fit.signature_fit(_new_vectors(spark, sf_dir, 50), _sigs(spark, sf_dir), settings)
-    return d.select("vec_id", *[
-        bt(c) if "IDENTIFIER" in c else round5(bt(c)).alias(c) for c in S.fit_columns(50)])
+    return _rounded_fits(fit.signature_fit(_new_vectors(spark, sf_dir, (50,)), _sigs(spark, sf_dir, count=72), settings), (50,))
 
 
 @check("signature_fit_single", f"WITH {OBS}, {fit_sql('obs', 1, 0.7)} SELECT o.oid AS vec_id, {r5(NORM)} AS \"OBS_MAGNITUDE\","

@@ -10,7 +10,7 @@ from fleethealth import schema as S
 from fleethealth.checks import views as V
 from fleethealth.checks.registry import check, r5
 from fleethealth.checks.row_queries import FLAGGED, MARK
-from fleethealth.checks.source_queries import ROW_SUM_SQL
+from fleethealth.checks.source_queries import ROW_SUM_SQL, write_outputs, write_outputs_sql
 from fleethealth.functions import bt
 from fleethealth.operators import clean, deltas, history, phases, trend
 
@@ -112,6 +112,9 @@ SUMMARY = """SELECT {keys}, max("DN_FIRE") AS "DN_FIRED", CAST(sum(CASE "DN_FIRE
 AS "DN_FIRES", min("DN_FIRE_TIME") AS "First DN fire", max("DN_FIRE_TIME") AS "Last DN fire" FROM al GROUP BY {keys}"""
 
 
+check("write_outputs", write_outputs_sql())(write_outputs)
+
+
 @check("alert_flag", f"WITH {FLIGHTS}, {MERGED}, {ALERTS} SELECT * FROM al")
 def alert_flag(spark, sf_dir):
     return phases.alert_flag(phase_asof(spark, sf_dir))

@@ -136,7 +136,7 @@ def row_norm(spark, sf_dir):
 VARS = {
     "VAR1_IDENTIFIER{n}": "CASE l_returnflag WHEN 'R' THEN 'IPC ETA' WHEN 'A' THEN 'HPC ETA' ELSE 'OTHER' END",
     "VAR2_IDENTIFIER{n}": "CASE WHEN l_linestatus = 'O' AND l_linenumber > 3 THEN 'IPC ETA' END",
-    "VAR3_IDENTIFIER{n}": "CASE WHEN l_linenumber = 1 THEN 'HPC ETA' END",
+    "VAR3_IDENTIFIER{n}": "CASE WHEN l_linenumber = {line} THEN 'HPC ETA' END",
     "VAR1_SHIFT{n}": "l_discount * 10 - 1",
     "VAR2_SHIFT{n}": "CASE WHEN l_linenumber <> 5 THEN l_tax * 10 - 1 END",
     "VAR3_SHIFT{n}": "l_quantity / 50 - 1",
@@ -147,11 +147,11 @@ def damage_rows(spark, sf_dir, lags):
     li = V.table(spark, sf_dir, "lineitem")
     return li.select(
         "l_suppkey", *V.SERIES_ORDER,
-        *[F.expr(e).alias(n.format(n=lag)) for lag in lags for n, e in VARS.items()])
+        *[F.expr(e.format(line=1 + lag // 100 % 4)).alias(n.format(n=lag)) for lag in lags for n, e in VARS.items()])
 
 
 def damage_sql(lags) -> str:
-    cols = [f'{e} AS "{n.format(n=lag)}"' for lag in lags for n, e in VARS.items()]
+    cols = [f'{e.format(line=1 + lag // 100 % 4)} AS "{n.format(n=lag)}"' for lag in lags for n, e in VARS.items()]
     return f"SELECT l_suppkey, {V.SERIES_ORDER_SQL}, {', '.join(cols)} FROM lineitem"
 
 
@@ -163,13 +163,17 @@ def shift_sql(comp: str, n: int) -> str:
 ITEM = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
+LAGS = S.Settings().lags
+_SHIFTS = [(c, n) for n in LAGS for c in S.COMPONENTS]
+
+
 @check("damage_shift", f"SELECT {', '.join(ITEM)}, "
-       + ", ".join(f'{r5(shift_sql(c, 50))} AS "{c}_DAMAGE_SHIFT50"' for c in S.COMPONENTS)
-       + f" FROM ({damage_sql([50])}) d")
+       + ", ".join(f'{r5(shift_sql(c, n))} AS "{S.damage_column(c, n)}"' for c, n in _SHIFTS)
+       + f" FROM ({damage_sql(LAGS)}) d")
 def damage_shift(spark, sf_dir):
     from fleethealth.functions import r5 as round5
-    d = stats.damage_shift(damage_rows(spark, sf_dir, [50]), [50])
-    return d.select(*ITEM, *[round5(bt(f"{c}_DAMAGE_SHIFT50")).alias(f"{c}_DAMAGE_SHIFT50") for c in S.COMPONENTS])
+    d = stats.damage_shift(damage_rows(spark, sf_dir, LAGS), LAGS)
+    return d.select(*ITEM, *[round5(bt(S.damage_column(c, n))).alias(S.damage_column(c, n)) for c, n in _SHIFTS])
 
 
 @check("exceedance_count", """SELECT l_orderkey, l_linenumber, l_partkey,

@@ -197,19 +197,41 @@ ROW_SUM_SQL = "CAST(event_id % 7 AS BIGINT)"
 HISTORY = f"SELECT phase, \"ESN\", reportdatetime, {ROW_SUM_SQL} AS row_sum FROM ({V.REPORTS_SQL}) r"
 
 
-@check("write_outputs", f"""SELECT *, (SELECT count(*) FROM ({HISTORY}) h WHERE phase = 'cruise') AS matched,
-(SELECT count(DISTINCT "ESN") FROM ({HISTORY}) h WHERE phase = 'cruise') AS summarised FROM ({HISTORY}) x""")
+# Columns of the three outputs; each row fills those of its own.
+_OUTPUTS = {
+    "history": ["phase", "ESN", "reportdatetime", "row_sum"],
+    "merged": ["ESN", *[f"{c}_{p}" for p in ("takeoff", "climb", "cruise") for c in ("reportdatetime", "row_sum")], "merge_sum", "DN_FIRE", "DN_FIRE_TIME"],
+    "summary": ["ESN", "DN_FIRED", "DN_FIRES", "first_fire", "last_fire"],
+}
+_ALL_OUTPUTS = list(dict.fromkeys(c for cols in _OUTPUTS.values() for c in cols))
+
+
+def write_outputs_sql() -> str:
+    from fleethealth.checks import match_queries as M
+
+    back = (("takeoff", "take-off", 55), ("climb", "climb", 30))
+    near = ", ".join(f"CASE WHEN d.reportdatetime - {a}.reportdatetime < INTERVAL {m} MINUTE THEN {a}.{c} END AS {c}_{a}"
+                     for a, _, m in back for c in ("reportdatetime", "row_sum"))
+    asof = " ".join(M._asof(a, phase, ">", "h") for a, phase, _ in back)
+    row = lambda name, source: (f"SELECT '{name}' AS output, " + ", ".join(
+        f'"{c}"' if c in _OUTPUTS[name] else f'NULL AS "{c}"' for c in _ALL_OUTPUTS) + f" FROM {source}")
+    summary = M.SUMMARY.format(keys='"ESN"').replace('"First DN fire"', "first_fire").replace('"Last DN fire"', "last_fire")
+    return f"""WITH h AS ({HISTORY}), m AS (SELECT d."ESN", d.reportdatetime AS reportdatetime_cruise, d.row_sum AS row_sum_cruise,
+{near} FROM (SELECT * FROM h WHERE phase = 'cruise') d {asof}), {M.ALERTS}, s AS ({summary})
+{row('history', 'h')} UNION ALL {row('merged', 'al')} UNION ALL {row('summary', 's')}"""
+
+
 def write_outputs(spark, sf_dir):
+    """The rows of all three outputs as they are read back."""
     rows = V.reports(spark, sf_dir).select("phase", "ESN", "reportdatetime", F.expr(ROW_SUM_SQL).alias("row_sum"))
     paths = state.write_outputs(
         scratch_dir(spark, "outputs"), rows,
         lambda d: phases.phase_asof(d, keys=["ESN"]).transform(phases.alert_flag),
         lambda d: phases.alert_summary(d, keys=["ESN"]).withColumnsRenamed(
             {"First DN fire": "first_fire", "Last DN fire": "last_fire"}))
-    kept = R.read_stage(spark, paths["history"])
-    merged, summary = (spark.read.parquet(paths[n]) for n in ("merged", "summary"))
-    counts = merged.agg(F.count(F.lit(1)).alias("matched")).crossJoin(summary.agg(F.count(F.lit(1)).alias("summarised")))
-    return kept.crossJoin(F.broadcast(counts))  # one row of counts
+    kept = {"history": R.read_stage(spark, paths["history"])} | {n: spark.read.parquet(paths[n]) for n in ("merged", "summary")}
+    return history.union_by_name(*[
+        d.select(F.lit(n).alias("output"), *map(bt, _OUTPUTS[n])) for n, d in kept.items()])
 
 
 @check("append_unique", "SELECT DISTINCT event_id, ts AS reportdatetime, user_id, event_type, value FROM events")

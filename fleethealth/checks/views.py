@@ -110,21 +110,20 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(*[F.expr(e) for e in FOLD_SPARK]).alias("obs"))
 
 
-def signatures(spark: SparkSession, sf_dir: str, phases=("cruise",)) -> DataFrame:
+def signatures(spark: SparkSession, sf_dir: str, phases=("cruise",), count: int = SIGNATURE_COUNT) -> DataFrame:
     from fleethealth.sources.signatures import load_signatures
 
     wide = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("sig_pos"), F.expr(SIG_ID_SQL).alias("sig_id"),
         *[F.expr(e).alias(c) for e, c in zip(FOLD_SPARK, S.SIGNATURE_COLUMNS)],
         F.explode(F.array(*[F.lit(p) for p in phases])).alias("phase"))
-    return load_signatures(wide, range(SIGNATURE_COUNT), drop_first=0, scale=1.0)
+    return load_signatures(wide, range(count), drop_first=0, scale=1.0)
 
 
-SIGNATURES_SQL = (
-    "SELECT vec_id AS sig_pos, " + SIG_ID_SQL + " AS sig_id, "
-    + ", ".join(f"{e} AS v{i}" for i, e in enumerate(FOLD_SQL, 1))
-    + f" FROM embeddings WHERE vec_id < {SIGNATURE_COUNT}"
-)
+def signatures_sql(count: int = SIGNATURE_COUNT) -> str:
+    columns = ", ".join(f"{e} AS v{i}" for i, e in enumerate(FOLD_SQL, 1))
+    return f"SELECT vec_id AS sig_pos, {SIG_ID_SQL} AS sig_id, {columns} FROM embeddings WHERE vec_id < {count}"
+
 
 # Long series: line items of one supplier in ship order.
 SERIES_KEYS = ["l_suppkey"]

@@ -90,15 +90,19 @@ def lag_delta(spark, sf_dir):
     return trend.lag_delta(d, VALUES, LAGS, **KW)
 
 
+# All ten columns of the operator: two readings and their multiples.
+_TEN = {f"v{i}": f"{c} * {k}.0" for i, (c, k) in enumerate([(c, k) for k in (1, 2, 3, 5, 7) for c in VALUES])}
+_LAGS = S.Settings().lags
+
+
 @check("observed_magnitude", f"""SELECT {ITEM_SQL}, {", ".join(
-    f'round_even(sqrt(p{n} * p{n} + q{n} * q{n}), 8) AS "OBSERVED_MAGNITUDE{n}"' for n in (50, 100))}
-FROM (SELECT *, {", ".join(f'{r5(f"l_extendedprice - lag(l_extendedprice, {n}) OVER w")} AS p{n}, '
-                          f'{r5(f"l_quantity - lag(l_quantity, {n}) OVER w")} AS q{n}' for n in (50, 100))}
-FROM lineitem WINDOW w AS ({OVER})) x""")
+    f"round_even(sqrt({' + '.join(f'{c}_{n} * {c}_{n}' for c in _TEN)}), 8) AS {chr(34)}OBSERVED_MAGNITUDE{n}{chr(34)}" for n in _LAGS)}
+FROM (SELECT *, {", ".join(r5(f"{c} - lag({c}, {n}) OVER w") + f" AS {c}_{n}" for n in _LAGS for c in _TEN)}
+FROM (SELECT {ITEM_SQL}, {", ".join(f"{e}::DOUBLE AS {c}" for c, e in _TEN.items())} FROM lineitem) y WINDOW w AS ({OVER})) x""")
 def observed_magnitude(spark, sf_dir):
-    d = trend.lag_delta(V.table(spark, sf_dir, "lineitem").select(*ITEM), VALUES, (50, 100), **KW)
-    return deltas.observed_magnitude(d, (50, 100), VALUES).select(
-        *ITEM, "OBSERVED_MAGNITUDE50", "OBSERVED_MAGNITUDE100")
+    rows = V.table(spark, sf_dir, "lineitem").select(*ITEM, *[F.expr(e).cast("double").alias(c) for c, e in _TEN.items()])
+    d = trend.lag_delta(rows, list(_TEN), _LAGS, **KW)
+    return deltas.observed_magnitude(d, _LAGS, list(_TEN)).select(*ITEM, *[f"OBSERVED_MAGNITUDE{n}" for n in _LAGS])
 
 
 _BROKEN = 'CASE WHEN "FlagSV" = 1 OR "FlagSisChg" = 1 THEN 1 ELSE 0 END'
