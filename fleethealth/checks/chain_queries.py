@@ -15,6 +15,7 @@ from fleethealth.checks.row_queries import RANGE_SQL, _COMPLETE
 from fleethealth.checks.source_queries import FLEET
 from fleethealth.functions import bt
 from fleethealth.plans import batch, chain
+from fleethealth.plans.store import FleetStore
 from fleethealth.session import scratch_dir
 from fleethealth.streaming import jobs, state, stateful
 
@@ -175,9 +176,9 @@ def stream_incremental_ingest(spark, sf_dir):
     late = (bt("ENGPOS") == 2) & (F.minute(bt(S.TIME)) % 4 == 0)
     _, stream = _arrivals(spark, V.fleet(spark, sf_dir), S.TIME, late)
     root = scratch_dir(spark, "increments")
-    query = jobs.start_incremental(
-        stream, root, _sigs(spark, sf_dir, S.PHASES), replace(SETTINGS, context="history"), delay="30 days")
-    return jobs.stored_summary(spark, root, _finish(query))
+    settings = replace(SETTINGS, context="history")
+    query = jobs.start_incremental(stream, root, _sigs(spark, sf_dir, S.PHASES), settings, delay="30 days")
+    return FleetStore(spark, root, settings).summary(_finish(query))
 
 
 @check("batch_run", f"{chain_ctes(3, 'history')} {SUMMARY.format(keys=_KEYS)}")
@@ -186,9 +187,9 @@ def batch_run(spark, sf_dir):
     fleet, root = V.fleet(spark, sf_dir), scratch_dir(spark, "batch")
     settings, sigs = replace(SETTINGS, context="history"), _sigs(spark, sf_dir, S.PHASES)
     batch.run_batch(spark, fleet.where(bt(S.TIME) < F.lit("2024-01-17").cast("timestamp_ntz")), sigs, root, settings)
-    paths = batch.run_batch(spark, fleet, sigs, root, settings)
+    last = batch.run_batch(spark, fleet, sigs, root, settings)
     names = {new: old for old, new in batch.SUMMARY_NAMES.items()}
-    return spark.read.parquet(paths["summary"]).withColumnsRenamed(names)
+    return spark.read.parquet(f"{last['folder']}/summary").withColumnsRenamed(names)
 
 
 @check("stream_dedup", 'SELECT event_id, user_id AS "ESN", ts AS reportdatetime FROM events')

@@ -7,10 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from fleethealth import schema as S
-from fleethealth.functions import bt
-from fleethealth.operators import phases
-from fleethealth.plans import chain
-from fleethealth.sources import reports as R, state
+from fleethealth.plans.store import FleetStore
+from fleethealth.sources import reports as R
+from fleethealth.sources.state import low_watermark
 
 RUN_SCHEMA = T.StructType([
     T.StructField("run", T.LongType()), T.StructField("checkpoint", T.TimestampNTZType()),
@@ -18,10 +17,6 @@ RUN_SCHEMA = T.StructType([
 SUMMARY_NAMES = {"First DN fire": "first_fire", "Last DN fire": "last_fire"}
 
 
-def outputs(folder: str) -> dict[str, str]:
-    return {n: f"{folder}/{n}" for n in ("history", "merged", "summary")}
-
-
 def last_run(spark: SparkSession, root: str) -> Row | None:
     """Number, checkpoint and folder of the last run that ended."""
     try:
@@ -32,31 +27,29 @@ def last_run(spark: SparkSession, root: str) -> Row | None:
         raise
 
 
+def store_of(spark: SparkSession, root: str, settings: S.Settings = S.Settings()) -> FleetStore:
+    """History and flights of all runs; a run's number is its version."""
+    return FleetStore(spark, f"{root}/store", settings)
+
+
 def run_batch(
     spark: SparkSession, reports: DataFrame, signatures: DataFrame, root: str, settings: S.Settings = S.Settings(),
-) -> dict[str, str]:
+) -> Row:
     """Read what came since the checkpoint (inclusively, so late halves of a pair
-    are met again), run the chain on it and the stored history, write the
-    outputs of this run below ``root`` and record the next checkpoint.
+    are met again), run the chain on it and the stored history of its engines,
+    store the result, write the summary below ``root`` and record the next checkpoint.
 
     The record is written last: a run that fails is done again by the next one
-    and leaves nothing that is read. Trends and fits are written and read back
-    (``work``), so the Python fit runs once.
+    and leaves nothing that is read.
     """
     before = last_run(spark, root)
     run = 1 if before is None else before["run"] + 1
     mark = None if before is None else before["checkpoint"]
-    stored = None
-    if before is not None:
-        schema = S.stage_schema(settings)
-        stored = spark.read.schema(schema).parquet(outputs(before["folder"])["history"]).select(*map(bt, schema.names))
     new = reports if mark is None else R.since_checkpoint(reports, mark, mark)
     folder = f"{root}/run-{run:06d}-{uuid.uuid4().hex[:8]}"
-    result = chain.run_increment(new, signatures, stored, settings, mark, snapshots=f"{folder}/work")
-    # All new rows are matched, not only those that the history keeps.
-    paths = state.write_outputs(
-        folder, result.stage, lambda _: result.merged,
-        lambda d: phases.alert_summary(d).withColumnsRenamed(SUMMARY_NAMES))
-    mark = result.checkpoint.first()["checkpoint"] or mark
+    store = store_of(spark, root, settings)
+    store.apply(new, signatures, run, None if before is None else before["run"], mark)
+    store.summary(run).withColumnsRenamed(SUMMARY_NAMES).write.parquet(f"{folder}/summary")
+    mark = low_watermark(new).first()["checkpoint"] or mark
     spark.createDataFrame([(run, mark, folder)], RUN_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/runs")
-    return paths
+    return last_run(spark, root)

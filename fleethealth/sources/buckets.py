@@ -73,9 +73,9 @@ class BucketStore:
         self.spark.createDataFrame(sorted(known.items()), MANIFEST).coalesce(1).write.mode("overwrite").parquet(
             f"{self.root}/manifest/{version:08d}")
 
-    def vacuum(self, version: int, keep: int = 2) -> int:
-        """Delete data folders that none of the last ``keep`` versions names; how many."""
-        used = {f.rsplit("/", 1)[-1] for v in range(max(0, version - keep + 1), version + 1) for f in self.manifest(v).values()}
+    def vacuum(self, *versions: int | None) -> int:
+        """Delete data folders that none of ``versions`` names; how many."""
+        used = {f.rsplit("/", 1)[-1] for v in versions for f in self.manifest(v).values()}
         jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
         data = jvm.org.apache.hadoop.fs.Path(f"{self.root}/data")
         fs = data.getFileSystem(conf)

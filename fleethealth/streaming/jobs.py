@@ -10,75 +10,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from fleethealth import schema as S
-from fleethealth.functions import bt
-from fleethealth.operators import phases, trend
-from fleethealth.operators.history import latest_n
-from fleethealth.plans import chain
-from fleethealth.sources.buckets import BucketStore, delete
+from fleethealth.plans.store import FleetStore
 from fleethealth.streaming import state
-from fleethealth.streaming.stateful import EVENT_TIME, paired_stream
-
-FLIGHT = (*S.INSTALLATION, "reportdatetime_cruise")
-
-
-def _history(spark: SparkSession, root: str, settings: S.Settings, buckets: int) -> BucketStore:
-    return BucketStore(spark, f"{root}/history", S.stage_schema(settings), ("ESN",), buckets)
-
-
-def _matches(spark: SparkSession, root: str, buckets: int) -> BucketStore:
-    times = [f"{S.TIME}_{p}" for p in ("takeoff", "climb", "cruise")]
-    sums = [f"row_sum_{p}" for p in ("takeoff", "climb", "cruise")]
-    types = {c: "timestamp_ntz" for c in times} | {c: "long" for c in [*sums, "merge_sum"]}
-    types |= {c: S.column_type(c) for c in S.INSTALLATION}
-    names = [*S.INSTALLATION, *times, *sums, "merge_sum", "DN_FIRE", "DN_FIRE_TIME"]
-    schema = spark.createDataFrame([], ", ".join(
-        f"`{n}` {t if isinstance(t := types.get(n, 'string'), str) else t.simpleString()}" for n in names)).schema
-    return BucketStore(spark, f"{root}/matches", schema, ("ESN",), buckets)
+from fleethealth.streaming.stateful import EVENT_TIME, paired_stream, timed
 
 
 def start_incremental(
     source: DataFrame, root: str, signatures: DataFrame, settings: S.Settings = S.Settings(context="history"),
     delay: str = "1 day", buckets: int = 64,
 ) -> StreamingQuery:
-    """Run the full chain on each micro-batch and store history and matches.
+    """Run the full chain on each micro-batch; ``FleetStore(spark, root, ...)`` holds
+    history, flights and summary, a version per micro-batch.
 
     The halves of a pair may come in different micro-batches and in any order:
     they wait up to ``delay``. What a pair's reports change behind them is scored
-    and matched again. A micro-batch reads and writes only the history buckets of
-    its engines, and scores only these; new rows are matched before retention cuts them.
+    and matched again.
     """
     def increment(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = batch_id - 1 if batch_id > 0 else None
-        stored, matches = _history(spark, root, settings, buckets), _matches(spark, root, buckets)
         batch.persist()
-        touched = stored.touched(batch)
-        if not touched:
-            for store in (stored, matches):
-                store.carry(batch_id, before)
-            batch.unpersist()
-            return
-        context, others = trend.rows_of_engines(stored.read(before, touched), batch)
-        spread = chain.check_spread(batch)
-        rows = chain.ingest(batch, context, settings, None, spread, by_origin=True)
-        stage = state.save(
-            chain.run_stages(rows, signatures, settings, spread, late_rows=True), root, batch_id, "work")
-        stored.write(batch_id, latest_n(stage, settings.n_points, bounded=spread.engines).unionByName(others), touched, before)
-        found = state.save(chain.matched(stage, settings, spread.engines, only_new=True), root, batch_id, "flights")
-        known = matches.read(before, touched)
-        same = [bt(k).eqNullSafe(bt(f"__f_{k}")) for k in FLIGHT]
-        renewed = found.select(*[bt(k).alias(f"__f_{k}") for k in FLIGHT]).distinct()
-        kept = known.join(renewed, same, "left_anti")
-        matches.write(batch_id, kept.unionByName(found.select(*map(bt, matches.schema.names))), touched, before)
+        store = FleetStore(batch.sparkSession, root, settings, buckets)
+        store.apply(batch, signatures, batch_id, batch_id - 1 if batch_id else None)
         batch.unpersist()
-        # The batch before can no longer be asked for again.
-        for store in (stored, matches):
-            store.vacuum(batch_id)
-        delete(spark, state.version(root, batch_id - 1, ""))
 
     halves = paired_stream(source, delay)
     with state.state_partitions(source.sparkSession):
@@ -86,21 +42,6 @@ def start_incremental(
                 .option("checkpointLocation", f"{root}/_stream").trigger(availableNow=True).start())
 
 
-def stored_history(spark: SparkSession, root: str, batch_id: int, settings: S.Settings, buckets: int = 64) -> DataFrame:
-    """The newest rows of all engines as of a micro-batch."""
-    return _history(spark, root, settings, buckets).read(batch_id)
-
-
-def stored_matches(spark: SparkSession, root: str, batch_id: int, buckets: int = 64) -> DataFrame:
-    """All flights so far, each as it was matched last."""
-    return _matches(spark, root, buckets).read(batch_id)
-
-
-def stored_summary(spark: SparkSession, root: str, batch_id: int, buckets: int = 64) -> DataFrame:
-    """Alert summary of all flights so far."""
-    return phases.alert_summary(stored_matches(spark, root, batch_id, buckets))
-
-
 def dedup_stream(
     source: DataFrame, keys: Sequence[str], time: str = S.TIME, delay: str = "14 days"
 ) -> DataFrame:
@@ -108,6 +49,4 @@ def dedup_stream(
 
     State is kept per key only until the watermark passes.
     """
-    # Watermarks need TIMESTAMP; the session runs in UTC, so the cast keeps the clock.
-    timed = source.withColumn(EVENT_TIME, bt(time).cast("timestamp"))
-    return timed.withWatermark(EVENT_TIME, delay).dropDuplicatesWithinWatermark(list(keys)).drop(EVENT_TIME)
+    return timed(source, time, delay).dropDuplicatesWithinWatermark(list(keys)).drop(EVENT_TIME)

@@ -106,18 +106,30 @@ def test_batch_runs_write_their_outputs(spark, setup):
         batch.run_batch(spark, rows, sigs, root, settings)
     last = batch.last_run(spark, root)
     assert last["run"] == 2
-    paths = batch.outputs(last["folder"])
-    history = reports.read_stage(spark, paths["history"])
+    store = batch.store_of(spark, root, settings)
     once = chain.run_increment(fleet, sigs, None, settings)
     columns = [c for c in S.stage_columns(settings) if c != S.NEW_FLAG]
-    assert comparable(history, columns) == comparable(once.stage, columns)
-    assert reports.read_stage(spark, paths["history"], ["cruise"]).select("phase").distinct().count() == 1
-    assert spark.read.parquet(paths["merged"]).count() == history.where("phase = 'cruise'").count()
-    summary = spark.read.parquet(paths["summary"])
+    assert comparable(store.history(2), columns) == comparable(once.stage, columns)
+    assert comparable(store.flights(2), once.merged.columns) == comparable(once.merged, once.merged.columns)
+    summary = spark.read.parquet(f"{last['folder']}/summary")
     assert comparable(summary, summary.columns) == comparable(once.summary.withColumnsRenamed(batch.SUMMARY_NAMES), summary.columns)
     assert last["checkpoint"] == once.checkpoint.first()["checkpoint"]
 
 
+def test_batch_context_keeps_other_engines(spark, setup):
+    """The re-run behaviour: only rows past the checkpoint are new, gaps do not see stored ones."""
+    fleet, sigs, settings = setup
+    settings = replace(settings, max_signatures=1, context="batch")
+    root = scratch_dir(spark, "rerun")
+    mark = F.lit(datetime(2024, 1, 17)).cast("timestamp_ntz")
+    batch.run_batch(spark, fleet.where(bt(S.TIME) < mark), sigs, root, settings)
+    batch.run_batch(spark, fleet.where((bt(S.TIME) < mark) | bt("ACID").isin("AC1", "AC2")), sigs, root, settings)
+    store = batch.store_of(spark, root, settings)
+    before, after = (store.history(v).groupBy("ACID").count().collect() for v in (1, 2))
+    grown = {r["ACID"] for r in after} - {r["ACID"] for r in before if dict((a["ACID"], a["count"]) for a in after)[r["ACID"]] == r["count"]}
+    assert grown and grown <= {"AC1", "AC2"}
+
+
 def test_checkpoint_round_trip(spark):
     path = scratch_dir(spark, "mark")
     assert state.read_checkpoint(spark, path) is None

@@ -15,6 +15,7 @@ from fleethealth import schema as S
 from fleethealth.functions import bt
 from fleethealth.operators import phases, trend
 from fleethealth.plans import chain
+from fleethealth.plans.store import FleetStore
 from fleethealth.session import scratch_dir
 from fleethealth.sources.buckets import BucketStore
 from fleethealth.streaming import jobs, state, stateful
@@ -166,7 +167,7 @@ def test_a_store_reads_and_writes_the_buckets_it_needs(spark):
     store.carry(2, 1)
     store.write(3, some.limit(0), touched, 2)
     assert store.read(3).count() == 400 - part.count()
-    assert store.vacuum(3, keep=1) >= 1 and store.read(3).count() == 400 - part.count()
+    assert store.vacuum(3) >= 1 and store.read(3).count() == 400 - part.count()
 
 
 def test_few_engines_are_filtered_in_the_scan(spark, monkeypatch):
@@ -208,9 +209,10 @@ def test_late_halves_and_shuffled_arrivals_equal_one_run(spark):
     columns = [c for c in S.stage_columns(settings) if c != S.NEW_FLAG]
     number = lambda v: round(v, 8) if isinstance(v, float) else v
     rows = lambda df, names: sorted([tuple(number(v) for v in r) for r in df.select(*map(bt, names)).collect()], key=repr)
-    assert rows(jobs.stored_history(spark, root, last, settings, 8), columns) == rows(full.stage, columns)
-    assert rows(jobs.stored_matches(spark, root, last, 8), full.merged.columns) == rows(full.merged, full.merged.columns)
-    assert rows(jobs.stored_summary(spark, root, last, 8), full.summary.columns) == rows(full.summary, full.summary.columns)
+    store = FleetStore(spark, root, settings, 8)
+    assert rows(store.history(last), columns) == rows(full.stage, columns)
+    assert rows(store.flights(last), full.merged.columns) == rows(full.merged, full.merged.columns)
+    assert rows(store.summary(last), full.summary.columns) == rows(full.summary, full.summary.columns)
 
 
 def test_all_new_rows_are_matched_before_retention(spark):
@@ -221,5 +223,25 @@ def test_all_new_rows_are_matched_before_retention(spark):
     query.awaitTermination()
     last = query.lastProgress["batchId"]
     full = chain.run_increment(fleet, sigs, None, replace(settings, n_points=650))
-    assert jobs.stored_matches(spark, root, last).count() == full.merged.count() > 0
-    assert jobs.stored_history(spark, root, last, settings).groupBy("phase", "ESN").count().agg(F.max("count")).first()[0] <= 5
+    store = FleetStore(spark, root, settings)
+    assert store.flights(last).count() == full.merged.count() > 0
+    assert store.history(last).groupBy("phase", "ESN").count().agg(F.max("count")).first()[0] <= 5
+
+
+def test_an_increment_reads_and_writes_the_buckets_of_its_engines(spark):
+    settings = replace(checks.SETTINGS, context="history", max_signatures=1)
+    sigs, fleet = checks._sigs(spark, SMALL, S.PHASES), V.fleet(spark, SMALL)
+    cut = F.lit("2024-01-20").cast("timestamp_ntz")
+    one = (bt("ACID") == "AC3") & (bt(S.TIME) >= cut)
+    store = FleetStore(spark, scratch_dir(spark, "fleet"), settings, 32)
+    store.apply(fleet.where(~one), sigs, 0, None)
+    store.apply(fleet.where(one), sigs, 1, 0)
+    old, new = store._history().manifest(0), store._history().manifest(1)
+    engines = fleet.where(one).select("ESN").distinct().count()
+    assert 0 < len([b for b in new if new[b] != old.get(b)]) <= engines < len(new)
+    full = chain.run_increment(fleet, sigs, None, settings)
+    number = lambda v: round(v, 8) if isinstance(v, float) else v
+    rows = lambda df, names: sorted([tuple(number(v) for v in r) for r in df.select(*map(bt, names)).collect()], key=repr)
+    columns = [c for c in S.stage_columns(settings) if c != S.NEW_FLAG]
+    assert rows(store.history(1), columns) == rows(full.stage, columns)
+    assert rows(store.flights(1), full.merged.columns) == rows(full.merged, full.merged.columns)
