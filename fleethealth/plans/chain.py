@@ -1,9 +1,9 @@
 """The full chain: increment of reports in, stage table and alerts out.
 
-All phases and engines go through one plan. Shuffles: one for the dedup, one on
-(phase, engine) for the newest-n cut, one for the pairs, one on (phase, engine)
-shared by flags, means, lags and statistics, one on (installation, slice) for
-the phase match.
+All phases and engines go through one plan. Shuffles: one for the dedup, one for
+the pairs, on (phase, engine) one shared by flags, means and lags, one for the
+statistics and one for the newest-n cut, one on (installation, slice) for the
+phase match.
 """
 
 from __future__ import annotations
