@@ -12,10 +12,12 @@ a higher ``revision``. ``latest_revisions`` keeps the last word on every row.
 from __future__ import annotations
 
 import pickle
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -28,6 +30,9 @@ REVISION = "revision"
 STATE = "data binary"
 NO_TIME = np.iinfo(np.int64).min
 
+# The helpers below travel with the job: executors need no installed package.
+register_pickle_by_value(sys.modules[__name__])
+
 
 def timed(source: DataFrame, time: str, delay: str) -> DataFrame:
     """``source`` with a watermark. Watermarks need TIMESTAMP; the session runs in
@@ -116,6 +121,7 @@ def phase_matches_stream(
     spread = base.where(us.isNotNull() | (F.col("__phase") == driver)).withColumn(
         "__slice", F.explode(F.when(near, F.array(home, home + 1)).otherwise(F.array(home))))
     names = [x.suffix for x in lookups]
+    plain = [(x.suffix, x.phase, x.minutes * MINUTE) for x in lookups]
     fields = ([source.schema[k] for k in keys]
               + [T.StructField(n, T.LongType()) for n in ("__us", "copy", "__value")]
               + [T.StructField(f"{p}{n}", T.LongType()) for n in names for p in ("__us_", "__value_")]
@@ -129,10 +135,10 @@ def phase_matches_stream(
         phase, amount = rows["__phase"].to_numpy(), rows["__value"].to_numpy(dtype=float)
         when = rows["__us"].fillna(NO_TIME).to_numpy(dtype=np.int64)
         # Lookups: (times, values) per phase; drivers: time, copy, value, revision and one (time, value) per lookup.
-        held = pickle.loads(state.get[0]) if state.exists else ([(np.empty(0, np.int64), np.empty(0))] * len(lookups), None)
+        held = pickle.loads(state.get[0]) if state.exists else ([(np.empty(0, np.int64), np.empty(0))] * len(plain), None)
         seen = []
-        for (times, values), x in zip(held[0], lookups):
-            own = phase == x.phase
+        for (times, values), (_, name, _) in zip(held[0], plain):
+            own = phase == name
             times, values = np.append(times, when[own]), np.append(values, amount[own])
             order = np.lexsort((np.where(np.isnan(values), -np.inf, values), times))
             times, values = times[order], values[order]
@@ -149,16 +155,16 @@ def phase_matches_stream(
                 drivers["copy"][i] = first.get(u, 0)
             first[u] = first.get(u, 0) + 1
         changed = np.arange(len(drivers["us"])) >= n_old
-        for (times, values), x in zip(seen, lookups):
+        for (times, values), (suffix, _, limit) in zip(seen, plain):
             at = np.searchsorted(times, drivers["us"], "left") - 1
             hit = (at >= 0) & (drivers["us"] != NO_TIME)
-            hit[hit] = drivers["us"][hit] - times[at[hit]] < x.minutes * MINUTE
+            hit[hit] = drivers["us"][hit] - times[at[hit]] < limit
             found = np.where(hit, times[at] if len(times) else NO_TIME, NO_TIME)
             worth = np.where(hit, values[at] if len(times) else np.nan, np.nan)
             if n_old:
-                before = old[x.suffix]
+                before = old[suffix]
                 changed[:n_old] |= (before[0] != found[:n_old]) | ~((before[1] == worth[:n_old]) | (np.isnan(before[1]) & np.isnan(worth[:n_old])))
-            drivers[x.suffix] = (found, worth)
+            drivers[suffix] = (found, worth)
         drivers["revision"] = drivers["revision"] + changed
         if key[-1] is not None and not pd.isna(key[-1]):
             state.update((pickle.dumps((seen, drivers)),))
@@ -168,8 +174,8 @@ def phase_matches_stream(
             moment = lambda a: pd.Series(a[changed], dtype="Int64").mask(a[changed] == NO_TIME)
             amounts = lambda a: pd.Series(np.nan_to_num(a[changed]).astype(np.int64), dtype="Int64").mask(np.isnan(a[changed]))
             out |= {"__us": moment(drivers["us"]), "copy": drivers["copy"][changed], "__value": amounts(drivers["value"])}
-            for x in lookups:
-                out |= {f"__us_{x.suffix}": moment(drivers[x.suffix][0]), f"__value_{x.suffix}": amounts(drivers[x.suffix][1])}
+            for n in names:
+                out |= {f"__us_{n}": moment(drivers[n][0]), f"__value_{n}": amounts(drivers[n][1])}
             yield pd.DataFrame(out | {REVISION: drivers["revision"][changed]})
 
     found = spread.groupBy(*map(bt, keys), "__slice").applyInPandasWithState(
@@ -214,6 +220,7 @@ def engine_history_stream(
     """
     need = max(lags) + window - 1
     columns = source.columns
+    named = {(v, n): S.lag_column(f"{v}{suffix}", n) for v in values for n in lags}
     results = [f"{v}{suffix}" for v in values] + [S.lag_column(f"{v}{suffix}", n) for n in lags for v in values]
     schema = T.StructType(list(source.schema.fields) + [T.StructField(n, T.DoubleType()) for n in results]
                           + [T.StructField(REVISION, T.LongType())])
@@ -229,7 +236,7 @@ def engine_history_stream(
             for lag in lags:
                 change = np.full(len(mean), np.nan)
                 change[lag:] = _rounded(mean[lag:] - mean[:-lag])
-                out[S.lag_column(f"{v}{suffix}", lag)] = change
+                out[named[v, lag]] = change
         return out
 
     def advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
