@@ -17,7 +17,7 @@ from fleethealth.functions import bt
 from fleethealth.plans import batch, chain
 from fleethealth.plans.store import FleetStore
 from fleethealth.session import scratch_dir
-from fleethealth.streaming import jobs, state, stateful
+from fleethealth.streaming import jobs, once, state, stateful
 
 # The views span 30 days with about a report a day and phase: short windows and
 # four short lags, wide tolerances, a low alert threshold. The chain itself is the live one.
@@ -239,3 +239,61 @@ def stream_engine_history(spark, sf_dir):
     _finish(_to_parquet(scored, out))
     return stateful.latest_revisions(spark.read.parquet(out), ["event_id"]).select(
         "event_id", "value_MEAN", "value_MEAN_LAG_2", "value_MEAN_LAG_5")
+
+
+# -- several sources ---------------------------------------------------------
+
+def _by_phase(spark, sf_dir):
+    """A source per phase: repeats of the first days' reports come 20 days later, and
+    so do reports of these days that nobody delivered before."""
+    e = V.reports(spark, sf_dir).select("event_id", "ESN", "phase", S.TIME)
+    early = bt(S.TIME) < F.lit(CUTS[0]).cast("timestamp_ntz")
+    withheld = early & (F.minute(bt(S.TIME)) % 7 == 0)
+    sources = {}
+    for phase in S.PHASES:
+        mine = e.where(bt("phase") == phase)
+        path, sources[phase] = _arrivals(spark, mine.where(~withheld), S.TIME)
+        mine.where(early).repartition(FILES).write.mode("append").parquet(path)
+    query, store = once.start_once(sources, scratch_dir(spark, "once"), ["event_id", "ESN", "phase", S.TIME])
+    return store, _finish(query)
+
+
+@check("stream_once", V.REPORTS_SQL.replace(", value, event_type", ""))
+def stream_once(spark, sf_dir):
+    """Reports of three sources, each once, though repeats and first deliveries come 20 days late."""
+    store, last = _by_phase(spark, sf_dir)
+    return store.rows(last)
+
+
+@check("stream_low_watermark", f"""SELECT min(newest) AS checkpoint FROM
+(SELECT {V.PHASE_SQL} AS phase, max(ts) AS newest FROM events GROUP BY ALL)""")
+def stream_low_watermark(spark, sf_dir):
+    """The mark that a checkpoint may move to after the same stream."""
+    store, last = _by_phase(spark, sf_dir)
+    return store.low_watermark(last, S.PHASES)
+
+
+SLOW_FILES = 10
+
+
+@check("stream_pairs_by_source", f"""WITH {FLEET} SELECT phase, "ESN", "ACID", reportdatetime FROM f
+WHERE (phase, "ACID", reportdatetime) IN (SELECT (phase, "ACID", reportdatetime) FROM f GROUP BY ALL HAVING count(DISTINCT "ESN") = 2)""")
+def stream_pairs_by_source(spark, sf_dir):
+    """Pairs of three sources of which climb comes a tenth at a time, the second
+    halves a tenth later, when the others are weeks ahead; halves wait a week."""
+    fleet = V.fleet(spark, sf_dir).select("phase", "ESN", "ACID", "ENGPOS", S.TIME)
+    sources = []
+    for phase in S.PHASES:
+        path, mine, triggered = scratch_dir(spark, "source"), fleet.where(bt("phase") == phase), 1
+        if phase == "climb":
+            part = F.least(((F.dayofmonth(bt(S.TIME)) - 1) / 3).cast("int"), F.lit(SLOW_FILES - 1)) + (bt("ENGPOS") == 2).cast("int")
+            for i in range(SLOW_FILES + 1):
+                mine.where(part == i).coalesce(1).write.mode("append").parquet(path)
+        else:
+            mine.repartition(FILES).write.parquet(path)
+            triggered = FILES
+        sources.append(spark.readStream.schema(fleet.schema).option("maxFilesPerTrigger", triggered).parquet(path))
+    out = scratch_dir(spark, "pairs")
+    pairs = stateful.paired_stream(stateful.merged_sources(sources, delay="7 days"), "7 days")
+    _finish(_to_parquet(pairs, out))
+    return spark.read.parquet(out).drop("ENGPOS")

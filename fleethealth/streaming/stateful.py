@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import pickle
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -35,11 +36,32 @@ register_pickle_by_value(sys.modules[__name__])
 
 
 def timed(source: DataFrame, time: str, delay: str) -> DataFrame:
-    """``source`` with a watermark. Watermarks need TIMESTAMP; the session runs in
-    UTC, so the cast keeps the clock."""
+    """``source`` with a watermark, unless its parts have one each. Watermarks need
+    TIMESTAMP; the session runs in UTC, so the cast keeps the clock."""
+    if EVENT_TIME in source.columns:
+        return source
     return source.withColumn(EVENT_TIME, bt(time).cast("timestamp")).withWatermark(EVENT_TIME, delay)
 
 
+def merged_sources(sources: Iterable[DataFrame], time: str = S.TIME, delay: str = "1 day") -> DataFrame:
+    """One stream of several sources, each with a watermark of its own.
+
+    Spark takes the least of them (``spark.sql.streaming.multipleWatermarkPolicy``,
+    which must be ``min`` when the query starts), so a source that lags, or is silent,
+    holds back the timers and late-row limits of all keyed operators behind. Sources
+    may name their columns in any order; all must have the same ones.
+    """
+    parts = [timed(s, time, delay) for s in sources]
+    policy = parts[0].sparkSession.conf.get("spark.sql.streaming.multipleWatermarkPolicy")
+    if policy != "min":
+        raise ValueError(f"several sources need the watermark policy min, not {policy}")
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _fields(source: DataFrame) -> list[T.StructField]:
+    return [f for f in source.schema.fields if f.name != EVENT_TIME]
+
+
 def _joined(frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
     parts = [f for f in frames if len(f)]
     return pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
@@ -64,8 +86,8 @@ def paired_stream(
     engines: more than two in the micro-batch that completes it void it, later
     ones find it closed. Rows without a key or an engine are in no pair.
     """
-    columns = source.columns
-    schema = T.StructType(list(source.schema.fields))
+    schema = T.StructType(_fields(source))
+    columns = schema.names
     at_key = list(pair).index(time)
 
     def advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -219,10 +241,10 @@ def engine_history_stream(
     with the time; rows with a null time or key are left out.
     """
     need = max(lags) + window - 1
-    columns = source.columns
+    columns = [f.name for f in _fields(source)]
     named = {(v, n): S.lag_column(f"{v}{suffix}", n) for v in values for n in lags}
     results = [f"{v}{suffix}" for v in values] + [S.lag_column(f"{v}{suffix}", n) for n in lags for v in values]
-    schema = T.StructType(list(source.schema.fields) + [T.StructField(n, T.DoubleType()) for n in results]
+    schema = T.StructType(_fields(source) + [T.StructField(n, T.DoubleType()) for n in results]
                           + [T.StructField(REVISION, T.LongType())])
 
     def score(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
