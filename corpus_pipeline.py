@@ -8,7 +8,7 @@ one. All but the last keep the columns of ``documents``.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleethealth.llm import minhash, packing, quality, secret_scan, substring
 from fleethealth.llm.store import staged
@@ -17,6 +17,14 @@ CAPACITY = 2048
 WORD_TOKENIZER = "word_bpe_49k.json"
 
 
+def counted(docs: DataFrame) -> DataFrame:
+    """``n_chars``, where there is one, follows the text (code points); a null text
+    keeps what it had."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
+
+
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
     return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -29,12 +37,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without words that a smaller document has in a common run of 13."""
-    return substring.without_repeats(docs)
+    return counted(substring.without_repeats(docs))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with secrets masked."""
-    return secret_scan.redacted(docs)
+    return counted(secret_scan.redacted(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
