@@ -378,6 +378,24 @@ def test_run_equals_a_plain_chain(spark):
     assert -(-sum(sizes) // 2048) <= len(places) <= len(room)
 
 
+def test_n_chars_follows_the_text(spark):
+    shared = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, f"{shared} first", "en", "s", 5), (2, f"{shared} zweite \u00e4\U0001f600", "de", "s", 5), (3, None, "en", "s", None),
+            (4, 'password = "correct-horse-battery" here', "en", "s", 39), (5, "", "en", None, 0), (6, None, "en", "s", 7)]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    sf = "/root/testdata/sf0.001"
+    cut = corpus_pipeline.repeated_passages(spark, docs, sf)
+    for out in (cut, corpus_pipeline.secrets(spark, cut, sf)):
+        assert out.dtypes == docs.dtypes
+        got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in out.collect()}
+        assert got[3] == (None, None) and got[6] == (None, 7)
+        assert all(n == len(t) for t, n in got.values() if t is not None)
+        assert got[2] == ("zweite \u00e4\U0001f600", 9)
+    assert secret_scan.MASK in got[4][0]
+    plain = docs.drop("n_chars")
+    assert corpus_pipeline.repeated_passages(spark, plain, sf).columns == plain.columns
+
+
 def test_every_operator_has_one_query():
     names = sorted(queries.QUERIES)
     assert [n for n in names if n.startswith("op")] and "pipeline" in names
