@@ -85,7 +85,7 @@ def test_a_micro_batch_done_again_gives_the_same_rows(spark):
     assert collected(store.rows(2)) != collected(store.rows(5))
 
 
-def test_only_the_days_of_a_micro_batch_are_read_and_the_filter_comes_before_the_shuffle(spark):
+def test_only_the_days_of_a_micro_batch_are_read_and_the_filter_is_built_once(spark):
     frame = spark.range(2000).select(
         F.col("id").alias("ESN"), F.lit("cruise").alias("phase"),
         F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(id % 100 AS int))").alias("reportdatetime"),
