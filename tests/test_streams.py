@@ -245,3 +245,23 @@ def test_an_increment_reads_and_writes_the_buckets_of_its_engines(spark):
     columns = [c for c in S.stage_columns(settings) if c != S.NEW_FLAG]
     assert rows(store.history(1), columns) == rows(full.stage, columns)
     assert rows(store.flights(1), full.merged.columns) == rows(full.merged, full.merged.columns)
+
+
+BIG = 2**53 + 1
+
+
+def state_rows(progress):
+    return max(p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"])
+
+
+def test_states_of_pairs_do_not_grow_with_their_number(spark):
+    schema = "phase string, ACID string, reportdatetime timestamp_ntz, ESN long, n long"
+    side = lambda e: spark.range(3000).selectExpr("'climb' AS phase", "concat('A', id) AS ACID", "timestamp_ntz'2024-03-01 00:00:00' AS reportdatetime",
+                                                  f"id * 2 + {e} AS ESN", f"IF(id % 2 = 0, NULL, {BIG} + id) AS n")
+    first, second = (spark.createDataFrame(side(e).collect(), schema) for e in (0, 1))
+    out = scratch_dir(spark, "many-pairs")
+    progress = run(stateful.paired_stream(arrivals(spark, [first, second, second], schema), "10 days", buckets=16), out)
+    assert state_rows(progress) <= 16
+    got = spark.read.parquet(out)
+    assert got.columns == first.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, first.union(second).collect()))
