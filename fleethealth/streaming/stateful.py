@@ -278,72 +278,85 @@ def _trailing_mean(x: np.ndarray, window: int) -> np.ndarray:
 def engine_history_stream(
     source: DataFrame, values: Sequence[str], lags: Sequence[int], window: int, flags: Sequence[str] = (),
     keys: Sequence[str] = S.ENGINE, order: Sequence[str] = S.ENGINE_ORDER, delay: str = "1 day", suffix: str = "_MEAN",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Rolling means and lag deltas of arriving rows, with a buffer per engine.
 
     The buffer holds the rows newer than the watermark, which late ones may still
     precede, and before them the max(lag) + window - 1 rows that their results
-    reach back to; nothing of it is written for engines without new rows. A late
+    reach back to; nothing of it is written for buckets of engines without new rows. A late
     row takes its place in the buffer and the rows behind it whose mean or delta it
     changes, at most window + max(lag) of them, are emitted again. ``order`` starts
     with the time; rows with a null time or key are left out.
     """
     need = max(lags) + window - 1
-    columns = [f.name for f in _fields(source)]
+    keys = list(keys)
+    longs = _whole_numbers(source, [*keys, order[0]])
+    fields = _fields(source) + _known_fields(longs)
+    columns = [f.name for f in fields]
     named = {(v, n): S.lag_column(f"{v}{suffix}", n) for v in values for n in lags}
     results = [f"{v}{suffix}" for v in values] + [S.lag_column(f"{v}{suffix}", n) for n in lags for v in values]
-    schema = T.StructType(_fields(source) + [T.StructField(n, T.DoubleType()) for n in results]
+    schema = T.StructType(fields + [T.StructField(n, T.DoubleType()) for n in results]
                           + [T.StructField(REVISION, T.LongType())])
+    ranks = [c for o in order for c in ([f"{KNOWN}{o}", o] if o in longs else [o])]
 
-    def score(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        clean = np.ones(len(rows[order[0]]), bool)
+    def score(rows: dict[str, np.ndarray], within: np.ndarray) -> dict[str, np.ndarray]:
+        """``within``: place of each row in its engine's buffer."""
+        number = lambda c: np.where(rows[f"{KNOWN}{c}"].astype(bool), rows[c], np.nan) if c in longs else rows[c].astype(float)
+        clean = np.ones(len(within), bool)
         for f in flags:
-            clean &= rows[f].astype(float) == 0
+            clean &= number(f) == 0
         out = {}
         for v in values:
-            mean = _trailing_mean(np.where(clean, rows[v].astype(float), np.nan), window)
+            mean = _trailing_mean(np.where(clean, number(v), np.nan), window)
+            mean[within < window - 1] = np.nan
             out[f"{v}{suffix}"] = mean
             for lag in lags:
                 change = np.full(len(mean), np.nan)
-                change[lag:] = _rounded(mean[lag:] - mean[:-lag])
+                change[lag:] = _rounded(mean[lag:] - mean[:max(len(mean) - lag, 0)])
+                change[within < lag] = np.nan
                 out[named[v, lag]] = change
         return out
 
     def advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = _joined(frames)[columns]
         fresh = {c: rows[c].to_numpy() for c in columns}
-        # ``whole``: the buffer begins where the engine's series does.
-        held, whole, revision = pickle.loads(state.get[0]) if state.exists else (None, True, 0)
-        n_old = 0 if held is None else len(held[columns[0]])
+        # Per buffered row its engine's ``whole`` (the buffer begins where the series does) and revision.
+        held = pickle.loads(state.get[0]) if state.exists else None
+        n_old = 0 if held is None else len(held[REVISION])
         both = fresh if held is None else {c: np.concatenate([held[c], fresh[c]]) for c in columns}
-        rank = [pd.factorize(both[c], sort=True)[0] for c in reversed(order)]  # nulls first, as Spark sorts
-        place = np.lexsort(rank)
-        both = {c: a[place] for c, a in both.items()}
-        scored = score(both)
-        old = place < n_old
+        engine = _coded(pd.DataFrame({k: both[k] for k in keys}), keys)
+        rank = [pd.factorize(both[c], sort=True)[0] for c in reversed(ranks)]  # nulls first, as Spark sorts
+        place = np.lexsort([*rank, engine])
+        both, engine, old = {c: a[place] for c, a in both.items()}, engine[place], place < n_old
+        begin = np.flatnonzero(np.append(True, engine[1:] != engine[:-1]))
+        size = np.diff(np.append(begin, len(engine)))
+        within = np.arange(len(engine)) - np.repeat(begin, size)
+        per_engine = lambda ufunc, of: np.repeat(ufunc.reduceat(of, begin), size)
+        scored = score(both, within)
+        changed, whole, revision = ~old, np.ones(len(place), bool), np.zeros(len(place), np.int64)
         if held is not None:
+            whole[old], revision[old] = held["__whole"][place[old]], held[REVISION][place[old]]
+            whole, revision = per_engine(np.logical_and, whole), per_engine(np.maximum, revision)
             # Rows too near the buffer's start keep what was found when it reached further back.
-            fixed = np.flatnonzero(old & (np.arange(len(place)) < (0 if whole else need)))
+            fixed = np.flatnonzero(old & ~whole & (within < need))
             for c in results:
                 scored[c][fixed] = held[c][place[fixed]]
-            changed = ~old
-            for c in results:
-                before = held[c][place[old]]
-                now = scored[c][old]
+                before, now = held[c][place[old]], scored[c][old]
                 changed[old] |= ~((before == now) | (np.isnan(before) & np.isnan(now)))
-        else:
-            changed = np.ones(len(place), bool)
-        revision += 1
+        revision = revision + per_engine(np.logical_or, ~old)
         mark = np.datetime64(state.getCurrentWatermarkMs(), "ms")
-        open_from = int(np.argmax(both[order[0]] > mark)) if (both[order[0]] > mark).any() else len(place)
-        keep = max(0, min(open_from, len(place)) - need)
-        state.update((pickle.dumps(({c: a[keep:] for c, a in {**both, **scored}.items()}, whole and keep == 0, revision)),))
-        done = pd.DataFrame({c: a[changed] for c, a in {**both, **scored}.items()})
-        done[REVISION] = revision
-        yield done
+        beyond = both[order[0]] > mark
+        first_open = per_engine(np.minimum, np.where(beyond, within, np.repeat(size, size)))
+        cut = np.minimum(np.maximum(0, first_open - need), np.repeat(size, size) - 1)  # one row remembers the engine
+        kept = within >= cut
+        everything = {**both, **scored, REVISION: revision}
+        state.update((pickle.dumps({c: a[kept] for c, a in {**everything, "__whole": whole & (cut == 0)}.items()}),))
+        yield pd.DataFrame({c: a[changed] for c, a in everything.items()})
 
     known = bt(order[0]).isNotNull()
     for k in keys:
         known = known & bt(k).isNotNull()
-    return (timed(source.where(known), order[0], delay).groupBy(*map(bt, keys))
-            .applyInPandasWithState(advance, schema, STATE, "append", GroupStateTimeout.EventTimeTimeout))
+    found = (_filled(timed(source.where(known), order[0], delay), longs).withColumn(BUCKET, bucket_of(keys, buckets))
+             .groupBy(BUCKET).applyInPandasWithState(advance, schema, STATE, "append", GroupStateTimeout.EventTimeTimeout))
+    return _emptied(found, longs).select(*[bt(f.name) for f in _fields(source)], *results, REVISION)

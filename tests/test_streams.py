@@ -265,3 +265,22 @@ def test_states_of_pairs_do_not_grow_with_their_number(spark):
     got = spark.read.parquet(out)
     assert got.columns == first.columns
     assert sorted(map(repr, got.collect())) == sorted(map(repr, first.union(second).collect()))
+
+
+def test_states_of_buffers_do_not_grow_with_engines(spark):
+    schema = SERIES + ", n long"
+    rows = [(*r, None if r[3] % 2 else BIG + r[3]) for r in engine_rows(1500, 700, 5)]
+    # Nulls first, in the order too.
+    rows = [r if i % 5 else (*r[:3], None, *r[4:]) for i, r in enumerate(rows)]
+    rows = list({r[:4]: r for r in rows}.values())
+    random.Random(2).shuffle(rows)
+    kw = {"values": ["x"], "window": 2, "flags": ["flag"], "order": ["reportdatetime", "seq"]}
+    out = scratch_dir(spark, "many-engines")
+    progress = run(stateful.engine_history_stream(
+        arrivals(spark, [rows[i::3] for i in range(3)], schema), lags=(1, 3), delay="10 days", buckets=16, **kw), out)
+    assert state_rows(progress) <= 16
+    got = stateful.latest_revisions(spark.read.parquet(out), KEY)
+    means = trend.masked_rolling_mean(spark.createDataFrame(rows, schema), suffix="_MEAN", **kw)
+    want = trend.lag_delta(means, ["x_MEAN"], (1, 3), order=kw["order"])
+    assert got.where("x_MEAN IS NOT NULL").count() > 300
+    assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
