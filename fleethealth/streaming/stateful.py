@@ -166,15 +166,15 @@ def paired_stream(
 
 def phase_matches_stream(
     source: DataFrame, driver: str = "cruise", lookups: Sequence[Lookup] = BACKWARD, keys: Sequence[str] = S.INSTALLATION,
-    time: str = S.TIME, value: str = "row_sum", delay: str = "1 hour",
+    time: str = S.TIME, value: str = "row_sum", delay: str = "1 hour", buckets: int = BUCKETS,
 ) -> DataFrame:
     """Every driver row with the nearest strictly earlier row of each lookup phase,
     null where none is within its tolerance; emitted on arrival and again when a
     better lookup comes late.
 
-    State is kept per installation and time slice (as in ``phase_asof``, lookups
-    near a border are copied over it): the lookups' times and, per driver row, the
-    one match it has, never pairs. It goes when the watermark passes the slice.
+    State is kept per bucket of installations and time slice (as in ``phase_asof``,
+    lookups near a border are copied over it): the lookups' times and, per driver
+    row, the one match it has, never pairs. It goes when the watermark passes the slice.
     ``copy`` numbers driver rows of one time, so every row keeps its identity.
     """
     reach = int(max(x.minutes for x in lookups) * MINUTE)
@@ -190,7 +190,7 @@ def phase_matches_stream(
     # Rows without a time have no slice and no match; only drivers among them count.
     spread = base.where(us.isNotNull() | (F.col("__phase") == driver)).withColumn(
         "__slice", F.explode(F.when(near, F.array(home, home + 1)).otherwise(F.array(home))))
-    names = [x.suffix for x in lookups]
+    keys, names = list(keys), [x.suffix for x in lookups]
     plain = [(x.suffix, x.phase, x.minutes * MINUTE) for x in lookups]
     fields = ([source.schema[k] for k in keys]
               + [T.StructField(n, T.LongType()) for n in ("__us", "copy", "__value")]
@@ -204,51 +204,57 @@ def phase_matches_stream(
         rows = _joined(frames)
         phase, amount = rows["__phase"].to_numpy(), rows["__value"].to_numpy(dtype=float)
         when = rows["__us"].fillna(NO_TIME).to_numpy(dtype=np.int64)
-        # Lookups: (times, values) per phase; drivers: time, copy, value, revision and one (time, value) per lookup.
-        held = pickle.loads(state.get[0]) if state.exists else ([(np.empty(0, np.int64), np.empty(0))] * len(plain), None)
+        # Installations; lookups: (installations, times, values) per phase; drivers: installation, time, copy, value,
+        # revision and one (time, value) per lookup.
+        none = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+        own_keys, looked, old = pickle.loads(state.get[0]) if state.exists else (None, [none] * len(plain), None)
+        named = rows[keys] if own_keys is None else pd.concat([own_keys, rows[keys]], ignore_index=True)
+        codes = _coded(named, keys)  # those of the state come first and keep their numbers
+        whose = codes[len(codes) - len(rows):]
+        timeless = key[-1] is None or pd.isna(key[-1])
+        # Installation and time in one number: times of a slice span less than ``width + reach``.
+        begin = 0 if timeless else int(key[-1]) * width - reach
+        place = lambda of, us: of * (width + reach) + (us - begin)
         seen = []
-        for (times, values), (_, name, _) in zip(held[0], plain):
+        for (of, times, values), (_, name, _) in zip(looked, plain):
             own = phase == name
-            times, values = np.append(times, when[own]), np.append(values, amount[own])
-            order = np.lexsort((np.where(np.isnan(values), -np.inf, values), times))
-            times, values = times[order], values[order]
-            last = np.append(times[1:] != times[:-1], True)[:len(times)]  # of equal times the largest value
-            seen.append((times[last], values[last]))
+            of, times, values = np.append(of, whose[own]), np.append(times, when[own]), np.append(values, amount[own])
+            order = np.lexsort((np.where(np.isnan(values), -np.inf, values), times, of))
+            of, times, values = of[order], times[order], values[order]
+            last = np.append((times[1:] != times[:-1]) | (of[1:] != of[:-1]), True)[:len(times)]  # of equal times the largest value
+            seen.append((of[last], times[last], values[last]))
         own = phase == driver
-        fresh = {"us": when[own], "copy": np.zeros(own.sum(), np.int64), "value": amount[own], "revision": np.zeros(own.sum(), np.int64)}
-        old = held[1]
+        fresh = {"of": whose[own], "us": when[own], "value": amount[own], "revision": np.zeros(own.sum(), np.int64)}
         drivers = fresh if old is None else {c: np.append(old[c], fresh[c]) for c in fresh}
         n_old = 0 if old is None else len(old["us"])
-        first = {}
-        for i, u in enumerate(drivers["us"].tolist()):
-            if i >= n_old:
-                drivers["copy"][i] = first.get(u, 0)
-            first[u] = first.get(u, 0) + 1
+        drivers["copy"] = pd.DataFrame({c: drivers[c] for c in ("of", "us")}).groupby(["of", "us"]).cumcount().to_numpy()
         changed = np.arange(len(drivers["us"])) >= n_old
-        for (times, values), (suffix, _, limit) in zip(seen, plain):
-            at = np.searchsorted(times, drivers["us"], "left") - 1
-            hit = (at >= 0) & (drivers["us"] != NO_TIME)
-            hit[hit] = drivers["us"][hit] - times[at[hit]] < limit
-            found = np.where(hit, times[at] if len(times) else NO_TIME, NO_TIME)
-            worth = np.where(hit, values[at] if len(times) else np.nan, np.nan)
+        for (of, times, values), (suffix, _, limit) in zip(seen, plain):
+            found, worth = np.full(len(changed), NO_TIME), np.full(len(changed), np.nan)
+            if len(times) and not timeless:
+                at = np.searchsorted(place(of, times), place(drivers["of"], drivers["us"]), "left") - 1
+                hit = (at >= 0) & (of[at] == drivers["of"])
+                hit[hit] = drivers["us"][hit] - times[at[hit]] < limit
+                found[hit], worth[hit] = times[at[hit]], values[at[hit]]
             if n_old:
                 before = old[suffix]
                 changed[:n_old] |= (before[0] != found[:n_old]) | ~((before[1] == worth[:n_old]) | (np.isnan(before[1]) & np.isnan(worth[:n_old])))
             drivers[suffix] = (found, worth)
         drivers["revision"] = drivers["revision"] + changed
-        if key[-1] is not None and not pd.isna(key[-1]):
-            state.update((pickle.dumps((seen, drivers)),))
+        unique = named.drop_duplicates(ignore_index=True)
+        if not timeless:
+            state.update((pickle.dumps((unique, seen, drivers)),))
             state.setTimeoutTimestamp(max((int(key[-1]) + 1) * width // 1000, state.getCurrentWatermarkMs() + 1))
         if changed.any():
-            out = {k: [v] * int(changed.sum()) for k, v in zip(keys, key)}
+            out = unique.iloc[drivers["of"][changed]].reset_index(drop=True)
             moment = lambda a: pd.Series(a[changed], dtype="Int64").mask(a[changed] == NO_TIME)
             amounts = lambda a: pd.Series(np.nan_to_num(a[changed]).astype(np.int64), dtype="Int64").mask(np.isnan(a[changed]))
-            out |= {"__us": moment(drivers["us"]), "copy": drivers["copy"][changed], "__value": amounts(drivers["value"])}
+            more = {"__us": moment(drivers["us"]), "copy": drivers["copy"][changed], "__value": amounts(drivers["value"])}
             for n in names:
-                out |= {f"__us_{n}": moment(drivers[n][0]), f"__value_{n}": amounts(drivers[n][1])}
-            yield pd.DataFrame(out | {REVISION: drivers["revision"][changed]})
+                more |= {f"__us_{n}": moment(drivers[n][0]), f"__value_{n}": amounts(drivers[n][1])}
+            yield out.assign(**more, **{REVISION: drivers["revision"][changed]})
 
-    found = spread.groupBy(*map(bt, keys), "__slice").applyInPandasWithState(
+    found = spread.withColumn(BUCKET, bucket_of(keys, buckets)).groupBy(BUCKET, "__slice").applyInPandasWithState(
         advance, T.StructType(fields), STATE, "append", GroupStateTimeout.EventTimeTimeout)
     clock = lambda c, n: F.timestamp_micros(F.col(c)).cast("timestamp_ntz").alias(n)
     tag = driver.replace("-", "")

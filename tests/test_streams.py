@@ -267,6 +267,19 @@ def test_states_of_pairs_do_not_grow_with_their_number(spark):
     assert sorted(map(repr, got.collect())) == sorted(map(repr, first.union(second).collect()))
 
 
+def test_states_of_matches_do_not_grow_with_installations(spark):
+    row = lambda p, m, v: spark.range(3000).selectExpr(
+        "id AS ESN", f"'{p}' AS phase", f"timestamp_ntz'2024-03-01 00:00:00' + make_interval(0, 0, 0, 0, 0, {m}) AS reportdatetime", f"id % {v} AS row_sum")
+    first, late = (spark.createDataFrame(d.collect(), REPORTS) for d in (row("cruise", 20, 7), row("take-off", 5, 5)))
+    out = scratch_dir(spark, "many-matches")
+    progress = run(stateful.phase_matches_stream(arrivals(spark, [first, late], REPORTS), keys=["ESN"], delay="10 days", buckets=16), out)
+    assert state_rows(progress) <= 16
+    got = stateful.latest_revisions(spark.read.parquet(out), ["ESN", "reportdatetime_cruise", "copy"]).drop("copy")
+    want = phases.phase_asof(first.union(late), keys=["ESN"])
+    assert got.where("row_sum_takeoff IS NOT NULL").count() == 3000
+    assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
+
+
 def test_states_of_buffers_do_not_grow_with_engines(spark):
     schema = SERIES + ", n long"
     rows = [(*r, None if r[3] % 2 else BIG + r[3]) for r in engine_rows(1500, 700, 5)]
