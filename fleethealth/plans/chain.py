@@ -17,6 +17,8 @@ from fleethealth import schema as S
 from fleethealth.functions import bt
 from fleethealth.operators import clean, deltas, fit, flags, history, phases, stats, trend
 from fleethealth.operators.skew import heavy_keys
+from fleethealth.session import release
+from fleethealth.sources.buckets import delete
 from fleethealth.sources.state import low_watermark, tap
 
 
@@ -86,13 +88,23 @@ def run_stages(
     between paired reports: unpaired ones are not stored, so a gap to them would
     depend on where the input was cut. With ``snapshots`` (a shared folder) the
     trend and fit stages are written there and read back: the Python fit is then
-    never repeated, whatever happens to the stages after it. With ``late_rows``
+    never repeated, whatever happens to the stages after it. A snapshot goes, with
+    the shuffles that made it, when the next one is there. With ``late_rows``
     stored rows behind a new one are scored again (history context): means, lags
     and fits as far as windows and lags reach, statistics to the end.
     """
     if late_rows and settings.context != "history":
         raise ValueError("late rows need the history context")
-    snap = (lambda d, name: tap(d, f"{snapshots}/{name}")) if snapshots else (lambda d, name: d)
+
+    def snap(d: DataFrame, name: str, before: str | None = None) -> DataFrame:
+        if not snapshots:
+            return d
+        kept = tap(d, f"{snapshots}/{name}")
+        if before:
+            delete(d.sparkSession, f"{snapshots}/{before}")
+        release(d.sparkSession)
+        return kept
+
     paired = df.transform(deltas.percent_delta).transform(deltas.sister_delta, bounded=spread.pairs)
     if late_rows:
         paired = trend.reopened(
@@ -107,7 +119,7 @@ def run_stages(
     )
     shifted = (
         trends.transform(fit.signature_fit, signatures, settings)
-        .transform(snap, "fit")
+        .transform(snap, "fit", "trend")
         .transform(stats.damage_shift, settings.lags)
     )
     if late_rows:

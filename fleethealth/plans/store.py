@@ -17,6 +17,7 @@ from fleethealth.functions import bt
 from fleethealth.operators import phases, trend
 from fleethealth.operators.history import latest_n
 from fleethealth.plans import chain
+from fleethealth.session import release
 from fleethealth.sources.buckets import BucketStore, delete
 
 FLIGHT = (*S.INSTALLATION, f"{S.TIME}_cruise")
@@ -78,11 +79,14 @@ class FleetStore:
         delete(self.spark, work)  # of an attempt that failed
         context, others = trend.rows_of_engines(stored.read(before, touched), new)
         spread = chain.check_spread(new)
-        rows = chain.ingest(new, context, self.settings, checkpoint, spread, by_origin=late)
+        rows = self._written(
+            chain.ingest(new, context, self.settings, checkpoint, spread, by_origin=late), f"{work}/stages/ingested")
         stage = chain.run_stages(rows, signatures, self.settings, spread, snapshots=f"{work}/stages", late_rows=late)
         stage = self._written(stage, f"{work}/stage")
+        delete(self.spark, f"{work}/stages")
         kept = latest_n(stage, self.settings.n_points, bounded=spread.engines)
         stored.write(version, kept.unionByName(others), touched, before)
+        release(self.spark)
         found = self._written(chain.matched(stage, self.settings, spread.engines, only_new=True), f"{work}/flights")
         renewed = found.select(*[bt(k).alias(f"__f_{k}") for k in FLIGHT]).distinct()
         same = [bt(k).eqNullSafe(bt(f"__f_{k}")) for k in FLIGHT]
@@ -92,7 +96,10 @@ class FleetStore:
         # The version before stays: this one may have to be made again from it.
         for store in (stored, flights):
             store.vacuum(version, before)
+        release(self.spark)
 
     def _written(self, df: DataFrame, path: str) -> DataFrame:
+        """``df`` as read back; the shuffles that made it are not needed any more."""
         df.write.mode("overwrite").parquet(path)
+        release(self.spark)
         return self.spark.read.schema(df.schema).parquet(path)

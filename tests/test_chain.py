@@ -79,6 +79,20 @@ def test_snapshots_change_nothing(spark, setup):
     assert reports.read_stage(spark, f"{root}/fit").where("OBS_MAGNITUDE2 IS NOT NULL").count() > 0
 
 
+def test_a_snapshot_goes_when_the_next_one_is_there(spark, setup):
+    fleet, sigs, settings = setup
+    root = scratch_dir(spark, "snapshots-left")
+    chain.run_increment(fleet, sigs, None, settings, snapshots=root)
+    left = [s.getPath().getName() for s in _listed(spark, root)]
+    assert left == ["fit"]
+
+
+def _listed(spark, folder):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+
+
+
 def test_newest_points_bound_the_history(spark, setup):
     fleet, sigs, settings = setup
     short, full = (chain.run_increment(fleet, sigs, None, replace(settings, n_points=n)) for n in (5, 650))
