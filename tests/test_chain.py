@@ -169,3 +169,10 @@ def test_range_filter_reaches_the_scan(spark):
     pushed = plan[plan.index("PushedFilters"):]
     assert "GreaterThanOrEqual(NL__PC,60.0)" in pushed and "LessThanOrEqual(NL__PC,120.0)" in pushed
     assert "PS160__PSI" not in plan  # columns outside the filter and the result are not read
+
+
+def test_the_fleet_view_is_written_by_all_tasks(spark):
+    fleet = V.fleet_rows(spark, SMALL)
+    assert V.table(spark, SMALL, "events").rdd.getNumPartitions() == 1
+    assert fleet.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert fleet.count() == 2 * V.table(spark, SMALL, "events").count()
