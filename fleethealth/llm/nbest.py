@@ -20,11 +20,13 @@ segmentation without pieces, of score 0.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -132,9 +134,10 @@ class PieceModel:
         heap = [(-forward[-1], len(s), 0, 0.0, b"", None)]
         taken = [0] * (len(s) + 1)
         entry = 1
+        push, pop = heapq.heappush, heapq.heappop
         while heap and len(out) < n:
-            top = heapq.heappop(heap)
-            _, at, _, score, ids, behind = top
+            top = pop(heap)
+            _, at, _, score, _, _ = top
             if not at:
                 parts = []
                 while top is not None:
@@ -147,8 +150,10 @@ class PieceModel:
                 continue
             taken[at] += 1
             for i, s_, piece in into[at]:
-                heapq.heappush(heap, (-(score + s_ + forward[i]), i, entry, score + s_, piece, top))
-                entry += 1
+                if taken[i] < n:
+                    so_far = score + s_
+                    push(heap, (-(so_far + forward[i]), i, entry, so_far, piece, top))
+                    entry += 1
         return out
 
     def chunks(self, text: str) -> list[str]:
@@ -200,6 +205,18 @@ def piece_model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """No search for reference cycles: a segmentation makes many tuples, none of them in a cycle."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 SEGMENTED = T.ArrayType(T.StructType([
     T.StructField("score", T.DoubleType()), T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
@@ -214,9 +231,10 @@ def encoded(df: DataFrame, path: str, n: int, text: str = "text", column: str =
         model = piece_model(path)
         for batch in batches:
             for i in range(0, batch.num_rows, 100):
-                rows = [
-                    [{"score": s, "ids": np.frombuffer(ids, dtype="<i4")} for s, ids in model.segmentations(t or "", n)]
-                    for t in batch[text].slice(i, 100).to_pylist()]
+                with uncollected():
+                    rows = [
+                        [{"score": s, "ids": np.frombuffer(ids, dtype="<i4")} for s, ids in model.segmentations(t or "", n)]
+                        for t in batch[text].slice(i, 100).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(i, 100) for c in batch.columns), pa.array(rows, kind)], names=schema.names)
 
@@ -243,13 +261,14 @@ def digest(documents: DataFrame, path: str, n: int = 4) -> DataFrame:
         model = piece_model(path)
         for batch in batches:
             rows = []
-            for text in batch["text"].to_pylist():
-                text = text or ""
-                found = model.segmentations(text, n)
-                back = model.decode(found[0][1])
-                rows.append((
-                    len(found[0][1]) // 4, zlib.crc32(found[0][1]), [s for s, _ in found],
-                    [zlib.crc32(ids) for _, ids in found[1:]], zlib.crc32(back.encode()), back == text))
+            with uncollected():
+                for text in batch["text"].to_pylist():
+                    text = text or ""
+                    found = model.segmentations(text, n)
+                    back = model.decode(found[0][1])
+                    rows.append((
+                        len(found[0][1]) // 4, zlib.crc32(found[0][1]), [s for s, _ in found],
+                        [zlib.crc32(ids) for _, ids in found[1:]], zlib.crc32(back.encode()), back == text))
             cols = list(zip(*rows)) or [()] * 6
             kinds = (pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.int64(), pa.bool_())
             yield pa.RecordBatch.from_arrays(

@@ -210,3 +210,10 @@ def test_awkward_texts_are_segmented(spark, awkward, nothing):
     full = nbest.encoded(awkward, PIECES, 2).withColumn("ids", F.col("segmentations")[0]["ids"])
     back = nbest.decoded(full, PIECES, column="again").select("text", "again").collect()
     assert all((r["text"] or "") == r["again"] for r in back)
+
+
+def test_no_cycles_are_searched_while_texts_are_segmented():
+    import gc
+    with nbest.uncollected():
+        assert not gc.isenabled()
+    assert gc.isenabled()
