@@ -219,3 +219,12 @@ def test_time_arithmetic_ignores_the_session_zone(spark, frame):
         assert values(flags.days_since_prev(df, order=ORDER), "days_since_prev") == [0.0, 1.0, 1.0]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_robust_frames_stay_one_array(spark):
+    """No object per frame reaches the workers: the values come as Arrow data."""
+    from pyspark.util import PythonEvalType
+    frames = spark.createDataFrame([([3.0, 1.0, 2.0, 50.0],), ([5.0],), (None,), ([],)], "x array<double>")
+    located = frames.select(trend._mcd(0.75)("x").alias("m"))
+    assert trend._mcd(0.75).evalType == PythonEvalType.SQL_SCALAR_ARROW_UDF
+    assert [r["m"] for r in located.collect()] == [2.0, 5.0, None, None]
