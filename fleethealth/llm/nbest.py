@@ -9,9 +9,12 @@ and no hypothesis off the N best is finished.
 No piece has the space mark behind another character or holds a line feed and
 more, so a path passes every place where a run of space marks begins and both
 sides of a line feed, and the lattice falls apart there into chunks (and further,
-between two characters that no piece has side by side) (a model without that property makes one chunk). The best and second
-best of a chunk are cached. The N best of a text differ from its best one only
-in the N-1 chunks that lose least by their second choice; a heap combines those.
+between two characters that no piece has side by side) (a model without that property
+makes one chunk). The best of a chunk and what its second best loses are cached. The
+forward pass alone gives both: seen from the end, a second best leaves the best path
+once, for the runner-up of that place. The N best of a text differ from its best one
+only in the N-1 chunks that lose least by their second choice; these are searched,
+and a heap combines their choices.
 
 Characters without a piece become bytes at a penalty. Equal scores keep the
 order of the search, which depends on the text alone. Null text is empty: one
@@ -40,6 +43,8 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Chunks kept per worker process, in two generations.
 MAX_CHUNKS = 1_000_000
+#: Chunks of up to so many characters whose N best are kept per worker process, and how many.
+KEPT_CHARS, KEPT_SEARCHES = 100, 10_000
 _CHUNKS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 
 
@@ -58,8 +63,7 @@ class _Chunks(dict):
                 of = [self[p] for p in parts]
                 found = (b"".join([f[0] for f in of]), sum([f[1] for f in of]), min([f[2] for f in of]))
             else:
-                best = self.model.best_of_chunk(s, 2)
-                found = (best[0][1], best[0][0], best[0][0] - best[1][0] if len(best) > 1 else float("inf"))
+                found = self.model.best_and_loss(s)
         if len(self) >= MAX_CHUNKS // 2:
             self.old = dict(self)
             self.clear()
@@ -75,8 +79,16 @@ class PieceModel:
         every = range(sp.get_piece_size())
         plain = [i for i in every if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) or sp.is_byte(i))]
         self.pieces = {sp.id_to_piece(i): (sp.get_score(i), i.to_bytes(4, "little")) for i in plain}
-        # Every beginning of a piece; None where it is not a piece itself.
-        self.begun = {p[:k]: None for p in self.pieces for k in range(1, len(p))} | self.pieces
+        # Every beginning of a piece, character by character: [score, ids, longer ones by their next
+        # character]; the score is None where it is not a piece itself.
+        self.begun: dict[str, list] = {}
+        for p, (score, ids) in self.pieces.items():
+            longer = self.begun
+            for c in p:
+                node = longer.setdefault(c, [None, b"", {}])
+                longer = node[2]
+            node[:2] = score, ids
+        self.longest = max(map(len, self.pieces), default=0)
         worded = (s for p, (s, _) in self.pieces.items() if p.strip(MARK))
         self.unknown = min(worded, default=0.0) - UNKNOWN_PENALTY
         self.bytes = {int(sp.id_to_piece(i)[3:5], 16): i for i in every if sp.is_byte(i)}
@@ -89,6 +101,7 @@ class PieceModel:
         # Two characters that stand together in no piece: every path parts between them.
         self.inside = {p[i:i + 2] for p in self.pieces for i in range(len(p) - 1)}
         self.cache = _Chunks(self)
+        self.searches = lru_cache(KEPT_SEARCHES)(self.best_of_chunk)
 
     def parted(self, s: str) -> list[str]:
         """``s`` cut wherever no piece can cross."""
@@ -100,6 +113,10 @@ class PieceModel:
         out.append(s[last:])
         return out
 
+    def spelling(self, c: str) -> bytes:
+        """Ids of a character without a piece."""
+        return np.array([self.bytes.get(b, self.unk) for b in c.encode()], dtype="<u4").tobytes()
+
     def lattice(self, s: str) -> tuple[list[list[tuple[int, float, bytes]]], list[float]]:
         """Per end place the (begin, score, ids) of the pieces that end there, and
         the best score of every prefix (Viterbi: a place is settled before its
@@ -108,24 +125,60 @@ class PieceModel:
         into: list[list[tuple[int, float, bytes]]] = [[] for _ in range(n + 1)]
         forward = [-float("inf")] * n + [-float("inf") if n else 0.0]
         forward[0] = 0.0
-        get = self.begun.get
         for i in range(n):
             here = forward[i]
-            if get(s[i]) is None:
-                ids = [self.bytes.get(b, self.unk) for b in s[i].encode()]
-                into[i + 1].append((i, self.unknown, np.array(ids, dtype="<u4").tobytes()))
+            if s[i] not in self.pieces:
+                into[i + 1].append((i, self.unknown, self.spelling(s[i])))
                 forward[i + 1] = max(forward[i + 1], here + self.unknown)
-            for j in range(i + 1, n + 1):
-                found = get(s[i:j], ())
-                if found:
-                    score = found[0]
-                    into[j].append((i, score, found[1]))
+            j, longer = i, self.begun
+            for c in s[i:i + self.longest]:
+                node = longer.get(c)
+                if node is None:
+                    break
+                j += 1
+                score, ids, longer = node
+                if score is not None:
+                    into[j].append((i, score, ids))
                     if here + score > forward[j]:
                         forward[j] = here + score
-                elif found == ():
-                    break
         return into, forward
 
+    def best_and_loss(self, s: str) -> tuple[bytes, float, float]:
+        """Ids and score of the best of one lattice, and what the second best loses.
+
+        Of equal scores the longest last piece wins, as in the search for the n best.
+        """
+        n, least, pieces, unknown = len(s), -float("inf"), self.pieces, self.unknown
+        best, runner_up, begin, last = [least] * (n + 1), [least] * (n + 1), [0] * (n + 1), [b""] * (n + 1)
+        best[0] = 0.0
+        for i in range(n):
+            here = best[i]
+            if s[i] not in pieces:
+                j, total = i + 1, here + unknown
+                if total > best[j]:
+                    runner_up[j], best[j], begin[j], last[j] = best[j], total, i, self.spelling(s[i])
+                elif total > runner_up[j]:
+                    runner_up[j] = total
+            j, longer = i, self.begun
+            for c in s[i:i + self.longest]:
+                node = longer.get(c)
+                if node is None:
+                    break
+                j += 1
+                score, ids, longer = node
+                if score is not None:
+                    total = here + score
+                    if total > best[j]:
+                        runner_up[j], best[j], begin[j], last[j] = best[j], total, i, ids
+                    elif total > runner_up[j]:
+                        runner_up[j] = total
+        loss, out, j = float("inf"), [], n
+        while j:
+            loss = min(loss, best[j] - runner_up[j])
+            out.append(last[j])
+            j = begin[j]
+        return b"".join(out[::-1]), best[n], loss
+
     def best_of_chunk(self, s: str, n: int) -> list[tuple[float, bytes]]:
         """The ``n`` best (score, ids) of one lattice, best first."""
         into, forward = self.lattice(s)
@@ -165,14 +218,15 @@ class PieceModel:
         chunks = self.chunks(text)
         found = list(map(self.cache.__getitem__, chunks))
         best = [f[0] for f in found]
-        total = sum(f[1] for f in found)
+        total = sum([f[1] for f in found])
         out = [(total, b"".join(best))]
         if n == 1:
             return out
         loss = np.array([f[2] for f in found])
         order = np.argsort(loss, kind="stable")[:n - 1]
         place = [int(i) for i in order if np.isfinite(loss[i])]
-        choices = [self.best_of_chunk(chunks[i], n) for i in place]
+        choices = [
+            (self.searches if len(chunks[i]) <= KEPT_CHARS else self.best_of_chunk)(chunks[i], n) for i in place]
         lost = lambda k, c: choices[k][0][0] - choices[k][c][0]
         # A state is the choice of each of these chunks; (loss, chunk last raised, choices).
         heap = [(lost(k, 1), k, (0,) * k + (1,) + (0,) * (len(place) - k - 1)) for k in range(len(place))]

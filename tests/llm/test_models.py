@@ -192,6 +192,28 @@ def test_n_best_equals_all_paths(text):
         assert all(MODEL.decode(ids) == text for _, ids in got)
 
 
+def test_the_forward_pass_gives_the_best_and_the_loss_of_the_second():
+    rng = np.random.default_rng(8)
+    letters = ["a", "e", "n", "t", "h", "s", ".", ",", "$", "▁", "ß", "漢", "\U0001F600", "\n"]
+    texts = ["".join(rng.choice(letters, rng.integers(1, 14))) for _ in range(3000)]
+    for s in ["a", "\n", "漢", "▁▁▁▁", "aaaa", "-----", "▁the", *texts]:
+        found = MODEL.best_of_chunk(s, 2)
+        second = found[1][0] if len(found) > 1 else -float("inf")
+        assert MODEL.best_and_loss(s) == (found[0][1], found[0][0], found[0][0] - second)
+
+
+def test_the_best_of_a_text_needs_no_search(monkeypatch):
+    model = nbest.PieceModel(PIECES)
+    expected = MODEL.segmentations("the cat sat. the cat", 4)
+    assert model.segmentations("the cat sat. the cat", 4) == expected
+    searched = model.searches.cache_info().misses
+    assert model.segmentations("the cat sat. the cat", 4) == expected
+    assert model.searches.cache_info().misses == searched <= 3
+    fresh = nbest.PieceModel(PIECES)
+    monkeypatch.setattr(fresh, "best_of_chunk", None)
+    assert fresh.segmentations("the cat sat. the cat", 1) == expected[:1]
+
+
 def test_decoding_agrees_with_the_library():
     for text in ("The cat sat.", "straße  ünï", "x\ny"):
         ids = MODEL.segmentations(text, 1)[0][1]
