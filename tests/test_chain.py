@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleethealth import schema as S
-from fleethealth.functions import bt
+from fleethealth.functions import STORED, bt
+from fleethealth.operators import clean
 from fleethealth.plans import batch, chain
 from fleethealth.session import scratch_dir
 from fleethealth.sources import reports, state
@@ -144,6 +145,33 @@ def test_batch_context_keeps_other_engines(spark, setup):
     assert grown and grown <= {"AC1", "AC2"}
 
 
+def test_stored_columns_travel_packed(spark, setup):
+    """New rows have none, stored rows have theirs in one struct; equal reports come once."""
+    fleet, _, settings = setup
+    own = [S.PHASE, *S.REPORT_COLUMNS, S.NEW_FLAG]
+    first = chain.ingest(fleet, None, settings, None, by_origin=True)
+    assert sorted(first.columns) == sorted(own)
+    known = clean.enforce_schema(first, S.stage_schema(settings)).where("ESN <= 4").withColumn("days_since_prev", F.lit(7.0))
+    path = scratch_dir(spark, "known")
+    known.write.parquet(path)
+    both = chain.ingest(fleet.unionByName(fleet.limit(50)), spark.read.parquet(path), settings, None, by_origin=True)
+    assert sorted(both.columns) == sorted([*own, STORED])
+    count = lambda d: {r[0]: (r["rows"], r["kept"]) for r in d.groupBy(S.NEW_FLAG).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(f"{STORED}.days_since_prev") == 7.0).alias("kept")).collect()}
+    n, old = first.count(), known.count()
+    assert 0 < old < n
+    assert count(both) == {0: (old, old), 1: (n - old, 0)}
+
+
+def test_an_increment_writes_no_stage_but_the_fit(spark, setup, monkeypatch):
+    fleet, sigs, settings = setup
+    kept, store = [], batch.store_of(spark, scratch_dir(spark, "one-snapshot"), replace(settings, max_signatures=1))
+    before = type(store)._written
+    monkeypatch.setattr(type(store), "_written", lambda self, d, path: kept.append(path.rsplit("/", 1)[-1]) or before(self, d, path))
+    store.apply(fleet.where("ESN <= 8"), sigs, 1, None)
+    assert kept == ["stage", "flights"]
+
+
 def test_checkpoint_round_trip(spark):
     path = scratch_dir(spark, "mark")
     assert state.read_checkpoint(spark, path) is None

@@ -177,3 +177,37 @@ def test_repeated_signatures_in_a_large_table():
     want = fit._fit_block(obs, fit._solver(table, 3), 0.3, 5.0, False)
     got = fit._fit_large(obs, fit._Bounded(table, 3), 0.3, 5.0, False)
     assert [f[4] for f in want] == [f[4] for f in got]
+
+
+@pytest.mark.parametrize("factor", [1.05, 1.5, 5.0])
+def test_a_block_gives_what_each_observation_gives_alone(factor):
+    """Also where the least error is refused, ties, or is next to nothing."""
+    rng = np.random.default_rng(11)
+    vectors = rng.normal(size=(12, 9))
+    vectors[5] = vectors[2]
+    obs = np.concatenate([rng.normal(size=(70, 9)), vectors[[2, 7]] * 1.5, (vectors[1] - 0.5 * vectors[3])[None]])
+    solver = fit._solver(tuple(map(tuple, vectors)), 3)
+    got = fit._fit_block(obs, solver, 0.6, factor, False)
+    refused = 0
+    for o, g in zip(obs, got):
+        explained, length = fit._explained(o[None], solver)[:, 0], float(np.linalg.norm(o))
+        free = fit._best(o, explained.copy(), length, solver, 0.6, 1e9)
+        want = fit._best(o, explained, length, solver, 0.6, factor)
+        refused += free is not None and (want is None or want[4] != free[4])
+        assert (g[4] is None) == (want is None)
+        if want is not None:
+            assert g[4] == want[4]
+            assert np.allclose(g[0], want[0], atol=1e-12) and np.allclose(g[2], want[2]) and np.allclose(g[3], want[3])
+    assert refused > 0 or factor == 5.0
+
+
+def test_unusable_vectors_have_no_fit():
+    import pandas as pd
+
+    vectors = tuple(map(tuple, np.eye(3)))
+    solvers = {"cruise": (fit._solve_with(vectors, 2), ["A", "B", "C"])}
+    obs = pd.Series([None, np.array([1.0, np.nan, 0.0]), np.zeros(3), np.array([0.0, 2.0, 0.0]), np.array([np.nan]), np.array([3.0, 0.0, 0.0])])
+    phase = pd.Series(["cruise"] * 5 + ["climb"])
+    got = fit._fit_series(obs, phase, solvers, 0.3, 5.0, False)
+    assert [list(s) if s is not None else None for s in got["sig_id"]] == [None, None, None, ["B"], None, None]
+    assert len(fit._fit_series(obs[:1], phase[:1], solvers, 0.3, 5.0, False)) == 1

@@ -152,3 +152,22 @@ def test_a_not_a_number_cell_is_null(spark):
     loose = reports.read_csv_trimmed(spark, path, {"ESN": "long", "MN1": "double"}, ["reportdatetime"])
     for df in (typed, loose):
         assert {r["ESN"]: r["MN1"] for r in df.collect()} == {1: None, 2: 1.5}
+
+
+def test_unseen_rows_come_once_and_complete(frame):
+    from fleethealth.operators import history
+
+    stored = frame({"ESN": [1, 2, 2], "NL__PC": [1.0, 2.0, 3.0], "FF__LBHR": [9.0, 9.0, 9.0]})
+    new = frame({"ESN": [2, 2, 3, 3, 4, None], "NL__PC": [3.0, 4.0, 5.0, 5.0, None, 6.0]})
+    got = history.unseen(stored, new, ["ESN", "NL__PC"])
+    assert sorted(tuple(r) for r in got.collect()) == [(2, 4.0), (3, 5.0)]
+
+
+def test_newest_counts_before_it_cuts(frame):
+    from fleethealth.operators import history
+
+    rows = frame({"ESN": [1, 1, 1, 2], "FF__LBHR": [3.0, 1.0, 2.0, 5.0]})
+    cut = history.newest(rows, 2, ["ESN"], ["FF__LBHR"])
+    assert sorted(tuple(r) for r in cut.collect()) == [(1, 2.0), (1, 3.0), (2, 5.0)]
+    whole = history.newest(rows, 3, ["ESN"], ["FF__LBHR"])
+    assert whole.count() == 4 and "Window" not in whole._jdf.queryExecution().executedPlan().toString()
